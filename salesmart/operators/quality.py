@@ -25,6 +25,13 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def profile_metrics(df: DataFrame) -> list:
+    """Row count and per-column null counts as aggregate columns, for
+    ``DataFrame.observe`` (computed while another job reads the rows)."""
+    return [F.count(F.lit(1)).alias("rows")] + [
+        F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls:{c}") for c in df.columns]
+
+
 def profile(df: DataFrame, table_name: str) -> DataFrame:
     """Row count plus null count of every column that has nulls (B1, B2).
 

@@ -1,4 +1,10 @@
-"""Cleaning rules: raw source -> staging table (K1-K3b)."""
+"""Cleaning rules: raw source -> staging table (K1-K3b).
+
+Each source is first deduplicated on its key (:func:`dedup_source`), then
+its rules apply (``clean_*`` on the deduplicated frame). :func:`staging`
+composes the two; the pipeline composes them itself so it can count rows
+between the steps without another pass.
+"""
 
 from __future__ import annotations
 
@@ -13,11 +19,16 @@ from salesmart.sources.specs import SOURCES
 _DEFAULT = Params()
 
 
+def dedup_source(name: str, df: DataFrame) -> DataFrame:
+    """Rule 1 for every source: drop repeats of its primary key."""
+    return dedup(df, SOURCES[name].pk)
+
+
 def clean_orders(orders: DataFrame, status: str = _DEFAULT.delivered_status) -> DataFrame:
-    """Dedup on the key, keep delivered orders with a purchase time, add
-    ``delivery_days`` (floored elapsed days) and ``delivered_late`` (0/1)."""
-    o = dedup(orders, SOURCES["orders"].pk)
-    o = o.where(F.col("order_status") == F.lit(status)).dropna(subset=["order_purchase_timestamp"])
+    """Keep delivered orders with a purchase time; add ``delivery_days``
+    (floored elapsed days) and ``delivered_late`` (0/1). Expects
+    deduplicated orders."""
+    o = orders.where(F.col("order_status") == F.lit(status)).dropna(subset=["order_purchase_timestamp"])
     return (o.withColumn("delivery_days", elapsed_days(F.col("order_purchase_timestamp"),
                                                        F.col("order_delivered_customer_date")))
              .withColumn("delivered_late", late_flag(F.col("order_delivered_customer_date"),
@@ -25,32 +36,43 @@ def clean_orders(orders: DataFrame, status: str = _DEFAULT.delivered_status) ->
 
 
 def clean_items(items: DataFrame) -> DataFrame:
-    """Dedup on (order, line); ``item_total`` = price + freight, exact."""
-    i = dedup(items, SOURCES["order_items"].pk)
-    return i.withColumn("item_total", F.col("price") + F.col("freight_value"))
+    """``item_total`` = price + freight, exact decimal."""
+    return items.withColumn("item_total", F.col("price") + F.col("freight_value"))
 
 
 def clean_products(products: DataFrame, fill: str = _DEFAULT.unknown_category) -> DataFrame:
-    """Dedup on the key; a missing category becomes ``fill``."""
-    p = dedup(products, SOURCES["products"].pk)
-    return p.fillna({"product_category_name": fill})
+    """A missing category becomes ``fill``."""
+    return products.fillna({"product_category_name": fill})
 
 
 def clean_customers(customers: DataFrame) -> DataFrame:
-    """Dedup only: people without a delivered order stay."""
-    return dedup(customers, SOURCES["customers"].pk)
+    """Nothing beyond the dedup: people without a delivered order stay."""
+    return customers
 
 
 def clean_translation(translation: DataFrame) -> DataFrame:
-    return dedup(translation, SOURCES["category_translation"].pk)
+    return translation
+
+
+STAGING_NAMES = {
+    "orders": "stg_orders", "order_items": "stg_order_items", "customers": "stg_customers",
+    "products": "stg_products", "category_translation": "stg_category_translation",
+}
+
+
+def apply_rules(name: str, deduped: DataFrame, params: Params = _DEFAULT) -> DataFrame:
+    if name == "orders":
+        return clean_orders(deduped, params.delivered_status)
+    if name == "order_items":
+        return clean_items(deduped)
+    if name == "products":
+        return clean_products(deduped, params.unknown_category)
+    if name == "customers":
+        return clean_customers(deduped)
+    return clean_translation(deduped)
 
 
 def staging(sources: dict[str, DataFrame], params: Params = _DEFAULT) -> dict[str, DataFrame]:
     """All five staging tables, keyed ``stg_<source>``."""
-    return {
-        "stg_orders": clean_orders(sources["orders"], params.delivered_status),
-        "stg_order_items": clean_items(sources["order_items"]),
-        "stg_customers": clean_customers(sources["customers"]),
-        "stg_products": clean_products(sources["products"], params.unknown_category),
-        "stg_category_translation": clean_translation(sources["category_translation"]),
-    }
+    return {STAGING_NAMES[name]: apply_rules(name, dedup_source(name, df), params)
+            for name, df in sources.items()}

@@ -14,8 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from salesmart.operators import eda, marts, questions, quality, staging, star
 from salesmart.params import Params
 from salesmart.sources.fixture import fixture_sources
+from salesmart.operators.staging import STAGING_NAMES
 from salesmart.sources.specs import SOURCES
 
+STAR_NAMES = ("dim_customers", "dim_products", "dim_dates", "fact_order_items")
+MART_NAMES = ("mart_sales_by_category", "mart_monthly_sales", "mart_customer_value")
+
 
 class Warehouse:
     def __init__(self, sources: dict[str, DataFrame], params: Params = Params(),
@@ -29,20 +33,23 @@ class Warehouse:
         return cls(fixture_sources(spark, sf_dir), params)
 
     # -- layers ---------------------------------------------------------
-    def _layer(self, built: dict[str, DataFrame]) -> dict[str, DataFrame]:
-        return {k: self._given.get(k, v) for k, v in built.items()}
+    def _layer(self, names, build) -> dict[str, DataFrame]:
+        """Given (written) tables win; the plan is built only if one is missing."""
+        if all(n in self._given for n in names):
+            return {n: self._given[n] for n in names}
+        return {k: self._given.get(k, v) for k, v in build().items()}
 
     @cached_property
     def stg(self) -> dict[str, DataFrame]:
-        return self._layer(staging.staging(self.sources, self.params))
+        return self._layer(STAGING_NAMES.values(), lambda: staging.staging(self.sources, self.params))
 
     @cached_property
     def star(self) -> dict[str, DataFrame]:
-        return self._layer(star.star(self.stg, self.params))
+        return self._layer(STAR_NAMES, lambda: star.star(self.stg, self.params))
 
     @cached_property
     def marts(self) -> dict[str, DataFrame]:
-        return self._layer(marts.marts(self.star, self.params))
+        return self._layer(MART_NAMES, lambda: marts.marts(self.star, self.params))
 
     def table(self, name: str) -> DataFrame:
         for layer in (self.stg, self.star, self.marts):

@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference is a batch rebuild with no stream source, watermark, window
+or state (SURVEY §2.11), so there is no streaming operator to reproduce.
+Every operator here is a lazy DataFrame function, so the same code can run
+inside a ``foreachBatch`` of a Structured Streaming query if a caller wants
+micro-batch rebuilds; nothing in this package depends on that.
+"""
