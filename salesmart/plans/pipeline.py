@@ -31,6 +31,16 @@ from salesmart.session import new_run_dir
 LAYER_THREADS = 6
 
 
+def _metrics(obs: Observation) -> dict | None:
+    """Observed metrics, or None when the optimizer removed the observed
+    plan (a relation it can prove empty carries no metrics)."""
+    try:
+        got = obs.get
+    except Exception:  # noqa: BLE001 - py4j raises a bare assertion error
+        return None
+    return got or None
+
+
 @dataclass
 class RunReport:
     out_dir: str
@@ -60,7 +70,8 @@ class _Writer:
         path = f"{self.out_dir}/{name}"
         start = time.perf_counter()
         observed.write.mode("overwrite").parquet(path)
-        rows = int(obs.get["rows"])
+        got = _metrics(obs)
+        rows = int(got["rows"]) if got else self.spark.read.parquet(path).count()
         self.report.table_seconds[name] = round(time.perf_counter() - start, 3)
         self.report.rows[name] = rows
         if gate and rows == 0:
@@ -109,11 +120,12 @@ def rebuild(spark: SparkSession, sources: dict[str, DataFrame], params: Params =
         deduped = deduped.observe(dedup_obs, F.count(F.lit(1)).alias("rows"))
         stg_name = STAGING_NAMES[name]
         table = write(stg_name, apply_rules(name, deduped, params), gate=False)
-        metrics = profile_obs.get
+        metrics = _metrics(profile_obs) or {"rows": 0 if src.isEmpty() else -1}
         report.profile[name] = {k: int(v) for k, v in metrics.items() if k == "rows" or v}
         if metrics["rows"] == 0:
             raise QualityError(f"source {name} has 0 rows")
-        report.duplicates[name] = int(metrics["rows"]) - int(dedup_obs.get["rows"])
+        deduped_rows = (_metrics(dedup_obs) or {"rows": metrics["rows"]})["rows"]
+        report.duplicates[name] = int(metrics["rows"]) - int(deduped_rows)
         if report.rows[stg_name] == 0:
             raise QualityError(f"{stg_name} has 0 rows")
         return stg_name, table
