@@ -22,11 +22,13 @@ def q1_top_categories(mart_category: DataFrame, n: int = _DEFAULT.top_categories
     aggregate and embedded as a value, no join.
     """
     total = mart_category.agg(F.sum("total_revenue")).scalar()
-    pct = round_ratio(F.col("total_revenue"), total, num_scale=2, den_scale=2, percent=True)
-    return (mart_category
+    pct = round_ratio(F.col("total_revenue"), F.col("all_revenue"), num_scale=2, den_scale=2, percent=True)
+    # The share is computed per category *before* ordering, so the sort and
+    # limit plan as one distributed top-n (TakeOrderedAndProject).
+    return (mart_category.select("revenue_rank", "category_en", "total_revenue", total.alias("all_revenue"))
+            .select("revenue_rank", "category_en", "total_revenue", pct.alias("pct_of_total_revenue"))
             .orderBy(F.col("total_revenue").desc(), F.col("category_en").asc_nulls_last())
-            .limit(n)
-            .select("revenue_rank", "category_en", "total_revenue", pct.alias("pct_of_total_revenue")))
+            .limit(n))
 
 
 def q2_growth_extremes(mart_monthly: DataFrame, min_prev_revenue: float = _DEFAULT.growth_min_prev_revenue,

@@ -23,11 +23,11 @@ def _table(name: str) -> Callable[[Warehouse], DataFrame]:
 
 
 def _question(name: str) -> Callable[[Warehouse], DataFrame]:
-    return lambda w: w.questions()[name]
+    return lambda w: w.question(name)
 
 
 def _chart(name: str) -> Callable[[Warehouse], DataFrame]:
-    return lambda w: w.charts()[name]
+    return lambda w: w.chart(name)
 
 
 REGISTRY: dict[str, Callable[[Warehouse], DataFrame]] = {

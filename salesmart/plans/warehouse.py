@@ -58,6 +58,20 @@ class Warehouse:
         raise KeyError(name)
 
     # -- answers ----------------------------------------------------------
+    @cached_property
+    def _questions(self) -> dict[str, DataFrame]:
+        return self.questions()
+
+    @cached_property
+    def _charts(self) -> dict[str, DataFrame]:
+        return self.charts()
+
+    def question(self, name: str) -> DataFrame:
+        return self._questions[name]
+
+    def chart(self, name: str) -> DataFrame:
+        return self._charts[name]
+
     def questions(self) -> dict[str, DataFrame]:
         p, t = self.params, self.table
         fact = t("fact_order_items")
