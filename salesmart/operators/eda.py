@@ -45,25 +45,23 @@ def eda_correlation(fact: DataFrame, measures=CORRELATION_MEASURES, digits: int
     complete: each pair uses the rows where both values are present.
 
     One global aggregate of mergeable moments (no pull of the fact to one
-    machine). ``covar_pop / (stddev_pop * stddev_pop)`` with a null guard:
-    a constant or single-row input gives null instead of a divide error.
-    The diagonal is 1 by definition (null for a constant column).
+    machine), then ``stack`` unpivots the one-row result into the matrix.
+    ``covar_pop / (stddev_pop * stddev_pop)`` with a null guard: a constant
+    or single-row input gives null instead of a divide error. The diagonal
+    is 1 by definition (null for a constant column).
     """
-    x = {m: F.col(m).cast("double") for m in measures}
-    aggs, exprs = [], {}
+    x = {m: f"CAST(`{m}` AS DOUBLE)" for m in measures}
+    aggs, cell = [], {}
     for a, b in combinations(measures, 2):
-        both = x[a].isNotNull() & x[b].isNotNull()
+        both = f"`{a}` IS NOT NULL AND `{b}` IS NOT NULL"
         key = f"{a}__{b}"
-        aggs += [F.covar_pop(x[a], x[b]).alias(f"c_{key}"),
-                 F.stddev_pop(F.when(both, x[a])).alias(f"sa_{key}"),
-                 F.stddev_pop(F.when(both, x[b])).alias(f"sb_{key}")]
-        exprs[(a, b)] = exprs[(b, a)] = (F.col(f"c_{key}") /
-                                        F.nullif(F.col(f"sa_{key}") * F.col(f"sb_{key}"), F.lit(0.0)))
+        aggs += [f"covar_pop({x[a]}, {x[b]}) AS c_{key}",
+                 f"stddev_pop(CASE WHEN {both} THEN {x[a]} END) AS sa_{key}",
+                 f"stddev_pop(CASE WHEN {both} THEN {x[b]} END) AS sb_{key}"]
+        cell[(a, b)] = cell[(b, a)] = f"c_{key} / nullif(sa_{key} * sb_{key}, 0D)"
     for m in measures:
-        aggs.append(F.stddev_pop(x[m]).alias(f"s_{m}"))
-        exprs[(m, m)] = F.when(F.col(f"s_{m}") > 0, F.lit(1.0))
-    moments = fact.agg(*aggs)
-    cells = [F.struct(F.lit(a).alias("measure_x"), F.lit(b).alias("measure_y"),
-                      F.round(exprs[(a, b)], digits).alias("r"))
-             for a in measures for b in measures]
-    return moments.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+        aggs.append(f"stddev_pop({x[m]}) AS s_{m}")
+        cell[(m, m)] = f"CASE WHEN s_{m} > 0 THEN 1D END"
+    moments = fact.agg(*[F.expr(a) for a in aggs])
+    rows = ", ".join(f"'{a}', '{b}', round({cell[(a, b)]}, {digits})" for a in measures for b in measures)
+    return moments.selectExpr(f"stack({len(measures) ** 2}, {rows}) AS (measure_x, measure_y, r)")

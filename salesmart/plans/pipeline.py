@@ -14,6 +14,7 @@ from __future__ import annotations
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -78,10 +79,13 @@ class _Writer:
             raise QualityError(f"{name} has 0 rows")
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def layer(self, frames: dict[str, DataFrame], **kw) -> dict[str, DataFrame]:
-        """Write independent tables concurrently; first failure is raised."""
+    def layer(self, frames: dict[str, Callable[[], DataFrame]], **kw) -> dict[str, DataFrame]:
+        """Build and write independent tables concurrently (plan analysis
+        overlaps too); the first failure is raised."""
+        def one(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+            return self(name, build(), **kw)
         with ThreadPoolExecutor(max_workers=min(LAYER_THREADS, len(frames))) as pool:
-            futures = {name: pool.submit(self, name, df, **kw) for name, df in frames.items()}
+            futures = {name: pool.submit(one, name, build) for name, build in frames.items()}
             return {name: f.result() for name, f in futures.items()}
 
 
@@ -136,7 +140,7 @@ def rebuild(spark: SparkSession, sources: dict[str, DataFrame], params: Params =
 
     # Stage 2: star schema from the written staging tables, then its gates.
     w = Warehouse(sources, params, tables=stg)
-    star = write.layer(w.star)
+    star = write.layer(w.star_builders())
     w = Warehouse(sources, params, tables={**stg, **star})
     # One job for both gates: declared keys of the star, and the fact's references.
     pk = (w.primary_keys().where(F.col("table_name") != "order_items")
@@ -149,13 +153,13 @@ def rebuild(spark: SparkSession, sources: dict[str, DataFrame], params: Params =
     lap("star")
 
     # Stage 3: marts.
-    marts = write.layer(w.marts)
+    marts = write.layer(w.mart_builders())
     w = Warehouse(sources, params, tables={**stg, **star, **marts})
     lap("marts")
 
     if answers:
         # Stages 4 and 5: the questions and chart tables; small, one file each.
-        write.layer({**w.questions(), **w.charts()}, partitions=1)
+        write.layer(w.answer_builders(), partitions=1)
         lap("answers")
     report.seconds["total"] = round(sum(report.seconds.values()), 3)
     return report
@@ -171,4 +175,4 @@ def land(spark: SparkSession, sources: dict[str, DataFrame], out_dir: str | None
     # row group, say) is spread round-robin so readers get parallel files.
     spread = {name: df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
               for name, df in sources.items()}
-    return write.layer(spread)
+    return write.layer({name: (lambda df=df: df) for name, df in spread.items()})

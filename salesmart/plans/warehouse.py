@@ -7,6 +7,7 @@ pipeline has written, see :mod:`salesmart.plans.pipeline`).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,9 @@ from salesmart.sources.fixture import fixture_sources
 from salesmart.operators.staging import STAGING_NAMES
 from salesmart.sources.specs import SOURCES
 
+_QUESTION_NAMES = ("q1_top_categories", "q2_growth_extremes", "q3_top_customers", "q4_repeat_vs_one_time",
+                   "q5_top_products", "q6_worst_late_states")
+_CHART_NAMES = ("eda_top_categories", "eda_monthly_trend", "eda_value_tiers", "eda_correlation")
 STAR_NAMES = ("dim_customers", "dim_products", "dim_dates", "fact_order_items")
 MART_NAMES = ("mart_sales_by_category", "mart_monthly_sales", "mart_customer_value")
 
@@ -51,6 +55,51 @@ class Warehouse:
     def marts(self) -> dict[str, DataFrame]:
         return self._layer(MART_NAMES, lambda: marts.marts(self.star, self.params))
 
+    # -- per-table plan builders, for callers that build in parallel ------
+    def star_builders(self) -> dict[str, Callable[[], DataFrame]]:
+        stg, p = self.stg, self.params
+        return {
+            "dim_customers": lambda: star.dim_customers(stg["stg_customers"], stg["stg_orders"]),
+            "dim_products": lambda: star.dim_products(stg["stg_products"], stg["stg_category_translation"],
+                                                      p.unknown_category),
+            "dim_dates": lambda: star.dim_dates(stg["stg_orders"]),
+            "fact_order_items": lambda: star.fact_order_items(stg["stg_order_items"], stg["stg_orders"],
+                                                              stg["stg_customers"]),
+        }
+
+    def mart_builders(self) -> dict[str, Callable[[], DataFrame]]:
+        t, p = self.table, self.params
+        return {
+            "mart_sales_by_category": lambda: marts.mart_sales_by_category(t("fact_order_items"), t("dim_products")),
+            "mart_monthly_sales": lambda: marts.mart_monthly_sales(t("fact_order_items"), t("dim_dates")),
+            "mart_customer_value": lambda: marts.mart_customer_value(t("fact_order_items"), p.high_tier_min,
+                                                                     p.medium_tier_min),
+        }
+
+    def answer_builders(self) -> dict[str, Callable[[], DataFrame]]:
+        names = [*_QUESTION_NAMES, *_CHART_NAMES]
+        return {n: (lambda n=n: self._answer(n)) for n in names}
+
+    def _answer(self, name: str) -> DataFrame:
+        p, t = self.params, self.table
+        build = {
+            "q1_top_categories": lambda: questions.q1_top_categories(t("mart_sales_by_category"), p.top_categories_n),
+            "q2_growth_extremes": lambda: questions.q2_growth_extremes(t("mart_monthly_sales"),
+                                                                       p.growth_min_prev_revenue, p.growth_n),
+            "q3_top_customers": lambda: questions.q3_top_customers(t("mart_customer_value"), p.top_customers_n),
+            "q4_repeat_vs_one_time": lambda: questions.q4_repeat_vs_one_time(t("mart_customer_value")),
+            "q5_top_products": lambda: questions.q5_top_products(t("fact_order_items"), t("dim_products"),
+                                                                 p.top_products_n),
+            "q6_worst_late_states": lambda: questions.q6_worst_late_states(
+                t("fact_order_items"), t("dim_customers"), p.late_states_min_orders, p.late_states_n),
+            "eda_top_categories": lambda: eda.eda_top_categories(t("mart_sales_by_category"),
+                                                                 p.chart_top_categories_n),
+            "eda_monthly_trend": lambda: eda.eda_monthly_trend(t("mart_monthly_sales")),
+            "eda_value_tiers": lambda: eda.eda_value_tiers(t("mart_customer_value")),
+            "eda_correlation": lambda: eda.eda_correlation(t("fact_order_items")),
+        }
+        return build[name]()
+
     def table(self, name: str) -> DataFrame:
         for layer in (self.stg, self.star, self.marts):
             if name in layer:
@@ -58,42 +107,23 @@ class Warehouse:
         raise KeyError(name)
 
     # -- answers ----------------------------------------------------------
-    @cached_property
-    def _questions(self) -> dict[str, DataFrame]:
-        return self.questions()
-
-    @cached_property
-    def _charts(self) -> dict[str, DataFrame]:
-        return self.charts()
-
     def question(self, name: str) -> DataFrame:
-        return self._questions[name]
+        return self._memo(name)
 
     def chart(self, name: str) -> DataFrame:
-        return self._charts[name]
+        return self._memo(name)
+
+    def _memo(self, name: str) -> DataFrame:
+        cache = self.__dict__.setdefault("_answers", {})
+        if name not in cache:
+            cache[name] = self._answer(name)
+        return cache[name]
 
     def questions(self) -> dict[str, DataFrame]:
-        p, t = self.params, self.table
-        fact = t("fact_order_items")
-        return {
-            "q1_top_categories": questions.q1_top_categories(t("mart_sales_by_category"), p.top_categories_n),
-            "q2_growth_extremes": questions.q2_growth_extremes(t("mart_monthly_sales"), p.growth_min_prev_revenue,
-                                                               p.growth_n),
-            "q3_top_customers": questions.q3_top_customers(t("mart_customer_value"), p.top_customers_n),
-            "q4_repeat_vs_one_time": questions.q4_repeat_vs_one_time(t("mart_customer_value")),
-            "q5_top_products": questions.q5_top_products(fact, t("dim_products"), p.top_products_n),
-            "q6_worst_late_states": questions.q6_worst_late_states(fact, t("dim_customers"),
-                                                                   p.late_states_min_orders, p.late_states_n),
-        }
+        return {n: self._answer(n) for n in _QUESTION_NAMES}
 
     def charts(self) -> dict[str, DataFrame]:
-        t = self.table
-        return {
-            "eda_top_categories": eda.eda_top_categories(t("mart_sales_by_category"), self.params.chart_top_categories_n),
-            "eda_monthly_trend": eda.eda_monthly_trend(t("mart_monthly_sales")),
-            "eda_value_tiers": eda.eda_value_tiers(t("mart_customer_value")),
-            "eda_correlation": eda.eda_correlation(t("fact_order_items")),
-        }
+        return {n: self._answer(n) for n in _CHART_NAMES}
 
     # -- checks -----------------------------------------------------------
     def source_profile(self) -> DataFrame:
