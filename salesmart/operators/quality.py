@@ -144,6 +144,14 @@ def row_accounting(sources: dict[str, DataFrame], stg: dict[str, DataFrame], del
     ])
 
 
+def preview(df: DataFrame, n: int = 5, order_by: Sequence[str] | None = None) -> DataFrame:
+    """First ``n`` rows for eyeballing (A12). Ordered by ``order_by`` (all
+    columns by default) so the preview is the same on every run; planned
+    as a distributed top-n."""
+    cols = list(order_by) if order_by else df.columns
+    return df.orderBy(*[F.col(f"`{c}`").asc_nulls_last() for c in cols]).limit(n)
+
+
 def require_rows(df: DataFrame, name: str) -> None:
     """Fail loudly when a table or result is empty (B4). One small job."""
     if df.isEmpty():

@@ -36,6 +36,23 @@ class Warehouse:
     def from_fixture(cls, spark: SparkSession, sf_dir: str, params: Params = Params()) -> "Warehouse":
         return cls(fixture_sources(spark, sf_dir), params)
 
+    @classmethod
+    def from_written(cls, spark: SparkSession, run_dir: str, params: Params = Params(),
+                     layers: tuple[str, ...] = ("staging", "star", "marts")) -> "Warehouse":
+        """Open the tables a rebuild wrote (B6): later stages run against an
+        existing warehouse. Raises ``FileNotFoundError`` naming the first
+        missing table, so a stage never runs on a half-built warehouse."""
+        names = {"staging": tuple(STAGING_NAMES.values()), "star": STAR_NAMES, "marts": MART_NAMES}
+        tables = {}
+        for layer in layers:
+            for name in names[layer]:
+                path = f"{run_dir.rstrip('/')}/{name}"
+                try:
+                    tables[name] = spark.read.parquet(path)
+                except Exception as err:  # noqa: BLE001 - Spark raises AnalysisException
+                    raise FileNotFoundError(f"{name} not found under {run_dir}; run the {layer} stage first") from err
+        return cls({}, params, tables=tables)
+
     # -- layers ---------------------------------------------------------
     def _layer(self, names, build) -> dict[str, DataFrame]:
         """Given (written) tables win; the plan is built only if one is missing."""

@@ -46,3 +46,19 @@ def test_fixture_thresholds_filter_everything_at_sf0001(spark):
     # and the answers gate refuses empty results, as the reference does.
     with pytest.raises(QualityError):
         rebuild(spark, fixture_sources(spark, SF001), FIXTURE_PARAMS)
+
+
+def test_later_stages_run_on_a_written_warehouse(spark):
+    from salesmart.plans.warehouse import Warehouse
+    report = rebuild(spark, fixture_sources(spark, SF001), SMALL, answers=False)
+    w = Warehouse.from_written(spark, report.out_dir, SMALL)
+    assert w.question("q3_top_customers").count() == 10
+    with pytest.raises(FileNotFoundError, match="mart_sales_by_category"):
+        Warehouse.from_written(spark, report.out_dir + "-missing", SMALL, layers=("marts",))
+
+
+def test_preview_is_deterministic(spark):
+    from salesmart.operators.quality import preview
+    df = spark.range(100).selectExpr("id % 7 AS a", "id AS b")
+    first = [tuple(r) for r in preview(df.repartition(5), 5).collect()]
+    assert first == [(0, 0), (0, 7), (0, 14), (0, 21), (0, 28)]
