@@ -71,3 +71,22 @@ def test_decimal_out_of_range_fails(spark):
     df = spark.createDataFrame([(Decimal("123456789.12"),)], "v decimal(12,2)")
     with pytest.raises(Exception):
         df.select(F.col("v").cast("decimal(10,2)")).collect()
+
+
+from decimal import ROUND_HALF_UP  # noqa: E402
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.tuples(st.integers(-10 ** 12, 10 ** 12), st.integers(-10 ** 9, 10 ** 9).filter(bool)),
+                min_size=1, max_size=20),
+       st.booleans())
+def test_round_ratio_matches_exact_decimal(spark, pairs, percent):
+    df = spark.createDataFrame([(Decimal(n) / 100, Decimal(d)) for n, d in pairs], "n decimal(16,2), d decimal(12,0)")
+    got = [r.r for r in df.select(round_ratio(F.col("n"), F.col("d"), num_scale=2,
+                                              percent=percent).alias("r")).collect()]
+    want = [((Decimal(n) / 100) / Decimal(d) * (100 if percent else 1)).quantize(Decimal("0.01"), ROUND_HALF_UP)
+            for n, d in pairs]
+    assert got == want
