@@ -1,9 +1,9 @@
 """Cleaning rules: raw source -> staging table (K1-K3b).
 
-Each source is first deduplicated on its key (:func:`dedup_source`), then
-its rules apply (``clean_*`` on the deduplicated frame). :func:`staging`
-composes the two; the pipeline composes them itself so it can count rows
-between the steps without another pass.
+Each ``clean_*`` deduplicates a source on its key (:func:`dedup_source`),
+then applies that source's rules. The pipeline composes the two steps
+itself (:func:`apply_rules`) so it can count rows between them without
+another pass.
 """
 
 from __future__ import annotations
@@ -24,10 +24,7 @@ def dedup_source(name: str, df: DataFrame) -> DataFrame:
     return dedup(df, SOURCES[name].pk)
 
 
-def clean_orders(orders: DataFrame, status: str = _DEFAULT.delivered_status) -> DataFrame:
-    """Keep delivered orders with a purchase time; add ``delivery_days``
-    (floored elapsed days) and ``delivered_late`` (0/1). Expects
-    deduplicated orders."""
+def _orders_rules(orders: DataFrame, status: str) -> DataFrame:
     o = orders.where(F.col("order_status") == F.lit(status)).dropna(subset=["order_purchase_timestamp"])
     return (o.withColumn("delivery_days", elapsed_days(F.col("order_purchase_timestamp"),
                                                        F.col("order_delivered_customer_date")))
@@ -35,23 +32,37 @@ def clean_orders(orders: DataFrame, status: str = _DEFAULT.delivered_status) ->
                                                      F.col("order_estimated_delivery_date"))))
 
 
-def clean_items(items: DataFrame) -> DataFrame:
-    """``item_total`` = price + freight, exact decimal."""
+def _items_rules(items: DataFrame) -> DataFrame:
     return items.withColumn("item_total", F.col("price") + F.col("freight_value"))
 
 
-def clean_products(products: DataFrame, fill: str = _DEFAULT.unknown_category) -> DataFrame:
-    """A missing category becomes ``fill``."""
+def _products_rules(products: DataFrame, fill: str) -> DataFrame:
     return products.fillna({"product_category_name": fill})
 
 
+def clean_orders(orders: DataFrame, status: str = _DEFAULT.delivered_status) -> DataFrame:
+    """Dedup on the key, keep delivered orders with a purchase time, add
+    ``delivery_days`` (floored elapsed days) and ``delivered_late`` (0/1)."""
+    return _orders_rules(dedup_source("orders", orders), status)
+
+
+def clean_items(items: DataFrame) -> DataFrame:
+    """Dedup on (order, line); ``item_total`` = price + freight, exact."""
+    return _items_rules(dedup_source("order_items", items))
+
+
+def clean_products(products: DataFrame, fill: str = _DEFAULT.unknown_category) -> DataFrame:
+    """Dedup on the key; a missing category becomes ``fill``."""
+    return _products_rules(dedup_source("products", products), fill)
+
+
 def clean_customers(customers: DataFrame) -> DataFrame:
-    """Nothing beyond the dedup: people without a delivered order stay."""
-    return customers
+    """Dedup only: people without a delivered order stay."""
+    return dedup_source("customers", customers)
 
 
 def clean_translation(translation: DataFrame) -> DataFrame:
-    return translation
+    return dedup_source("category_translation", translation)
 
 
 STAGING_NAMES = {
@@ -61,15 +72,14 @@ STAGING_NAMES = {
 
 
 def apply_rules(name: str, deduped: DataFrame, params: Params = _DEFAULT) -> DataFrame:
+    """The rules after the dedup, for callers that dedup themselves."""
     if name == "orders":
-        return clean_orders(deduped, params.delivered_status)
+        return _orders_rules(deduped, params.delivered_status)
     if name == "order_items":
-        return clean_items(deduped)
+        return _items_rules(deduped)
     if name == "products":
-        return clean_products(deduped, params.unknown_category)
-    if name == "customers":
-        return clean_customers(deduped)
-    return clean_translation(deduped)
+        return _products_rules(deduped, params.unknown_category)
+    return deduped
 
 
 def staging(sources: dict[str, DataFrame], params: Params = _DEFAULT) -> dict[str, DataFrame]:

@@ -13,8 +13,8 @@ from __future__ import annotations
 
 import time
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -25,6 +25,7 @@ from salesmart.operators.staging import STAGING_NAMES, apply_rules, dedup_source
 from salesmart.params import Params
 from salesmart.plans.warehouse import Warehouse
 from salesmart.session import new_run_dir
+from salesmart.sources.sinks import observed_metrics, write_table
 
 
 # Jobs of one layer submitted at once; they are small next to a cluster and
@@ -32,16 +33,6 @@ from salesmart.session import new_run_dir
 LAYER_THREADS = 6
 
 
-def _metrics(obs: Observation) -> dict | None:
-    """Observed metrics, or None when the optimizer removed the observed
-    plan (a relation it can prove empty carries no metrics)."""
-    try:
-        got = obs.get
-    except Exception:  # noqa: BLE001 - py4j raises a bare assertion error
-        return None
-    return got or None
-
-
 @dataclass
 class RunReport:
     out_dir: str
@@ -62,22 +53,16 @@ class _Writer:
         return Observation(f"{name}-{self.tag}")
 
     def __call__(self, name: str, df: DataFrame, partitions: int | None = None, gate: bool = True) -> DataFrame:
-        """Write ``df`` as ``name``, counting rows during the write; fail on
-        an empty result; return the written table."""
-        obs = self.observation(name)
-        observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        if partitions:
-            observed = observed.coalesce(partitions)
-        path = f"{self.out_dir}/{name}"
+        """Write ``df`` as ``name`` (row count observed during the write);
+        fail on an empty result; return the written table."""
         start = time.perf_counter()
-        observed.write.mode("overwrite").parquet(path)
-        got = _metrics(obs)
-        rows = int(got["rows"]) if got else self.spark.read.parquet(path).count()
+        table, rows = write_table(self.spark, df, f"{self.out_dir}/{name}", name=name,
+                                  partitions=partitions, require_rows=False)
         self.report.table_seconds[name] = round(time.perf_counter() - start, 3)
         self.report.rows[name] = rows
         if gate and rows == 0:
             raise QualityError(f"{name} has 0 rows")
-        return self.spark.read.schema(df.schema).parquet(path)
+        return table
 
     def layer(self, frames: dict[str, Callable[[], DataFrame]], **kw) -> dict[str, DataFrame]:
         """Build and write independent tables concurrently (plan analysis
@@ -124,11 +109,11 @@ def rebuild(spark: SparkSession, sources: dict[str, DataFrame], params: Params =
         deduped = deduped.observe(dedup_obs, F.count(F.lit(1)).alias("rows"))
         stg_name = STAGING_NAMES[name]
         table = write(stg_name, apply_rules(name, deduped, params), gate=False)
-        metrics = _metrics(profile_obs) or {"rows": 0 if src.isEmpty() else -1}
+        metrics = observed_metrics(profile_obs) or {"rows": 0 if src.isEmpty() else -1}
         report.profile[name] = {k: int(v) for k, v in metrics.items() if k == "rows" or v}
         if metrics["rows"] == 0:
             raise QualityError(f"source {name} has 0 rows")
-        deduped_rows = (_metrics(dedup_obs) or {"rows": metrics["rows"]})["rows"]
+        deduped_rows = (observed_metrics(dedup_obs) or {"rows": metrics["rows"]})["rows"]
         report.duplicates[name] = int(metrics["rows"]) - int(deduped_rows)
         if report.rows[stg_name] == 0:
             raise QualityError(f"{stg_name} has 0 rows")
