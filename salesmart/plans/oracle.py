@@ -78,8 +78,8 @@ src_customers AS (
 ),
 src_products AS (SELECT p_partkey AS product_id, NULLIF(p_type, 'PROMO') AS product_category_name FROM part),
 src_category_translation AS (
-    SELECT * FROM (VALUES ('ECONOMY', 'economy'), ('LARGE', 'large'), ('MEDIUM', 'medium'), ('STANDARD', 'standard'))
-        AS t(product_category_name, product_category_name_english)
+    SELECT DISTINCT p_type AS product_category_name, lower(p_type) AS product_category_name_english
+    FROM part WHERE p_type IN ('ECONOMY', 'LARGE', 'MEDIUM', 'STANDARD')
 ),
 stg_orders AS (
     SELECT *,

@@ -83,19 +83,24 @@ def products_source(part: DataFrame) -> DataFrame:
                        F.nullif(F.col("p_type"), F.lit(PROMO_TYPE)).alias("product_category_name"))
 
 
-def translation_source(spark: SparkSession) -> DataFrame:
-    rows = [(t, t.lower()) for t in TRANSLATED_TYPES]
-    return spark.createDataFrame(rows, "product_category_name string, product_category_name_english string")
+def translation_source(part: DataFrame) -> DataFrame:
+    """One row per translated part type present in ``part``, English = lower case.
+    A distinct over one low-cardinality column: partial aggregation leaves a
+    handful of rows per task to shuffle."""
+    t = F.col("p_type")
+    return (part.select(t).where(t.isin(*TRANSLATED_TYPES)).distinct()
+            .select(t.alias("product_category_name"), F.lower(t).alias("product_category_name_english")))
 
 
 def fixture_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The five raw sources, shaped like the reference's inputs."""
     items = items_source(table(spark, sf_dir, "lineitem"))
     orders = table(spark, sf_dir, "orders")
+    part = table(spark, sf_dir, "part")
     return {
         "orders": orders_source(orders, items),
         "order_items": items,
         "customers": customers_source(orders, table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")),
-        "products": products_source(table(spark, sf_dir, "part")),
-        "category_translation": translation_source(spark),
+        "products": products_source(part),
+        "category_translation": translation_source(part),
     }
