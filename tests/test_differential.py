@@ -62,3 +62,18 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["revenue_rank", "category_en", "total_revenue", "pct_of_total_revenue"]
     assert len(df.collect()) > 0
+
+
+def test_counts_match_fixture_measurements_sf001(spark):
+    """Row counts measured independently for FIXTURES.md §2 at sf0.01."""
+    got = {r.table_name: r.rows for r in E.queries()["table_row_counts"](spark, SF01).collect()}
+    assert {k: got[k] for k in ("stg_order_items", "stg_orders", "dim_customers", "dim_products", "dim_dates",
+                                "fact_order_items", "mart_monthly_sales", "mart_customer_value",
+                                "mart_sales_by_category")} == {
+        "stg_order_items": 45832, "stg_orders": 4933, "dim_customers": 1500, "dim_products": 2000,
+        "dim_dates": 2097, "fact_order_items": 15098, "mart_monthly_sales": 79, "mart_customer_value": 1425,
+        "mart_sales_by_category": 5}
+    fact = E.queries()["fact_order_items"](spark, SF01)
+    assert fact.where("delivered_late = 1").count() == 11441
+    assert fact.where("delivery_days IS NULL").count() == 156
+    assert fact.where("delivery_days < 0").count() == 3192

@@ -62,3 +62,20 @@ def test_preview_is_deterministic(spark):
     df = spark.range(100).selectExpr("id % 7 AS a", "id AS b")
     first = [tuple(r) for r in preview(df.repartition(5), 5).collect()]
     assert first == [(0, 0), (0, 7), (0, 14), (0, 21), (0, 28)]
+
+
+def test_command_line_rebuild_and_answer(spark, capsys, tmp_path):
+    import json
+
+    from salesmart.__main__ import main
+    src = fixture_sources(spark, SF001)
+    raw = tmp_path / "raw"
+    for name, df in src.items():
+        from salesmart.sources import SOURCES
+        df.write.parquet(str(raw / SOURCES[name].file_name))
+    args = ["--high", "1300000", "--medium", "700000", "--min-prev", "0", "--min-orders", "1"]
+    assert main(["rebuild", str(raw), "--format", "parquet", *args]) == 0
+    out = json.loads(capsys.readouterr().out)
+    assert out["rows"]["fact_order_items"] == 1524
+    assert main(["answer", out["out_dir"], "--rows", "3", *args]) == 0
+    assert "== q6_worst_late_states" in capsys.readouterr().out
