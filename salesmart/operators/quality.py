@@ -21,7 +21,8 @@ class QualityError(ValueError):
     """A gate or a declared constraint failed."""
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
+def union_all(frames: list[DataFrame]) -> DataFrame:
+    """UNION ALL by column name."""
     return reduce(DataFrame.unionByName, frames)
 
 
@@ -102,9 +103,9 @@ def star_join(fact: DataFrame, dim_customers: DataFrame, dim_products: DataFrame
             .select("order_id", "order_item_id", "year_month", "category_en", "customer_state", "item_total"))
 
 
-def _steps(one_row: DataFrame, table_name: str, steps: list[tuple[str, object]]) -> DataFrame:
-    cells = [F.struct(F.lit(step).alias("step"), F.col(c).cast("bigint").alias("rows")) if isinstance(c, str)
-             else F.struct(F.lit(step).alias("step"), c.cast("bigint").alias("rows")) for step, c in steps]
+def _steps(one_row: DataFrame, table_name: str, steps: list[tuple[str, str]]) -> DataFrame:
+    """Unpivot a one-row count summary into (table_name, step, rows)."""
+    cells = [F.struct(F.lit(step).alias("step"), F.col(c).cast("bigint").alias("rows")) for step, c in steps]
     return (one_row.select(F.explode(F.array(*cells)).alias("cell"))
             .select(F.lit(table_name).alias("table_name"), "cell.step", "cell.rows"))
 
@@ -133,7 +134,7 @@ def row_accounting(sources: dict[str, DataFrame], stg: dict[str, DataFrame], del
         F.count_if(F.col("customer_id").isNull()).alias("no_delivered_order"),
         F.count_if(F.col("customer_id").isNotNull() & F.col("c_id").isNull()).alias("no_customer"),
         F.count_if(F.col("c_id").isNotNull()).alias("in_fact"))
-    return _union([
+    return union_all([
         _steps(o_raw, "orders", [("raw", "raw")]),
         _steps(o_stats, "orders", [("after_dedup", "kept"), ("not_delivered", "not_delivered"),
                                    ("null_purchase_time", "no_purchase_time")]),

@@ -11,11 +11,12 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salesmart.operators import eda, marts, questions, quality, staging, star
+from salesmart.operators.staging import STAGING_NAMES
 from salesmart.params import Params
 from salesmart.sources.fixture import fixture_sources
-from salesmart.operators.staging import STAGING_NAMES
 from salesmart.sources.specs import SOURCES
 
 _QUESTION_NAMES = ("q1_top_categories", "q2_growth_extremes", "q3_top_customers", "q4_repeat_vs_one_time",
@@ -144,36 +145,38 @@ class Warehouse:
 
     # -- checks -----------------------------------------------------------
     def source_profile(self) -> DataFrame:
-        return quality._union([quality.profile(df, name) for name, df in self.sources.items()])
+        return quality.union_all([quality.profile(df, name) for name, df in self.sources.items()])
 
     def source_duplicates(self) -> DataFrame:
-        return quality._union([quality.duplicates(df, SOURCES[name].pk, name) for name, df in self.sources.items()])
+        return quality.union_all([quality.duplicates(df, SOURCES[name].pk, name) for name, df in self.sources.items()])
 
-    def primary_keys(self) -> DataFrame:
-        """Declared keys of the star plus the raw item key (which does repeat)."""
+    def primary_keys(self, include_raw: bool = True) -> DataFrame:
+        """Declared keys of the star, plus the raw item key (which does
+        repeat) when ``include_raw`` and the sources are at hand."""
         t = self.table
-        return quality._union([
-            quality.primary_key_report(self.sources["order_items"], SOURCES["order_items"].pk, "order_items"),
+        raw = ([quality.primary_key_report(self.sources["order_items"], SOURCES["order_items"].pk, "order_items")]
+               if include_raw and "order_items" in self.sources else [])
+        return quality.union_all(raw + [
             quality.primary_key_report(t("dim_customers"), ["customer_key"], "dim_customers"),
             quality.primary_key_report(t("dim_products"), ["product_key"], "dim_products"),
             quality.primary_key_report(t("dim_dates"), ["date_key"], "dim_dates"),
             quality.primary_key_report(t("fact_order_items"), ["order_id", "order_item_id"], "fact_order_items"),
         ])
 
-    def foreign_keys(self) -> DataFrame:
+    def foreign_keys(self, include_staging: bool = True) -> DataFrame:
         """The fact's three references, plus staging items -> staging orders
-        (non-empty: items of undelivered orders)."""
+        when ``include_staging`` (non-empty: items of undelivered orders)."""
         t, fact = self.table, self.table("fact_order_items")
-        return quality._union([
+        staged = [quality.foreign_key_report(t("stg_order_items"), t("stg_orders"), "order_id", "order_id",
+                                             "stg_order_items", "stg_orders")] if include_staging else []
+        return quality.union_all([
             quality.foreign_key_report(fact, t("dim_customers"), "customer_key", "customer_key",
                                        "fact_order_items", "dim_customers"),
             quality.foreign_key_report(fact, t("dim_products"), "product_key", "product_key",
                                        "fact_order_items", "dim_products"),
             quality.foreign_key_report(fact, t("dim_dates"), "order_date_key", "date_key",
                                        "fact_order_items", "dim_dates"),
-            quality.foreign_key_report(t("stg_order_items"), t("stg_orders"), "order_id", "order_id",
-                                       "stg_order_items", "stg_orders"),
-        ])
+        ] + staged)
 
     def row_accounting(self) -> DataFrame:
         return quality.row_accounting(self.sources, self.stg, self.params.delivered_status)
@@ -183,7 +186,6 @@ class Warehouse:
         return quality.star_join(t("fact_order_items"), t("dim_customers"), t("dim_products"), t("dim_dates"))
 
     def row_counts(self, names: list[str] | None = None) -> DataFrame:
-        from pyspark.sql import functions as F
         names = names or [*self.stg, *self.star, *self.marts]
-        return quality._union([self.table(n).agg(F.count(F.lit(1)).alias("rows"))
+        return quality.union_all([self.table(n).agg(F.count(F.lit(1)).alias("rows"))
                                .select(F.lit(n).alias("table_name"), "rows") for n in names])
