@@ -81,8 +81,9 @@ def primary_key_report(df: DataFrame, pk: Sequence[str], table_name: str) -> Dat
 
 
 def foreign_key_orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """Child rows whose non-null key has no parent row (B8); a null key is legal."""
-    p = parent.select(F.col(parent_key).alias("__fk")).distinct()
+    """Child rows whose non-null key has no parent row (B8); a null key is
+    legal. An anti join ignores repeated parent keys, so no distinct."""
+    p = parent.select(F.col(parent_key).alias("__fk"))
     return child.where(F.col(child_key).isNotNull()).join(p, F.col(child_key) == F.col("__fk"), "left_anti")
 
 
