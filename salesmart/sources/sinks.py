@@ -28,11 +28,13 @@ def write_table(spark: SparkSession, df: DataFrame, path: str, *, name: str | No
     """Overwrite ``path`` with ``df`` as Parquet and return the written
     table with its row count. The count is observed while the rows are
     written (no second pass); ``require_rows`` fails an empty result.
-    ``partitions`` narrows small results to that many files."""
+    ``partitions`` narrows a small result to that many files through a
+    shuffle, so the stages computing it keep their parallelism (a
+    ``coalesce`` would pull the whole upstream stage into that many tasks)."""
     obs = Observation(f"{name or 'table'}-{uuid.uuid4().hex[:8]}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if partitions:
-        observed = observed.coalesce(partitions)
+        observed = observed.repartition(partitions)
     observed.write.mode("overwrite").parquet(path)
     got = observed_metrics(obs)
     rows = int(got["rows"]) if got else spark.read.parquet(path).count()

@@ -83,3 +83,16 @@ def test_counts_agree(written):
     assert _one(written.question("q4_repeat_vs_one_time"), "customers") == cv.count()
     assert written.star_join().count() == fact.count()
     assert _one(written.table("mart_monthly_sales"), "order_count") == fact.select("order_id").distinct().count()
+
+
+def test_small_answers_keep_upstream_parallelism(spark, written):
+    """Writing an answer as one file must not pull its window stage into one task."""
+    import tempfile
+
+    from salesmart.sources.sinks import write_table
+    q5 = written.question("q5_top_products")
+    out = tempfile.mkdtemp(prefix="salesmart-q5-")
+    table, rows = write_table(spark, q5, f"{out}/q5", partitions=1)
+    assert rows == q5.count() and len(table.inputFiles()) == 1
+    df = q5.repartition(1)
+    assert "Exchange RoundRobinPartitioning(1)" in plan(df) or "SinglePartition" in plan(df)
