@@ -16,16 +16,21 @@ from salesmart.params import Params
 
 
 def _session():
+    """The cluster session under ``spark-submit`` (its master and sizing
+    untouched; only our SQL defaults are added where unset), else local."""
+    import os
+
     from pyspark.sql import SparkSession
 
     from salesmart.session import SESSION_DEFAULTS, local_session
     active = SparkSession.getActiveSession()
-    if active is None:
+    if active is None and not os.environ.get("PYSPARK_GATEWAY_PORT"):
         return local_session("*")
+    spark = active or SparkSession.builder.getOrCreate()
     for key, value in SESSION_DEFAULTS.items():
-        if key.startswith("spark.sql.") and active.conf.get(key, None) is None:
-            active.conf.set(key, value)
-    return active
+        if key.startswith("spark.sql.") and spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+    return spark
 
 
 def _params(args) -> Params:
