@@ -143,8 +143,9 @@ def rebuild(spark: SparkSession, sources: dict[str, DataFrame], params: Params =
     lap("marts")
 
     if answers:
-        # Stages 4 and 5: the questions and chart tables; small, one file each.
-        write.layer(w.answer_builders(), partitions=1)
+        # Stages 4 and 5: the questions and chart tables (small; AQE sizes
+        # their final stages, no forced file count).
+        write.layer(w.answer_builders())
         lap("answers")
     report.seconds["total"] = round(sum(report.seconds.values()), 3)
     return report
