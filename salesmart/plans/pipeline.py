@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.operators.quality import QualityError, profile_metrics
+from salesmart.operators.schemas import schema_mismatches, star_schemas
 from salesmart.operators.staging import STAGING_NAMES, apply_rules, dedup_source
 from salesmart.params import Params
 from salesmart.plans.warehouse import Warehouse
@@ -126,6 +127,11 @@ def rebuild(spark: SparkSession, sources: dict[str, DataFrame], params: Params =
     # Stage 2: star schema from the written staging tables, then its gates.
     w = Warehouse(sources, params, tables=stg)
     star = write.layer(w.star_builders())
+    id_type = dict(stg["stg_orders"].dtypes)["order_id"]
+    declared = star_schemas(id_type)
+    wrong = {n: m for n, t in star.items() if (m := schema_mismatches(t, declared[n]))}
+    if wrong:
+        raise QualityError(f"star tables differ from their declared types: {wrong}")
     w = Warehouse(sources, params, tables={**stg, **star})
     # One job for both gates: declared keys of the star, and the fact's references.
     pk = (w.primary_keys(include_raw=False)

@@ -190,3 +190,17 @@ def test_params_defaults_are_reference_values():
     p = Params()
     assert (p.high_tier_min, p.medium_tier_min, p.growth_min_prev_revenue, p.late_states_min_orders) == \
         (500, 150, 100_000, 100)
+
+
+def test_star_tables_have_declared_types(spark):
+    from salesmart.operators.schemas import conform, schema_mismatches, star_schemas
+    w = Warehouse(_basic(spark))
+    declared = star_schemas("string")
+    for name in declared:
+        assert schema_mismatches(w.table(name), declared[name]) == [], name
+    # conform is the typed INSERT: by name, cast, and loud on overflow
+    df = spark.createDataFrame([("a", 5, Decimal("123456789.12"))], "k string, n int, v decimal(12,2)")
+    assert conform(df.select("k", "n"), [("n", "bigint"), ("k", "string")]).dtypes == [("n", "bigint"), ("k", "string")]
+    import pytest
+    with pytest.raises(Exception):
+        conform(df, [("v", "decimal(10,2)")]).collect()
