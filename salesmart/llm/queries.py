@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from salesmart.llm.exact_dedup import exact_groups
+from salesmart.llm.ngram_join import near_duplicates
 from salesmart.llm.shared import read_table
 
 
@@ -20,7 +21,12 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_ngram_jaccard": op8_ngram_jaccard,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
