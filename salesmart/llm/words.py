@@ -17,11 +17,11 @@ import pyarrow as pa
 SHINGLE_WORDS = 5
 SLICE_BYTES = 1 << 20  # text bytes handled by one set of numpy temporaries
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_LOWER = np.arange(256, dtype=np.uint64)
-_LOWER[65:91] += 32
-_LOWER += 1
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_PLAIN = np.arange(1, 257, dtype=np.uint64)
+_LOWER = _PLAIN.copy()
+_LOWER[65:91] += np.uint64(32)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -67,29 +67,43 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, off - off[0]
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word, in order, and the index of each row's first word
-    (n + 1 entries). Bytes are taken in slices cut between words."""
-    space = _SPACE[raw]
+def word_spans(raw: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and length of every word, in order, and the index of each row's
+    first word (n + 1 entries). ``space`` says which bytes separate words."""
+    gap = space[raw]
     row_start = np.zeros(len(raw) + 1, bool)
     row_start[offsets] = True
-    first = ~space
-    first[1:] &= space[:-1] | row_start[1:-1]
+    row_start[-1] = True
+    first = ~gap
+    first[1:] &= gap[:-1] | row_start[1:-1]
+    last = ~gap
+    last[:-1] &= gap[1:] | row_start[1:-1]
     starts = np.flatnonzero(first)
-    words = np.zeros(len(starts), np.uint64)
-    bounds = np.searchsorted(starts, offsets)
+    return starts, np.flatnonzero(last) + 1 - starts, np.searchsorted(starts, offsets)
+
+
+def span_hashes(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray, lower: bool = True) -> np.ndarray:
+    """64-bit hash of each span, in slices cut between spans."""
+    out = np.zeros(len(starts), np.uint64)
+    table = _LOWER if lower else _PLAIN
+    done = np.cumsum(lengths)
     i = 0
     while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(starts, starts[i] + SLICE_BYTES)))
-        a, b = int(starts[i]), int(starts[j]) if j < len(starts) else len(raw)
-        part, ws = raw[a:b], starts[i:j] - a
-        lengths = np.diff(np.append(ws, b - a))
-        at = np.arange(b - a) - np.repeat(ws, lengths)
-        value = _LOWER[part] * _position_weights(int(lengths.max()))[at]
-        value[space[a:b]] = 0
-        words[i:j] = np.add.reduceat(value, ws)
+        before = done[i - 1] if i else 0
+        j = max(i + 1, int(np.searchsorted(done, before + SLICE_BYTES)))
+        size = lengths[i:j]
+        first = np.cumsum(size) - size
+        at = np.arange(int(size.sum())) - np.repeat(first, size)
+        value = table[raw[np.repeat(starts[i:j], size) + at]] * _position_weights(int(size.max()))[at]
+        out[i:j] = np.add.reduceat(value, first)
         i = j
-    return mix(words), bounds
+    return mix(out)
+
+
+def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word, in order, and the index of each row's first word."""
+    starts, lengths, bounds = word_spans(raw, offsets)
+    return span_hashes(raw, starts, lengths), bounds
 
 
 def shingle_hashes(words: np.ndarray) -> np.ndarray:
