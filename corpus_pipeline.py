@@ -11,7 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from salesmart.llm.exact_dedup import drop_exact_copies
+from salesmart.llm.ngram_join import near_duplicates
 from salesmart.llm.shared import read_table, stored
+from salesmart.llm.toxicity import drop_toxic
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the toxicity classifier rejects go."""
+    return drop_toxic(docs, read_table(spark, sf_dir, "labels"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,8 +26,17 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_exact_copies(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked at 5-gram Jaccard 0.8 or more, the smallest id
+    stays (its rows, should the id be repeated)."""
+    dropped = near_duplicates(docs).where("doc_id <> component_id").select("doc_id")
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity),
     ("exact_dedup", exact_dedup),
+    ("ngram_jaccard", near_dedup),
 ]
 
 # Not expressible in SQL (trained classifier, Newton iterations); tested

@@ -10,10 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salesmart.llm.exact_dedup import exact_groups
 from salesmart.llm.ngram_join import near_duplicates
 from salesmart.llm.shared import read_table
+from salesmart.llm.toxicity import fit_model, held_out, score_documents
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,11 +23,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = fit_model(docs, read_table(spark, sf_dir, "labels"))
+    return score_documents(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_toxicity": op7_toxicity,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op10_exact_dedup": op10_exact_dedup,
 }
