@@ -10,7 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from salesmart.llm.decontaminate import drop_contaminated
 from salesmart.llm.exact_dedup import drop_exact_copies
+from salesmart.llm.mixing import mix_documents
 from salesmart.llm.ngram_join import near_duplicates
 from salesmart.llm.shared import read_table, stored
 from salesmart.llm.toxicity import drop_toxic
@@ -33,10 +35,22 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it, numbered in ``copy``."""
+    return mix_documents(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", toxicity),
     ("exact_dedup", exact_dedup),
     ("ngram_jaccard", near_dedup),
+    ("decontaminate", decontaminate),
+    ("mix_sources", mix),
 ]
 
 # Not expressible in SQL (trained classifier, Newton iterations); tested
