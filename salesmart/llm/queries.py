@@ -12,11 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesmart.llm.chat import format_conversations, read_back
 from salesmart.llm.decontaminate import contaminated
 from salesmart.llm.exact_dedup import exact_groups
 from salesmart.llm.mixing import mixed
 from salesmart.llm.ngram_join import near_duplicates
-from salesmart.llm.shared import read_table
+from salesmart.llm.shared import read_table, stored
 from salesmart.llm.toxicity import fit_model, held_out, score_documents
 
 
@@ -29,6 +30,16 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+CONTROL_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)], rows.schema)
+    written = stored(format_conversations(rows.unionAll(extra)), "chat")
+    return read_back(written).drop("rewrites_history")
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(read_table(spark, sf_dir, "documents"))
 
@@ -45,6 +56,7 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
+    "op5_chat_format": op5_chat_format,
     "op6_mix_sources": op6_mix_sources,
     "op7_toxicity": op7_toxicity,
     "op8_ngram_jaccard": op8_ngram_jaccard,
@@ -53,7 +65,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
+_ESCAPED = "length({0}) + length({0}) - length(translate({0}, '\\#<{1}', ''))"
+
 ORACLE: dict[str, str] = {
+    "op5_chat_format": f"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '{CONTROL_TEXT}' UNION ALL SELECT -7, 1, 'assistant', '{CONTROL_TEXT}')
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(14 + {_ESCAPED.format('role', ':')} + {_ESCAPED.format('text', '')}) AS BIGINT) AS formatted_chars
+        FROM turns GROUP BY conv_id""",
     "op10_exact_dedup": f"""
         WITH norm AS (
             SELECT doc_id, coalesce(text, '') AS t,
