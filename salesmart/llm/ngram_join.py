@@ -32,7 +32,7 @@ compared by 64-bit hashes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +48,7 @@ SHORT_LIST = 8          # lists up to this long are paired at once
 PARTNER_SHARES = (16, 1)  # later rounds: one partner in 16, then all
 LARGEST_LIGHT = 256     # sizes tried as the boundary
 SIZE_BINS = 4096
+BROADCAST_IDS = 1 << 20  # ids sent to every executor at most
 
 _SETS_SCHEMA = "kind int, doc_id long, n int, cid long, shingle long, seen long"
 
@@ -239,8 +240,9 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", (common * 100 >= (F.size("of_a") + F.size("of_b") - common) * 80).alias("linked"))
 
 
-def linked_classes(lists: DataFrame, sets: DataFrame, light: int) -> DataFrame:
-    """(node, component) of classes that link to another one."""
+def linked_classes(lists: DataFrame, sets_of: Callable[[DataFrame], DataFrame], light: int) -> DataFrame:
+    """(node, component) of classes that link to another one. ``sets_of``
+    gives the shingle sets of the classes (cid) it is asked for."""
     per_key = Window.partitionBy("key")
     lists = stored(lists.withColumn("m", F.count("*").over(per_key)).withColumn(
         "leader", F.min(F.struct("cid", "n", "ub")).over(per_key)), "lists")
@@ -248,7 +250,11 @@ def linked_classes(lists: DataFrame, sets: DataFrame, light: int) -> DataFrame:
     short = x.where("m <= %d" % SHORT_LIST).join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.cid") < F.col("y.cid")))
     star = lists.where("m > %d" % SHORT_LIST).select(
         F.struct("key", "cid", "n", "ub").alias("x"), F.struct(F.col("key"), "leader.*").alias("y"))
-    tested = [stored(_verified(_pairs(short, light).unionAll(_pairs(star, light)).distinct(), sets), "tested")]
+    first = stored(_pairs(short, light).unionAll(_pairs(star, light)).distinct(), "pairs")
+    # All that any round can verify: pairs of the first one, members of long lists.
+    sets = sets_of(first.select(F.col("a").alias("cid")).unionAll(first.select("b")).unionAll(
+        lists.where("m > %d" % SHORT_LIST).select("cid")).distinct())
+    tested = [stored(_verified(first, sets), "tested")]
     labels = components(tested[0].where("linked"))
 
     for share in PARTNER_SHARES:
@@ -300,13 +306,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lists = stored(postings.withColumn("lo", F.min("cid").over(per_key)).withColumn("hi", F.max("cid").over(per_key))
                    .where("lo <> hi").select("key", "cid", "n", "ub").distinct(), "shared-keys")
 
-    involved = lists.select("cid").distinct()
-    reps = classes.join(involved, "cid", "left_semi").select(F.col("rep").alias("_rep"))
-    texts = rows.join(reps, F.col("doc_id").eqNullSafe(F.col("_rep")), "left_semi").select("text")
-    sets = stored(texts.mapInArrow(_class_sets, "cid long, shingles array<long>")
-                  .join(involved, "cid", "left_semi").dropDuplicates(["cid"]), "class-sets")
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        wanted = stored(wanted, "wanted")
+        reps = stored(classes.join(wanted, "cid", "left_semi").select(F.col("rep").alias("_rep")), "representatives")
+        if reps.count() <= BROADCAST_IDS:  # else the texts are shuffled to them
+            reps = F.broadcast(reps)
+        texts = rows.join(reps, F.col("doc_id").eqNullSafe(F.col("_rep")), "left_semi").select("text")
+        return stored(texts.mapInArrow(_class_sets, "cid long, shingles array<long>")
+                      .join(wanted, "cid", "left_semi").dropDuplicates(["cid"]), "class-sets")
 
-    labels = linked_classes(lists, sets, light)
+    labels = linked_classes(lists, sets_of, light)
     comps = classes.join(labels, F.col("cid") == F.col("node"), "left").select(
         "cid", "rep", F.coalesce("component", "cid").alias("component"))
     least = comps.groupBy("component").agg(F.min("rep").alias("component_id"))
