@@ -19,6 +19,8 @@ from salesmart.llm.mixing import mixed
 from salesmart.llm.ngram_join import near_duplicates
 from salesmart.llm.shared import read_table, stored
 from salesmart.llm.toxicity import fit_model, held_out, score_documents
+from salesmart.llm.warc import assemble, page_captures, read_records, write_archives
+from salesmart.session import new_run_dir
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +28,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_run_dir(spark, "llm/warc")
+    write_archives(read_table(spark, sf_dir, "pages"), path)
+    captures = stored(assemble(read_records(spark, path, payloads=False)), "warc-captures")
+    return page_captures(captures).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -55,6 +64,7 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op2_decontaminate": op2_decontaminate,
     "op5_chat_format": op5_chat_format,
     "op6_mix_sources": op6_mix_sources,
@@ -68,6 +78,15 @@ _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _ESCAPED = "length({0}) + length({0}) - length(translate({0}, '\\#<{1}', ''))"
 
 ORACLE: dict[str, str] = {
+    "op1_warc": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                   sha256(coalesce(html, '')) AS payload_digest FROM pages),
+        f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND first_id <> page_id THEN first_id END AS refers_to
+        FROM f""",
     "op5_chat_format": f"""
         WITH turns AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
