@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from salesmart.llm.chat import format_conversations, read_back
 from salesmart.llm.decontaminate import contaminated
 from salesmart.llm.exact_dedup import exact_groups
+from salesmart.llm.language_id import predict_languages
 from salesmart.llm.mixing import mixed
 from salesmart.llm.ngram_join import near_duplicates
 from salesmart.llm.shared import read_table, stored
@@ -39,6 +40,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_languages(read_table(spark, sf_dir, "documents"))
+
+
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
 
 
@@ -66,6 +71,7 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_decontaminate": op2_decontaminate,
+    "op4_language_id": op4_language_id,
     "op5_chat_format": op5_chat_format,
     "op6_mix_sources": op6_mix_sources,
     "op7_toxicity": op7_toxicity,
