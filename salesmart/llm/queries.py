@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from salesmart.llm.chat import format_conversations, read_back
 from salesmart.llm.decontaminate import contaminated
 from salesmart.llm.exact_dedup import exact_groups
+from salesmart.llm.html_text import extract_text
 from salesmart.llm.language_id import predict_languages
 from salesmart.llm.mixing import mixed
 from salesmart.llm.ngram_join import near_duplicates
@@ -24,6 +25,10 @@ from salesmart.llm.warc import assemble, page_captures, read_records, write_arch
 from salesmart.session import new_run_dir
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(read_table(spark, sf_dir, "pages"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return exact_groups(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_mix_sources": op6_mix_sources,
     "op7_toxicity": op7_toxicity,
     "op8_ngram_jaccard": op8_ngram_jaccard,
+    "op9_html_text": op9_html_text,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
