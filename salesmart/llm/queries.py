@@ -17,6 +17,7 @@ from salesmart.llm.decontaminate import contaminated
 from salesmart.llm.exact_dedup import exact_groups
 from salesmart.llm.html_text import extract_text
 from salesmart.llm.language_id import predict_languages
+from salesmart.llm.licenses import scan_licenses
 from salesmart.llm.mixing import mixed
 from salesmart.llm.ngram_join import near_duplicates
 from salesmart.llm.shared import read_table, stored
@@ -45,6 +46,15 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` as a source tree: a document is a file of its source,
+    in a directory for its 512 ids under one for its 4096 ids."""
+    group = F.floor(F.col("doc_id") / 4096).cast("string"), F.floor(F.col("doc_id") / 512).cast("string")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), *group, F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    files = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), path.alias("path"), "text")
+    return scan_licenses(files).withColumnRenamed("id", "doc_id")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(read_table(spark, sf_dir, "documents"))
 
@@ -76,6 +86,7 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_decontaminate": op2_decontaminate,
+    "op3_license_scan": op3_license_scan,
     "op4_language_id": op4_language_id,
     "op5_chat_format": op5_chat_format,
     "op6_mix_sources": op6_mix_sources,
