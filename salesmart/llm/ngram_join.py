@@ -19,9 +19,10 @@ rank last (a table of fixed size); results do not depend on it.
 Copies collapse first: equal sets form one class, and only classes are joined.
 Long lists are not expanded into all pairs: every member is first verified
 against the list's leader, links give components, and later rounds pair only
-members whose components still differ (a sample of partners first, then all),
-so every link between different components is found while pairs that cannot
-change a component are never made. Candidates are verified on whole sets.
+members whose components still differ (a part of the partners first, then
+all), so every link between different components is found while pairs that
+cannot change a component are never made. Candidates whose posted keys cannot
+reach the needed overlap go, the rest are verified on whole sets.
 
 Defined cases: null or empty text: empty set, linked with nothing; fewer than
 five words: the whole sequence is the one shingle; null ids take part and
@@ -207,8 +208,8 @@ def _class_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _set_batch(cid: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
     offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
     return pa.RecordBatch.from_arrays(
-        [pa.array(cid, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))],
-        ["cid", "shingles"])
+        [pa.array(cid, pa.int64()), pa.array(np.diff(offsets)),
+         pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))], ["cid", "n", "items"])
 
 
 def _may_link(a: str, b: str):
@@ -226,18 +227,33 @@ def _pairs(joined: DataFrame, light: int) -> DataFrame:
             .select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct())
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with ``linked``: exact Jaccard of the whole sets. The
-    set of a class with many partners is repeated once per 256 of them."""
+def _both_sides(pairs: DataFrame, table: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) with columns of ``table`` (cid, n, items) of both
+    classes. The row of a class with many partners is repeated once per 256 of
+    them, so a hub is dealt over many tasks."""
     many = F.least(F.ceil(F.count("*").over(Window.partitionBy("a")) / 256), F.lit(4096)).cast("int")
     dealt = pairs.withColumn("pieces", many).withColumn("piece", F.pmod(F.xxhash64("b"), F.col("pieces")).cast("int"))
     hubs = (dealt.groupBy("a").agg(F.max("pieces").alias("pieces"))
-            .join(sets.select(F.col("cid").alias("a"), F.col("shingles").alias("of_a")), "a")
+            .join(table.select(F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("items").alias("of_a")), "a")
             .withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).drop("pieces"))
-    both = (dealt.join(sets.select(F.col("cid").alias("b"), F.col("shingles").alias("of_b")), "b")
-            .join(hubs, ["a", "piece"]))
-    common = F.size(F.array_intersect("of_a", "of_b"))
-    return both.select("a", "b", (common * 100 >= (F.size("of_a") + F.size("of_b") - common) * 80).alias("linked"))
+    spokes = table.select(F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("items").alias("of_b"))
+    return dealt.join(spokes, "b").join(hubs, ["a", "piece"]).withColumn("common", F.size(F.array_intersect("of_a", "of_b")))
+
+
+def _plausible(pairs: DataFrame, posted: DataFrame, light: int) -> DataFrame:
+    """Pairs that the list keys both sets posted still allow: the shared ones
+    and all that lies beyond the prefix must reach the needed overlap."""
+    def beyond(n: str):
+        return F.ceil(F.col(n) * 4 / 5) - 1
+
+    reach = (F.col("common") + F.greatest(beyond("n_a"), beyond("n_b"))) * 9 >= (F.col("n_a") + F.col("n_b")) * 4
+    return _both_sides(pairs, posted).where((F.greatest("n_a", "n_b") <= light) | reach).select("a", "b")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) with ``linked``: exact Jaccard of the whole sets."""
+    linked = F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * 80
+    return _both_sides(pairs, sets).select("a", "b", linked.alias("linked"))
 
 
 def linked_classes(lists: DataFrame, sets_of: Callable[[DataFrame], DataFrame], light: int) -> DataFrame:
@@ -246,15 +262,19 @@ def linked_classes(lists: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
     per_key = Window.partitionBy("key")
     lists = stored(lists.withColumn("m", F.count("*").over(per_key)).withColumn(
         "leader", F.min(F.struct("cid", "n", "ub")).over(per_key)), "lists")
+    posted = stored(lists.groupBy("cid").agg(F.max("n").alias("n"), F.collect_list(
+        F.when(F.col("key") % 2 != 0, F.col("key"))).alias("items")), "posted")
+
+    def tested_pairs(pairs: DataFrame) -> DataFrame:
+        pairs = stored(_plausible(pairs, posted, light), "pairs")
+        sets = sets_of(pairs.select(F.col("a").alias("cid")).unionAll(pairs.select("b")).distinct())
+        return stored(_verified(pairs, sets), "tested")
+
     x, y = lists.alias("x"), lists.alias("y")
     short = x.where("m <= %d" % SHORT_LIST).join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.cid") < F.col("y.cid")))
     star = lists.where("m > %d" % SHORT_LIST).select(
         F.struct("key", "cid", "n", "ub").alias("x"), F.struct(F.col("key"), "leader.*").alias("y"))
-    first = stored(_pairs(short, light).unionAll(_pairs(star, light)).distinct(), "pairs")
-    # All that any round can verify: pairs of the first one, members of long lists.
-    sets = sets_of(first.select(F.col("a").alias("cid")).unionAll(first.select("b")).unionAll(
-        lists.where("m > %d" % SHORT_LIST).select("cid")).distinct())
-    tested = [stored(_verified(first, sets), "tested")]
+    tested = [tested_pairs(_pairs(short, light).unionAll(_pairs(star, light)).distinct())]
     labels = components(tested[0].where("linked"))
 
     for share in PARTNER_SHARES:
@@ -271,7 +291,7 @@ def linked_classes(lists: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
         pairs = _pairs(met, light)
         for done in tested:
             pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
-        result = stored(_verified(pairs, sets), "tested")
+        result = tested_pairs(pairs)
         tested.append(result)
         if not result.where("linked").isEmpty():
             links = tested[0].where("linked")
@@ -312,8 +332,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if reps.count() <= BROADCAST_IDS:  # else the texts are shuffled to them
             reps = F.broadcast(reps)
         texts = rows.join(reps, F.col("doc_id").eqNullSafe(F.col("_rep")), "left_semi").select("text")
-        return stored(texts.mapInArrow(_class_sets, "cid long, shingles array<long>")
-                      .join(wanted, "cid", "left_semi").dropDuplicates(["cid"]), "class-sets")
+        # An id that is repeated may bring a class twice: it verifies alike.
+        return stored(texts.mapInArrow(_class_sets, "cid long, n int, items array<long>"), "class-sets")
 
     labels = linked_classes(lists, sets_of, light)
     comps = classes.join(labels, F.col("cid") == F.col("node"), "left").select(
