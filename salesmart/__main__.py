@@ -48,7 +48,7 @@ def main(argv: list[str] | None = None) -> int:
     rb.add_argument("--no-answers", action="store_true")
     an = sub.add_parser("answer", help="print the questions and chart tables of a written warehouse")
     an.add_argument("run_dir")
-    an.add_argument("--rows", type=int, default=30, help="rows printed per answer")
+    an.add_argument("--rows", type=int, default=None, help="rows printed per answer (default: the whole answer)")
     for p in (rb, an):
         d = Params()
         p.add_argument("--high", type=float, default=d.high_tier_min)
@@ -64,7 +64,7 @@ def main(argv: list[str] | None = None) -> int:
         report = rebuild(spark, read_sources(spark, args.raw_dir, args.format), _params(args), args.out,
                          answers=not args.no_answers)
         print(json.dumps({"out_dir": report.out_dir, "rows": report.rows, "seconds": report.seconds,
-                          "profile": report.profile, "duplicates": report.duplicates,
+                          "profile": report.profile, "duplicates": report.duplicates, "accounting": report.accounting,
                           "checks": report.checks}, indent=2, default=str))
         return 0
 
@@ -72,7 +72,11 @@ def main(argv: list[str] | None = None) -> int:
     w = Warehouse.from_written(spark, args.run_dir, _params(args))
     for name, df in {**w.questions(), **w.charts()}.items():
         print(f"\n== {name}")
-        df.show(args.rows, truncate=False)
+        rows = df.count()  # answers are top-n tables, bounded by their parameters and the calendar
+        shown = rows if args.rows is None else min(rows, args.rows)
+        df.show(max(shown, 1), truncate=False)
+        if shown < rows:
+            print(f"({rows - shown} more rows)")
     return 0
 
 

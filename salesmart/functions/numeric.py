@@ -29,11 +29,13 @@ def cents(col: Column, scale: int = 2) -> Column:
 
 def _half_up_quotient(num: Column, den: Column, shift: int) -> Column:
     """round(num / den * 10**shift) for integral num, den; ties away from
-    zero; null when den is 0 or null. ``div`` is exact integral division."""
+    zero; null when den is 0 or null. The remainder is taken off first, so the
+    decimal division is exact; overflow raises (ANSI) instead of wrapping."""
     n = num.cast(_WIDE)
     d = F.nullif(den.cast(_WIDE), F.lit(0).cast(_WIDE))
     doubled = F.abs(n) * F.lit(2 * 10 ** shift) + F.abs(d)
-    q = F.call_function("div", doubled, F.abs(d) * F.lit(2))
+    twice = F.abs(d) * F.lit(2)
+    q = ((doubled - doubled % twice) / twice).cast(_WIDE)
     return F.when((n < 0) != (d < 0), -q).otherwise(q)
 
 

@@ -27,7 +27,7 @@ def eda_top_categories(mart_category: DataFrame, n: int = _DEFAULT.chart_top_cat
 
 
 def eda_monthly_trend(mart_monthly: DataFrame) -> DataFrame:
-    return mart_monthly.select("year_month", "total_revenue", _thousands("total_revenue"))
+    return mart_monthly.select("year_month", "total_revenue", _thousands("total_revenue")).orderBy("year_month")
 
 
 def eda_value_tiers(mart_customer: DataFrame) -> DataFrame:

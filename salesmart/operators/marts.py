@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,10 +78,15 @@ def mart_customer_value(fact: DataFrame, high: float = _DEFAULT.high_tier_min,
                     tier.alias("value_tier"))
 
 
-def marts(star: dict[str, DataFrame], params: Params = _DEFAULT) -> dict[str, DataFrame]:
-    fact = star["fact_order_items"]
+def mart_builders(table: Callable[[str], DataFrame], params: Params = _DEFAULT) -> dict[str, Callable[[], DataFrame]]:
+    """How each mart is built from the star tables ``table`` gives by name."""
     return {
-        "mart_sales_by_category": mart_sales_by_category(fact, star["dim_products"]),
-        "mart_monthly_sales": mart_monthly_sales(fact, star["dim_dates"]),
-        "mart_customer_value": mart_customer_value(fact, params.high_tier_min, params.medium_tier_min),
+        "mart_sales_by_category": lambda: mart_sales_by_category(table("fact_order_items"), table("dim_products")),
+        "mart_monthly_sales": lambda: mart_monthly_sales(table("fact_order_items"), table("dim_dates")),
+        "mart_customer_value": lambda: mart_customer_value(table("fact_order_items"), params.high_tier_min,
+                                                           params.medium_tier_min),
     }
+
+
+def marts(star: dict[str, DataFrame], params: Params = _DEFAULT) -> dict[str, DataFrame]:
+    return {name: build() for name, build in mart_builders(star.__getitem__, params).items()}

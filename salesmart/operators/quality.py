@@ -26,13 +26,6 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def profile_metrics(df: DataFrame) -> list:
-    """Row count and per-column null counts as aggregate columns, for
-    ``DataFrame.observe`` (computed while another job reads the rows)."""
-    return [F.count(F.lit(1)).alias("rows")] + [
-        F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls:{c}") for c in df.columns]
-
-
 def profile(df: DataFrame, table_name: str) -> DataFrame:
     """Row count plus null count of every column that has nulls (B1, B2).
 
@@ -63,12 +56,6 @@ def duplicates(df: DataFrame, pk: Sequence[str], table_name: str) -> DataFrame:
                     F.col("duplicate_rows").cast("bigint").alias("duplicate_rows")))
 
 
-def primary_key_violations(df: DataFrame, pk: Sequence[str]) -> DataFrame:
-    """Key values that repeat or contain a null (B7)."""
-    any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in pk])
-    return key_counts(df, pk).where((F.col("rows") > 1) | any_null)
-
-
 def primary_key_report(df: DataFrame, pk: Sequence[str], table_name: str) -> DataFrame:
     """One row: repeated keys, rows beyond the first, rows with a null key part."""
     any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in pk])
@@ -152,9 +139,3 @@ def preview(df: DataFrame, n: int = 5, order_by: Sequence[str] | None = None) ->
     as a distributed top-n."""
     cols = list(order_by) if order_by else df.columns
     return df.orderBy(*[F.col(f"`{c}`").asc_nulls_last() for c in cols]).limit(n)
-
-
-def require_rows(df: DataFrame, name: str) -> None:
-    """Fail loudly when a table or result is empty (B4). One small job."""
-    if df.isEmpty():
-        raise QualityError(f"{name} has 0 rows")

@@ -54,7 +54,7 @@ def q3_top_customers(mart_customer: DataFrame, n: int = _DEFAULT.top_customers_n
     w = Window.orderBy(F.col("total_spent").desc(), F.col("customer_key").asc())
     ranked = mart_customer.select(F.row_number().over(w).alias("spend_rank"),
                                   "customer_key", "total_spent", "order_count", "value_tier")
-    return ranked.where(F.col("spend_rank") <= n)
+    return ranked.where(F.col("spend_rank") <= n).orderBy("spend_rank")
 
 
 def q4_repeat_vs_one_time(mart_customer: DataFrame) -> DataFrame:
@@ -71,7 +71,7 @@ def q4_repeat_vs_one_time(mart_customer: DataFrame) -> DataFrame:
         "customer_type", "customers",
         round_ratio(F.col("customers"), all_customers, percent=True).alias("pct_of_customers"),
         round_ratio(F.col("spent"), F.col("orders"), num_scale=2).alias("avg_spend_per_order"),
-        round_ratio(F.col("spent"), F.col("customers"), num_scale=2).alias("avg_lifetime_spend"))
+        round_ratio(F.col("spent"), F.col("customers"), num_scale=2).alias("avg_lifetime_spend")).orderBy("customer_type")
 
 
 def q5_top_products(fact: DataFrame, dim_products: DataFrame, n: int = _DEFAULT.top_products_n) -> DataFrame:
@@ -87,7 +87,8 @@ def q5_top_products(fact: DataFrame, dim_products: DataFrame, n: int = _DEFAULT.
     w = Window.partitionBy("category_en").orderBy(F.col("revenue").desc())
     ranked = j.withColumn("rank_in_category", F.rank().over(w))
     return (ranked.where(F.col("rank_in_category") <= n)
-            .select("category_en", "rank_in_category", "product_key", "revenue", "items_sold"))
+            .select("category_en", "rank_in_category", "product_key", "revenue", "items_sold")
+            .orderBy(F.col("category_en").asc_nulls_last(), "rank_in_category", "product_key"))
 
 
 def q6_worst_late_states(fact: DataFrame, dim_customers: DataFrame,

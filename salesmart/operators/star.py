@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.functions.numeric import money
 from salesmart.operators.dedup import first_per_key
+from salesmart.operators.schemas import conform, star_schemas
 from salesmart.params import Params
 
 _DEFAULT = Params()
@@ -63,22 +65,26 @@ def fact_order_items(stg_items: DataFrame, stg_orders: DataFrame, stg_customers:
     items = stg_items.select("order_id", "order_item_id", "product_id", "price", "freight_value", "item_total")
     return (items.join(orders, "order_id")
             .select("order_id",
-                    F.col("order_item_id").cast("int").alias("order_item_id"),
+                    "order_item_id",
                     F.col("customer_unique_id").alias("customer_key"),
                     F.col("product_id").alias("product_key"),
                     F.col("order_purchase_timestamp").cast("date").alias("order_date_key"),
-                    money(F.col("price")).alias("price"),
-                    money(F.col("freight_value")).alias("freight_value"),
-                    money(F.col("item_total")).alias("item_total"),
-                    F.col("delivery_days").cast("int").alias("delivery_days"),
-                    F.col("delivered_late").cast("int").alias("delivered_late")))
-
-
-def star(stg: dict[str, DataFrame], params: Params = _DEFAULT) -> dict[str, DataFrame]:
-    return {
-        "dim_customers": dim_customers(stg["stg_customers"], stg["stg_orders"]),
-        "dim_products": dim_products(stg["stg_products"], stg["stg_category_translation"],
-                                     params.unknown_category),
-        "dim_dates": dim_dates(stg["stg_orders"]),
-        "fact_order_items": fact_order_items(stg["stg_order_items"], stg["stg_orders"], stg["stg_customers"]),
+                    "price", "freight_value", "item_total", "delivery_days", "delivered_late"))
+
+
+def star_builders(stg: Mapping[str, DataFrame], params: Params = _DEFAULT) -> dict[str, Callable[[], DataFrame]]:
+    """How each star table is built from the staging tables, in its declared
+    column types; called lazily, so callers may build them side by side."""
+    declared = star_schemas(dict(stg["stg_orders"].dtypes)["order_id"])
+    plans = {
+        "dim_customers": lambda: dim_customers(stg["stg_customers"], stg["stg_orders"]),
+        "dim_products": lambda: dim_products(stg["stg_products"], stg["stg_category_translation"],
+                                             params.unknown_category),
+        "dim_dates": lambda: dim_dates(stg["stg_orders"]),
+        "fact_order_items": lambda: fact_order_items(stg["stg_order_items"], stg["stg_orders"], stg["stg_customers"]),
     }
+    return {name: (lambda name=name, plan=plan: conform(plan(), declared[name])) for name, plan in plans.items()}
+
+
+def star(stg: Mapping[str, DataFrame], params: Params = _DEFAULT) -> dict[str, DataFrame]:
+    return {name: build() for name, build in star_builders(stg, params).items()}

@@ -1,12 +1,15 @@
 """The rebuild job (K21): staging -> star -> marts -> answers.
 
-Each layer is written once as Parquet under the run folder and read back,
-so later layers start from the written table (lineage is cut; a lost
-executor re-runs only the tasks of the current layer). The tables of one
-layer do not depend on each other, so their jobs are submitted together
-from a small pool of driver threads and share the executors. Gates run as
-Spark jobs after each layer: every table non-empty, keys unique and
-present, foreign keys resolved. Only one-row summaries reach the driver.
+Each build goes to a folder of its own. Each layer is written once as Parquet
+and read back, so later layers start from the written table (lineage is cut; a
+lost executor re-runs only the tasks of the current layer). The tables of one
+layer do not depend on each other, so their jobs are submitted together from a
+small pool of driver threads and share the executors. Gates run as Spark jobs
+after each layer: every table non-empty, keys unique and present, foreign keys
+resolved, the star join whole. Only when all have passed is the build record
+written, and only a folder with a record can be opened. Row counts and quality
+figures come from stored rows, never from counters of tasks that may run twice;
+only summaries of a few rows reach the driver.
 """
 
 from __future__ import annotations
@@ -17,16 +20,18 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.operators.quality import QualityError, profile_metrics
+from salesmart.operators import quality
+from salesmart.operators.quality import QualityError
 from salesmart.operators.schemas import schema_mismatches, star_schemas
 from salesmart.operators.staging import STAGING_NAMES, apply_rules, dedup_source
 from salesmart.params import Params
-from salesmart.plans.warehouse import Warehouse
-from salesmart.session import new_run_dir
-from salesmart.sources.sinks import observed_metrics, write_table
+from salesmart.plans.warehouse import BUILD_RECORD, Warehouse
+from salesmart.session import has_files, new_run_dir, require_ansi
+from salesmart.sources.sinks import write_table
+from salesmart.sources.specs import SOURCES
 
 
 # Jobs of one layer submitted at once; they are small next to a cluster and
@@ -37,25 +42,23 @@ LAYER_THREADS = 6
 @dataclass
 class RunReport:
     out_dir: str
+    build_id: str = field(default_factory=lambda: uuid.uuid4().hex)
     rows: dict[str, int] = field(default_factory=dict)
     seconds: dict[str, float] = field(default_factory=dict)
     checks: dict[str, list[dict]] = field(default_factory=dict)
     table_seconds: dict[str, float] = field(default_factory=dict)
     profile: dict[str, dict[str, int]] = field(default_factory=dict)
     duplicates: dict[str, int] = field(default_factory=dict)
+    accounting: dict[str, dict[str, int]] = field(default_factory=dict)
 
 
 class _Writer:
     def __init__(self, spark: SparkSession, out_dir: str, report: RunReport):
         self.spark, self.out_dir, self.report = spark, out_dir, report
-        self.tag = uuid.uuid4().hex[:8]
-
-    def observation(self, name: str) -> Observation:
-        return Observation(f"{name}-{self.tag}")
 
     def __call__(self, name: str, df: DataFrame, partitions: int | None = None, gate: bool = True) -> DataFrame:
-        """Write ``df`` as ``name`` (row count observed during the write);
-        fail on an empty result; return the written table."""
+        """Write ``df`` as ``name``, fail on an empty result, return the
+        written table."""
         start = time.perf_counter()
         table, rows = write_table(self.spark, df, f"{self.out_dir}/{name}", name=name,
                                   partitions=partitions, require_rows=False)
@@ -89,8 +92,12 @@ def rebuild(spark: SparkSession, sources: dict[str, DataFrame], params: Params =
             out_dir: str | None = None, answers: bool = True) -> RunReport:
     """Run the whole build; return row counts, stage times and check results.
 
-    ``out_dir`` defaults to a fresh folder under ``spark.checkpoint.dir``.
+    ``out_dir`` defaults to a fresh folder under ``spark.checkpoint.dir``; a
+    folder that already holds something is refused.
     """
+    require_ansi(spark)
+    if out_dir and has_files(spark, out_dir):
+        raise FileExistsError(f"{out_dir} is not empty; every build needs a folder of its own")
     report = RunReport(out_dir or new_run_dir(spark))
     write = _Writer(spark, report.out_dir, report)
     clock = time.perf_counter()
@@ -101,46 +108,52 @@ def rebuild(spark: SparkSession, sources: dict[str, DataFrame], params: Params =
         report.seconds[stage] = round(now - clock, 3)
         clock = now
 
-    # Stage 1: clean the sources into staging tables. The QA profile (rows,
-    # nulls per column) and the duplicate counts are observed while the
-    # staging writes read the rows: no extra pass over the sources.
+    # Stage 1: clean the sources into staging tables; beside it the QA
+    # profile (rows, nulls per column) and the duplicates of each source.
     def stage_one(name: str, src: DataFrame) -> tuple[str, DataFrame]:
-        profile_obs, dedup_obs = write.observation(f"profile_{name}"), write.observation(f"dedup_{name}")
-        deduped = dedup_source(name, src.observe(profile_obs, *profile_metrics(src)))
-        deduped = deduped.observe(dedup_obs, F.count(F.lit(1)).alias("rows"))
         stg_name = STAGING_NAMES[name]
-        table = write(stg_name, apply_rules(name, deduped, params), gate=False)
-        metrics = observed_metrics(profile_obs) or {"rows": 0 if src.isEmpty() else -1}
-        report.profile[name] = {k: int(v) for k, v in metrics.items() if k == "rows" or v}
-        if metrics["rows"] == 0:
-            raise QualityError(f"source {name} has 0 rows")
-        deduped_rows = (observed_metrics(dedup_obs) or {"rows": metrics["rows"]})["rows"]
-        report.duplicates[name] = int(metrics["rows"]) - int(deduped_rows)
-        if report.rows[stg_name] == 0:
-            raise QualityError(f"{stg_name} has 0 rows")
-        return stg_name, table
+        return stg_name, write(stg_name, apply_rules(name, dedup_source(name, src), params), gate=False)
+
+    def inspect(name: str, src: DataFrame) -> None:
+        cells = quality.profile(src, name).collect()  # one row per column at most
+        report.profile[name] = {"rows" if r.metric == "rows" else f"nulls:{r.column_name}": r.value for r in cells}
+        report.duplicates[name] = quality.duplicates(src, SOURCES[name].pk, name).first().duplicate_rows
 
     with ThreadPoolExecutor(max_workers=LAYER_THREADS) as pool:
-        stg = dict(f.result() for f in [pool.submit(stage_one, n, s) for n, s in sources.items()])
+        staged = [pool.submit(stage_one, n, s) for n, s in sources.items()]
+        inspected = [pool.submit(inspect, n, s) for n, s in sources.items()]
+        stg = dict(f.result() for f in staged)
+        for f in inspected:
+            f.result()
+    for name in sources:
+        if not report.profile[name]["rows"]:
+            raise QualityError(f"source {name} has 0 rows")
+        if not report.rows[STAGING_NAMES[name]]:
+            raise QualityError(f"{STAGING_NAMES[name]} has 0 rows")
     lap("staging")
 
     # Stage 2: star schema from the written staging tables, then its gates.
     w = Warehouse(sources, params, tables=stg)
     star = write.layer(w.star_builders())
-    id_type = dict(stg["stg_orders"].dtypes)["order_id"]
-    declared = star_schemas(id_type)
+    declared = star_schemas(dict(stg["stg_orders"].dtypes)["order_id"])
     wrong = {n: m for n, t in star.items() if (m := schema_mismatches(t, declared[n]))}
     if wrong:
         raise QualityError(f"star tables differ from their declared types: {wrong}")
     w = Warehouse(sources, params, tables={**stg, **star})
-    # One job for both gates: declared keys of the star, and the fact's references.
+    # One job for the gates: declared keys of the star, the fact's references,
+    # and the fact joined to all its dimensions, which must lose no row.
     pk = (w.primary_keys(include_raw=False)
           .select(F.lit("primary_key").alias("check"), "table_name",
                   (F.col("duplicate_keys") + F.col("null_key_rows")).alias("violations")))
     fk = (w.foreign_keys(include_staging=False)
           .select(F.lit("foreign_key").alias("check"), F.concat_ws("->", "child_table", "parent_table")
                   .alias("table_name"), F.col("orphan_rows").alias("violations")))
-    _gate(report, "star_keys", pk.unionByName(fk), lambda r: r["violations"])
+    joined = w.star_join().agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("star_join").alias("check"), F.lit("fact_order_items").alias("table_name"),
+        (F.lit(report.rows["fact_order_items"]) - F.col("n")).alias("violations"))
+    _gate(report, "star_keys", pk.unionByName(fk).unionByName(joined), lambda r: r["violations"])
+    for r in w.row_accounting().collect():  # nine rows
+        report.accounting.setdefault(r.table_name, {})[r.step] = r.rows
     lap("star")
 
     # Stage 3: marts.
@@ -153,18 +166,30 @@ def rebuild(spark: SparkSession, sources: dict[str, DataFrame], params: Params =
         # their final stages, no forced file count).
         write.layer(w.answer_builders())
         lap("answers")
+    # Last: the record that makes this folder a finished build.
+    record = [(report.build_id, name, rows) for name, rows in sorted(report.rows.items())]
+    (spark.createDataFrame(record, "build_id string, table_name string, rows long").coalesce(1)
+     .write.parquet(f"{report.out_dir}/{BUILD_RECORD}"))
     report.seconds["total"] = round(sum(report.seconds.values()), 3)
     return report
 
 
+def land_csv(spark: SparkSession, sources: dict[str, DataFrame], out_dir: str | None = None) -> str:
+    """Write source frames as the raw CSV files ``read_sources`` expects;
+    returns their folder."""
+    out_dir = out_dir or new_run_dir(spark, "raw")
+    cores = spark.sparkContext.defaultParallelism
+    for name, df in sources.items():
+        df.repartition(cores).write.option("header", True).option("escape", '"').csv(f"{out_dir}/{SOURCES[name].file_name}")
+    return out_dir
+
+
 def land(spark: SparkSession, sources: dict[str, DataFrame], out_dir: str | None = None) -> dict[str, DataFrame]:
     """Write source frames once as Parquet files (a raw landing zone) and
     return readers over them: the form raw inputs have on a cluster."""
     report = RunReport(out_dir or new_run_dir(spark, "landing"))
     write = _Writer(spark, report.out_dir, report)
+    # Spread round-robin: a source that arrives in one large split gives
+    # readers parallel files.
     cores = spark.sparkContext.defaultParallelism
-    # A source arriving in fewer splits than there are cores (one large
-    # row group, say) is spread round-robin so readers get parallel files.
-    spread = {name: df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-              for name, df in sources.items()}
-    return write.layer({name: (lambda df=df: df) for name, df in spread.items()})
+    return write.layer({name: (lambda df=df: df.repartition(cores)) for name, df in sources.items()})

@@ -6,16 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from salesmart.plans.warehouse import Warehouse
-
-TABLE_KEYS = (
-    "stg_orders", "stg_order_items", "stg_customers", "stg_products", "stg_category_translation",
-    "dim_customers", "dim_products", "dim_dates", "fact_order_items",
-    "mart_sales_by_category", "mart_monthly_sales", "mart_customer_value",
-)
-QUESTION_KEYS = ("q1_top_categories", "q2_growth_extremes", "q3_top_customers",
-                 "q4_repeat_vs_one_time", "q5_top_products", "q6_worst_late_states")
-CHART_KEYS = ("eda_top_categories", "eda_monthly_trend", "eda_value_tiers", "eda_correlation")
+from salesmart.plans.warehouse import CHART_NAMES, QUESTION_NAMES, TABLE_NAMES, Warehouse
 
 
 def _table(name: str) -> Callable[[Warehouse], DataFrame]:
@@ -31,9 +22,9 @@ def _chart(name: str) -> Callable[[Warehouse], DataFrame]:
 
 
 REGISTRY: dict[str, Callable[[Warehouse], DataFrame]] = {
-    **{k: _table(k) for k in TABLE_KEYS},
-    **{k: _question(k) for k in QUESTION_KEYS},
-    **{k: _chart(k) for k in CHART_KEYS},
+    **{k: _table(k) for k in TABLE_NAMES},
+    **{k: _question(k) for k in QUESTION_NAMES},
+    **{k: _chart(k) for k in CHART_NAMES},
     "qa_profile": Warehouse.source_profile,
     "qa_duplicates": Warehouse.source_duplicates,
     "check_primary_key": Warehouse.primary_keys,

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,19 +20,25 @@ from salesmart.params import Params
 from salesmart.sources.fixture import fixture_sources
 from salesmart.sources.specs import SOURCES
 
-_QUESTION_NAMES = ("q1_top_categories", "q2_growth_extremes", "q3_top_customers", "q4_repeat_vs_one_time",
-                   "q5_top_products", "q6_worst_late_states")
-_CHART_NAMES = ("eda_top_categories", "eda_monthly_trend", "eda_value_tiers", "eda_correlation")
-STAR_NAMES = ("dim_customers", "dim_products", "dim_dates", "fact_order_items")
-MART_NAMES = ("mart_sales_by_category", "mart_monthly_sales", "mart_customer_value")
+QUESTION_NAMES = ("q1_top_categories", "q2_growth_extremes", "q3_top_customers", "q4_repeat_vs_one_time",
+                  "q5_top_products", "q6_worst_late_states")
+CHART_NAMES = ("eda_top_categories", "eda_monthly_trend", "eda_value_tiers", "eda_correlation")
+LAYERS = {
+    "staging": tuple(STAGING_NAMES.values()),
+    "star": ("dim_customers", "dim_products", "dim_dates", "fact_order_items"),
+    "marts": ("mart_sales_by_category", "mart_monthly_sales", "mart_customer_value"),
+}
+TABLE_NAMES = tuple(name for names in LAYERS.values() for name in names)
+BUILD_RECORD = "build_record"
 
 
 class Warehouse:
     def __init__(self, sources: dict[str, DataFrame], params: Params = Params(),
-                 tables: dict[str, DataFrame] | None = None):
+                 tables: dict[str, DataFrame] | None = None, recorded_rows: dict[str, int] | None = None):
         self.sources = sources
         self.params = params
         self._given = dict(tables or {})
+        self._recorded = dict(recorded_rows or {})
 
     @classmethod
     def from_fixture(cls, spark: SparkSession, sf_dir: str, params: Params = Params()) -> "Warehouse":
@@ -39,20 +46,23 @@ class Warehouse:
 
     @classmethod
     def from_written(cls, spark: SparkSession, run_dir: str, params: Params = Params(),
-                     layers: tuple[str, ...] = ("staging", "star", "marts")) -> "Warehouse":
-        """Open the tables a rebuild wrote (B6): later stages run against an
-        existing warehouse. Raises ``FileNotFoundError`` naming the first
-        missing table, so a stage never runs on a half-built warehouse."""
-        names = {"staging": tuple(STAGING_NAMES.values()), "star": STAR_NAMES, "marts": MART_NAMES}
-        tables = {}
-        for layer in layers:
-            for name in names[layer]:
-                path = f"{run_dir.rstrip('/')}/{name}"
-                try:
-                    tables[name] = spark.read.parquet(path)
-                except Exception as err:  # noqa: BLE001 - Spark raises AnalysisException
-                    raise FileNotFoundError(f"{name} not found under {run_dir}; run the {layer} stage first") from err
-        return cls({}, params, tables=tables)
+                     layers: tuple[str, ...] = tuple(LAYERS)) -> "Warehouse":
+        """Open the tables of a finished build (B6). A build writes its record
+        last, after every gate; a folder without one, or whose record lacks a
+        table asked for, raises ``FileNotFoundError``."""
+        path = f"{run_dir.rstrip('/')}"
+        try:
+            record = spark.read.schema("build_id string, table_name string, rows long").parquet(f"{path}/{BUILD_RECORD}")
+            rows = {r["table_name"]: r["rows"] for r in record.collect()}  # one row per table
+        except AnalysisException as err:
+            if "PATH_NOT_FOUND" not in str(err):
+                raise
+            raise FileNotFoundError(f"no finished build under {run_dir}: its {BUILD_RECORD} is missing") from err
+        wanted = [name for layer in layers for name in LAYERS[layer]]
+        missing = [name for name in wanted if name not in rows]
+        if missing:
+            raise FileNotFoundError(f"the build under {run_dir} did not write {missing}")
+        return cls({}, params, {name: spark.read.parquet(f"{path}/{name}") for name in wanted}, rows)
 
     # -- layers ---------------------------------------------------------
     def _layer(self, names, build) -> dict[str, DataFrame]:
@@ -63,39 +73,25 @@ class Warehouse:
 
     @cached_property
     def stg(self) -> dict[str, DataFrame]:
-        return self._layer(STAGING_NAMES.values(), lambda: staging.staging(self.sources, self.params))
+        return self._layer(LAYERS["staging"], lambda: staging.staging(self.sources, self.params))
 
     @cached_property
     def star(self) -> dict[str, DataFrame]:
-        return self._layer(STAR_NAMES, lambda: star.star(self.stg, self.params))
+        return self._layer(LAYERS["star"], lambda: star.star(self.stg, self.params))
 
     @cached_property
     def marts(self) -> dict[str, DataFrame]:
-        return self._layer(MART_NAMES, lambda: marts.marts(self.star, self.params))
+        return self._layer(LAYERS["marts"], lambda: marts.marts(self.star, self.params))
 
     # -- per-table plan builders, for callers that build in parallel ------
     def star_builders(self) -> dict[str, Callable[[], DataFrame]]:
-        stg, p = self.stg, self.params
-        return {
-            "dim_customers": lambda: star.dim_customers(stg["stg_customers"], stg["stg_orders"]),
-            "dim_products": lambda: star.dim_products(stg["stg_products"], stg["stg_category_translation"],
-                                                      p.unknown_category),
-            "dim_dates": lambda: star.dim_dates(stg["stg_orders"]),
-            "fact_order_items": lambda: star.fact_order_items(stg["stg_order_items"], stg["stg_orders"],
-                                                              stg["stg_customers"]),
-        }
+        return star.star_builders(self.stg, self.params)
 
     def mart_builders(self) -> dict[str, Callable[[], DataFrame]]:
-        t, p = self.table, self.params
-        return {
-            "mart_sales_by_category": lambda: marts.mart_sales_by_category(t("fact_order_items"), t("dim_products")),
-            "mart_monthly_sales": lambda: marts.mart_monthly_sales(t("fact_order_items"), t("dim_dates")),
-            "mart_customer_value": lambda: marts.mart_customer_value(t("fact_order_items"), p.high_tier_min,
-                                                                     p.medium_tier_min),
-        }
+        return marts.mart_builders(self.table, self.params)
 
     def answer_builders(self) -> dict[str, Callable[[], DataFrame]]:
-        names = [*_QUESTION_NAMES, *_CHART_NAMES]
+        names = [*QUESTION_NAMES, *CHART_NAMES]
         return {n: (lambda n=n: self._answer(n)) for n in names}
 
     def _answer(self, name: str) -> DataFrame:
@@ -119,10 +115,20 @@ class Warehouse:
         return build[name]()
 
     def table(self, name: str) -> DataFrame:
-        for layer in (self.stg, self.star, self.marts):
-            if name in layer:
-                return layer[name]
-        raise KeyError(name)
+        """A table as given (written), else its plan; only the layer it
+        belongs to is built."""
+        if name in self._given:
+            return self._given[name]
+        if name in LAYERS["staging"]:
+            return self.stg[name]
+        if name in LAYERS["star"]:
+            return self.star[name]
+        return self.marts[name]
+
+    def register_views(self, prefix: str = "", names: tuple[str, ...] = TABLE_NAMES) -> None:
+        """Temp views of the tables (A5), so SQL can query them by name."""
+        for name in names:
+            self.table(name).createOrReplaceTempView(f"{prefix}{name}")
 
     # -- answers ----------------------------------------------------------
     def question(self, name: str) -> DataFrame:
@@ -138,10 +144,10 @@ class Warehouse:
         return cache[name]
 
     def questions(self) -> dict[str, DataFrame]:
-        return {n: self._answer(n) for n in _QUESTION_NAMES}
+        return {n: self._answer(n) for n in QUESTION_NAMES}
 
     def charts(self) -> dict[str, DataFrame]:
-        return {n: self._answer(n) for n in _CHART_NAMES}
+        return {n: self._answer(n) for n in CHART_NAMES}
 
     # -- checks -----------------------------------------------------------
     def source_profile(self) -> DataFrame:
@@ -186,6 +192,10 @@ class Warehouse:
         return quality.star_join(t("fact_order_items"), t("dim_customers"), t("dim_products"), t("dim_dates"))
 
     def row_counts(self, names: list[str] | None = None) -> DataFrame:
-        names = names or [*self.stg, *self.star, *self.marts]
+        """Rows per table: from the build record where there is one."""
+        names = list(names or TABLE_NAMES)
+        if all(n in self._recorded for n in names):
+            spark = self.table(names[0]).sparkSession
+            return spark.createDataFrame([(n, self._recorded[n]) for n in names], "table_name string, rows long")
         return quality.union_all([self.table(n).agg(F.count(F.lit(1)).alias("rows"))
-                               .select(F.lit(n).alias("table_name"), "rows") for n in names])
+                                  .select(F.lit(n).alias("table_name"), "rows") for n in names])

@@ -48,6 +48,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def require_ansi(spark: SparkSession) -> None:
+    """Casts must fail on malformed values; without ANSI they give nulls."""
+    if str(spark.conf.get("spark.sql.ansi.enabled", "true")).lower() != "true":
+        raise RuntimeError("spark.sql.ansi.enabled must be true: malformed values would silently become null")
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists and holds anything, in whatever store it is."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(conf)
+    return bool(fs.exists(where)) and len(fs.listStatus(where)) > 0
+
+
 def new_run_dir(spark: SparkSession, label: str = "run") -> str:
     """A fresh folder under the checkpoint root for one pipeline run."""
     return f"{checkpoint_root(spark)}/salesmart/{label}-{uuid.uuid4().hex[:12]}"

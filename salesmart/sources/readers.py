@@ -12,6 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesmart.session import require_ansi
 from salesmart.sources.specs import SOURCES, SourceSpec
 
 # The tokens the reference's CSV reader treats as missing
@@ -43,11 +44,14 @@ def read_source(spark: SparkSession, spec: SourceSpec, path: str, fmt: str = "cs
 
     CSV files are read splittable (``multiLine`` off), so one large file is
     spread over many tasks. Raises ``FileNotFoundError`` with the path when
-    it does not exist.
+    it does not exist, and refuses a session whose casts would hide bad values.
     """
+    require_ansi(spark)
     try:
         if fmt == "csv":
-            raw = (spark.read.option("header", True).option("inferSchema", False)
+            # enforceSchema off: a file whose header differs from the first
+            # one's fails instead of being read by position.
+            raw = (spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
                    .option("mode", "FAILFAST").option("escape", '"').csv(path))
             return type_columns(raw, spec)
         raw = spark.read.format(fmt).load(path)

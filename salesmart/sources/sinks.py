@@ -1,43 +1,27 @@
-"""Table sink (A6, A10, A11, B4): create-or-replace a Parquet table,
-counting its rows during the write."""
+"""Table sink (A6, A10, A11, B4): create a Parquet table and count its rows
+from the written files."""
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 class EmptyTableError(ValueError):
     """A table came out with no rows."""
 
 
-def observed_metrics(obs: Observation) -> dict | None:
-    """Observed metrics, or None when the optimizer removed the observed
-    plan (a relation it can prove empty carries no metrics)."""
-    try:
-        got = obs.get
-    except Exception:  # noqa: BLE001 - py4j raises a bare assertion error
-        return None
-    return got or None
-
-
 def write_table(spark: SparkSession, df: DataFrame, path: str, *, name: str | None = None,
                 partitions: int | None = None, require_rows: bool = True) -> tuple[DataFrame, int]:
-    """Overwrite ``path`` with ``df`` as Parquet and return the written
-    table with its row count. The count is observed while the rows are
-    written (no second pass); ``require_rows`` fails an empty result.
-    ``partitions`` narrows a small result to that many files through a
-    shuffle, so the stages computing it keep their parallelism (a
-    ``coalesce`` would pull the whole upstream stage into that many tasks)."""
-    obs = Observation(f"{name or 'table'}-{uuid.uuid4().hex[:8]}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if partitions:
-        observed = observed.repartition(partitions)
-    observed.write.mode("overwrite").parquet(path)
-    got = observed_metrics(obs)
-    rows = int(got["rows"]) if got else spark.read.parquet(path).count()
+    """Write ``df`` as Parquet to ``path``, which must not hold a table yet,
+    and return the written table with its row count. The count is read from
+    the files' footers, so a task that ran twice cannot change it;
+    ``require_rows`` fails an empty result. ``partitions`` narrows a small
+    result to that many files through a shuffle, so the stages computing it
+    keep their parallelism (a ``coalesce`` would pull the whole upstream stage
+    into that many tasks)."""
+    (df.repartition(partitions) if partitions else df).write.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    rows = table.count()
     if require_rows and rows == 0:
         raise EmptyTableError(f"{name or path} has 0 rows")
-    return spark.read.schema(df.schema).parquet(path), rows
+    return table, rows

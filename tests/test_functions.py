@@ -73,20 +73,31 @@ def test_decimal_out_of_range_fails(spark):
         df.select(F.col("v").cast("decimal(10,2)")).collect()
 
 
-from decimal import ROUND_HALF_UP  # noqa: E402
+from decimal import Context  # noqa: E402
 
 from hypothesis import given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 
+EXACT = Context(prec=60)
+
 
 @settings(max_examples=30, deadline=None)
-@given(st.lists(st.tuples(st.integers(-10 ** 12, 10 ** 12), st.integers(-10 ** 9, 10 ** 9).filter(bool)),
+@given(st.lists(st.tuples(st.one_of(st.integers(-10 ** 12, 10 ** 12), st.integers(-10 ** 30, 10 ** 30)),
+                          st.one_of(st.integers(-10 ** 9, 10 ** 9), st.integers(-3, 3)).filter(bool)),
                 min_size=1, max_size=20),
        st.booleans())
 def test_round_ratio_matches_exact_decimal(spark, pairs, percent):
-    df = spark.createDataFrame([(Decimal(n) / 100, Decimal(d)) for n, d in pairs], "n decimal(16,2), d decimal(12,0)")
+    df = spark.createDataFrame([(Decimal(n).scaleb(-2, EXACT), Decimal(d)) for n, d in pairs], "n decimal(36,2), d decimal(12,0)")
     got = [r.r for r in df.select(round_ratio(F.col("n"), F.col("d"), num_scale=2,
                                               percent=percent).alias("r")).collect()]
-    want = [((Decimal(n) / 100) / Decimal(d) * (100 if percent else 1)).quantize(Decimal("0.01"), ROUND_HALF_UP)
-            for n, d in pairs]
-    assert got == want
+    # Exact: half away from zero on integers.
+    def rounded(n, d):
+        top, bottom = abs(n) * (100 if percent else 1), abs(d)
+        cents = (2 * top + bottom) // (2 * bottom)
+        return Decimal(cents if (n < 0) == (d < 0) else -cents).scaleb(-2, EXACT)
+    assert got == [rounded(n, d) for n, d in pairs]
+
+
+def test_round_ratio_beyond_64_bits(spark):
+    df = spark.createDataFrame([(Decimal(10 ** 17), Decimal(1))], "n decimal(20,0), d decimal(3,0)")
+    assert df.select(round_ratio(F.col("n"), F.col("d")).alias("r")).first().r == Decimal(10 ** 17)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from salesmart.plans.registry import REGISTRY
 from salesmart.params import Params
 from salesmart.plans.pipeline import rebuild
 from salesmart.plans.warehouse import Warehouse
@@ -20,11 +21,10 @@ def plan(df) -> str:
 @pytest.fixture(scope="module")
 def written(spark):
     report = rebuild(spark, fixture_sources(spark, SF001), SMALL, answers=False)
-    tables = {n: spark.read.parquet(f"{report.out_dir}/{n}") for n in report.rows}
-    return Warehouse({}, SMALL, tables=tables)
+    return Warehouse.from_written(spark, report.out_dir, SMALL)
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(REGISTRY))
 def test_no_pairwise_joins(spark, key):
     p = plan(E.queries()[key](spark, SF001))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
@@ -87,12 +87,10 @@ def test_counts_agree(written):
 
 def test_small_answers_keep_upstream_parallelism(spark, written):
     """Writing an answer as one file must not pull its window stage into one task."""
-    import tempfile
-
+    from salesmart.session import new_run_dir
     from salesmart.sources.sinks import write_table
     q5 = written.question("q5_top_products")
-    out = tempfile.mkdtemp(prefix="salesmart-q5-")
-    table, rows = write_table(spark, q5, f"{out}/q5", partitions=1)
+    table, rows = write_table(spark, q5, new_run_dir(spark, "q5"), partitions=1)
     assert rows == q5.count() and len(table.inputFiles()) == 1
     df = q5.repartition(1)
     assert "Exchange RoundRobinPartitioning(1)" in plan(df) or "SinglePartition" in plan(df)

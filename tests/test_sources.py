@@ -48,6 +48,27 @@ def test_missing_file_and_missing_column(spark):
         read_source(spark, SOURCES["orders"], path)
 
 
+def test_csv_files_with_differing_headers_fail(spark):
+    # Read by position, the second file would swap key and category.
+    folder = tempfile.mkdtemp(prefix="salesmart-csv-")
+    for name, text in (("a.csv", "product_id,product_category_name\np1,toys\n"),
+                       ("b.csv", "product_category_name,product_id\nbeauty,p2\n")):
+        with open(os.path.join(folder, name), "w") as fh:
+            fh.write(text)
+    with pytest.raises(Exception, match="(?i)header"):
+        read_source(spark, SOURCES["products"], folder).collect()
+
+
+def test_read_source_refuses_a_session_without_ansi(spark):
+    path = _write("product_id,product_category_name\np1,toys\n")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(RuntimeError, match="ansi"):
+            read_source(spark, SOURCES["products"], path)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
 def test_header_only_file_reads_empty(spark):
     path = _write("product_id,product_category_name\n")
     assert read_source(spark, SOURCES["products"], path).isEmpty()
