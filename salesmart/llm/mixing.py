@@ -163,9 +163,13 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
 
 
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The mix itself: every document once per copy, with the copy's number.
-    Rows that share an id get the same number of copies (the most of theirs)."""
-    copies = mixed(docs, id_col, text_col, source_col).groupBy(F.col("doc_id").alias("_id")).agg(
-        F.max("copies").alias("_copies")).where("_copies > 0")
-    return (docs.join(copies, docs[id_col].eqNullSafe(copies["_id"])).drop("_id")
-            .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).drop("_copies"))
+    """The mix itself: every document once per copy, with the copy's number in
+    ``copy`` (underscores in front where that name is taken). Rows that share
+    an id get the same number of copies, the most of theirs."""
+    number = "copy"
+    while number in docs.columns:
+        number = f"_{number}"
+    copies = mixed(docs, id_col, text_col, source_col).groupBy(F.col("doc_id").alias("__mix_id")).agg(
+        F.max("copies").alias("__mix_copies")).where("__mix_copies > 0")
+    return docs.join(copies, docs[id_col].eqNullSafe(copies["__mix_id"])).select(
+        *[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1).cast("long"), F.col("__mix_copies"))).alias(number))

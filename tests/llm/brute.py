@@ -1,0 +1,90 @@
+"""Plain Python versions of what the operators must find."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+from itertools import combinations
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def words(text: str | None) -> list[str]:
+    return WORD.findall(text or "")
+
+
+def lower(text: str) -> str:
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text)
+
+
+def shingles(text: str | None) -> list[tuple[str, ...]]:
+    w = [lower(x) for x in words(text)]
+    if not w:
+        return []
+    k = min(5, len(w))
+    return [tuple(w[i:i + k]) for i in range(len(w) - k + 1)]
+
+
+def components(rows: list[tuple[int, str | None]]) -> dict[int, int]:
+    """doc_id -> smallest doc_id linked at Jaccard 0.8 or more."""
+    sets = [(i, frozenset(shingles(t))) for i, t in rows]
+    parent = {i: i for i, _ in rows}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for (a, x), (b, y) in combinations(sets, 2):
+        if x and y and 100 * len(x & y) >= 80 * len(x | y):
+            parent[max(root(a), root(b))] = min(root(a), root(b))
+    return {i: root(i) for i, _ in rows}
+
+
+def normal(text: str | None) -> str:
+    return re.sub(r"[\x20\x09-\x0D]", "", text or "")
+
+
+def keepers(rows: list[tuple[int, str | None]]) -> dict[int, int]:
+    """doc_id -> the id that stays of the equal texts."""
+    groups: dict[str, list] = {}
+    for i, t in rows:
+        groups.setdefault(normal(t), []).append((-len(t or ""), i))
+    return {i: min(groups[normal(t)])[1] for i, t in rows}
+
+
+def contained(docs: list[tuple[int, str | None]], items: list[tuple[int, str]]) -> set[tuple[int, int]]:
+    """(doc_id, item_id) where some window of the item's size has weighted
+    Jaccard 0.8 or more with it."""
+    out = set()
+    for i, text in docs:
+        s = shingles(text)
+        for k, item in items:
+            bag = Counter(shingles(item))
+            n = min(sum(bag.values()), len(s))
+            if not n or not bag or not set(s) & set(bag):
+                continue
+            for a in range(len(s) - n + 1):
+                w = Counter(s[a:a + n])
+                if 5 * sum((w & bag).values()) >= 4 * sum((w | bag).values()):
+                    out.add((i, k))
+                    break
+    return out
+
+
+def targets(sizes: dict[str | None, int]) -> dict[str | None, float]:
+    """Source -> target words, reshared step by step."""
+    order = sorted((s for s in sizes if s is not None)) + [s for s in sizes if s is None]
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)}
+    budget, open_, out = 1.5 * sum(sizes.values()), set(order), {}
+    while open_:
+        level = budget / sum(weight[s] for s in open_)
+        over = {s for s in open_ if weight[s] * level >= 2 * sizes[s]}
+        if not over:
+            out |= {s: weight[s] * level for s in open_}
+            break
+        for s in over:
+            out[s] = 2.0 * sizes[s]
+        budget -= sum(out[s] for s in over)
+        open_ -= over
+    return out

@@ -1,0 +1,51 @@
+import random
+
+import pytest
+
+# Extra columns whose names the operators use themselves.
+CLASHING = ("gid, rest, cid, n, key, size, rank, copies, copy, label, host, tokens, kept, sha, bucket, score, "
+            "component, _salt, id, path, toxic").split(", ")
+
+
+def prose(rng: random.Random, n: int, stem: str = "w", vocabulary: int = 400) -> str:
+    return " ".join(f"{stem}{rng.randrange(vocabulary)}" for _ in range(n))
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    """(DataFrame, rows): nulls in every column, empty and long texts, exact
+    and near copies, hot groups, repeated rows and clashing extra columns."""
+    rng = random.Random(11)
+    texts: list[str | None] = [None, "", " \t\n", "one", "one  ", "One", "a b c d", "a b c d e", "a b c d e f"]
+    base = [prose(rng, n) for n in (6, 9, 14, 30, 80, 200, 400)]
+    for t in base:
+        texts += [t, t, t.replace(" ", "  "), t.upper()]
+        w = t.split()
+        for k in range(6):  # near copies: one word changed, added, cut
+            v = list(w)
+            v[rng.randrange(len(v))] = f"x{k}"
+            texts.append(" ".join(v))
+        texts += [" ".join(w[1:]), " ".join(w + ["tail"]), " ".join(w[: len(w) // 2])]
+    hot = prose(rng, 60)
+    texts += [hot] * 25
+    for k in range(25):  # a large group of near copies
+        v = hot.split()
+        v[rng.randrange(60)] = f"h{k}"
+        texts.append(" ".join(v))
+    passage = prose(rng, 30, "p")
+    texts += [prose(rng, 40) + " " + passage + " " + prose(rng, 20) for _ in range(25)]
+    texts += [prose(rng, 12, "q", 15) for _ in range(40)]
+    texts.append(prose(rng, 30_000, "long", 5000))
+    texts.append(texts[-1].replace("long1 ", "other ", 1))
+    rows = [(i * 3 + 1, t, ("en", "de", None)[i % 3], (None, "b", "a", "a", "ä")[i % 5], None if i % 7 == 0 else i)
+            for i, t in enumerate(texts)]
+    rng.shuffle(rows)
+    extra = ", ".join(f"{c} string" for c in CLASHING)
+    schema = f"doc_id long, text string, lang string, source string, n_chars long, {extra}"
+    frame = spark.createDataFrame([(*r, *[f"{c}{r[0]}" for c in CLASHING]) for r in rows], schema).repartition(6)
+    return frame, rows
+
+
+@pytest.fixture(scope="session")
+def no_documents(documents):
+    return documents[0].limit(0)
