@@ -3,8 +3,9 @@
 import hashlib
 import random
 
-from pyspark.sql import functions as F
+import pytest
 
+from salesmart.llm import shared
 from salesmart.llm.exact_dedup import drop_exact_copies, exact_groups
 from salesmart.llm.ngram_join import boundary, near_duplicates, needed
 from salesmart.llm.shared import components
@@ -84,7 +85,9 @@ def test_boundary_weighs_subsets_against_lists():
     assert [needed(n) for n in (4, 5, 9, 10)] == [4, 4, 8, 8]
 
 
-def test_components_of_chains_stars_and_rings(spark):
+@pytest.mark.parametrize("per_task", [1 << 20, 30])
+def test_components_of_chains_stars_and_rings(spark, monkeypatch, per_task):
+    monkeypatch.setattr(shared, "LINKS_PER_TASK", per_task)
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(100, 160)] + [(500, 500 + k) for k in range(1, 50)]
     edges += [(900 + k, 900 + (k + 1) % 20) for k in range(20)] + [(7, 3), (3, 7), (-4, 2)]

@@ -19,7 +19,9 @@ def test_mix_matches_its_contract(documents):
         assert r.taken == r.copies * r.size and 0 <= r.copies <= 2
         taken[source] += r.taken
     for source, target in want.items():
-        assert abs(taken[source] - target) <= max(10, 0.02 * target), source
+        # No nearer than whole documents allow: one source's is mostly one text.
+        largest = max(got[r[0]].size for r in rows if r[3] == source)
+        assert abs(taken[source] - target) <= max(10, 0.02 * target, largest / 2 if largest > target / 2 else 0), source
     again = {r.doc_id: r.taken for r in mixed(frame.repartition(3)).collect()}
     assert again == {i: r.taken for i, r in got.items()}
 

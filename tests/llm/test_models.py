@@ -69,7 +69,8 @@ def test_language_on_held_out_documents(spark):
 
 
 def test_language_defined_cases(spark, documents, no_documents):
-    rows = [(3, "the cat and the dog and the bird", "en"), (6, "der hund und die katze und der vogel", "de"),
+    en, de = [i for i in range(100, 200) if zlib.crc32(str(i).encode()) % 3 != 1][:2]
+    rows = [(en, "the cat and the dog and the bird", "en"), (de, "der hund und die katze und der vogel", "de"),
             (9, None, "en"), (12, "", "de"), (15, "1234 !?", None), (18, "the dog", None), (None, "und der vogel", None),
             (18, "the dog", None)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
