@@ -46,7 +46,7 @@ from salesmart.llm.words import mix, texts_shingles
 HEAVY_TABLE = 1 << 17   # most frequent shingles with a rank of their own
 COUNT_FLUSH = 1 << 21   # shingles a task counts together
 SHORT_LIST = 8          # lists up to this long are paired at once
-PARTNER_SHARES = (16, 1)  # later rounds: one partner in 16, then all
+PARTNER_SHARES = (16, 4, 1)  # later rounds: one partner in 16, in 4, then all
 LARGEST_LIGHT = 256     # sizes tried as the boundary
 SIZE_BINS = 4096
 BROADCAST_IDS = 1 << 20  # ids sent to every executor at most
@@ -209,7 +209,34 @@ def _set_batch(cid: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
     offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
     return pa.RecordBatch.from_arrays(
         [pa.array(cid, pa.int64()), pa.array(np.diff(offsets)),
-         pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))], ["cid", "n", "items"])
+         pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets))),
+         pa.array([_bitmap(s.view(np.uint64)) for s in sets], pa.binary())], ["cid", "n", "items", "bits"])
+
+
+def _bitmap(shingles: np.ndarray) -> bytes:
+    """One bit per shingle in a map of eight to sixteen bits each, a power of
+    two long: two maps that differ in k bits have sets that differ in k."""
+    size = 64 << max(0, int(len(shingles) - 1).bit_length() - 3)
+    bits = np.zeros(size, np.uint8)
+    bits[(shingles & np.uint64(size - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def _differing_bits(a: bytes, b: bytes) -> int:
+    a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    while len(a) > len(b):  # folding a map gives that of half the size
+        a = a[: len(a) // 2] | a[len(a) // 2:]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] | b[len(b) // 2:]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def _close_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose maps allow a Jaccard of 0.8: at most a ninth of both sizes
+    differs."""
+    for batch in batches:
+        near = [9 * _differing_bits(x, y) <= n + m for n, m, x, y in zip(*(c.to_pylist() for c in batch.columns[2:6]))]
+        yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
 
 def _may_link(a: str, b: str):
@@ -227,17 +254,21 @@ def _pairs(joined: DataFrame, light: int) -> DataFrame:
             .select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct())
 
 
-def _both_sides(pairs: DataFrame, table: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with columns of ``table`` (cid, n, items) of both
-    classes. The row of a class with many partners is repeated once per 256 of
-    them, so a hub is dealt over many tasks."""
+def _both_sides(pairs: DataFrame, table: DataFrame, value: str) -> DataFrame:
+    """``pairs`` (a, b) with n and ``value`` of both classes (n_a, n_b, of_a,
+    of_b) from ``table``. The row of a class with many partners is repeated
+    once per 256 of them, so a hub is dealt over many tasks."""
     many = F.least(F.ceil(F.count("*").over(Window.partitionBy("a")) / 256), F.lit(4096)).cast("int")
     dealt = pairs.withColumn("pieces", many).withColumn("piece", F.pmod(F.xxhash64("b"), F.col("pieces")).cast("int"))
     hubs = (dealt.groupBy("a").agg(F.max("pieces").alias("pieces"))
-            .join(table.select(F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("items").alias("of_a")), "a")
+            .join(table.select(F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col(value).alias("of_a")), "a")
             .withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).drop("pieces"))
-    spokes = table.select(F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("items").alias("of_b"))
-    return dealt.join(spokes, "b").join(hubs, ["a", "piece"]).withColumn("common", F.size(F.array_intersect("of_a", "of_b")))
+    spokes = table.select(F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col(value).alias("of_b"))
+    return dealt.join(spokes, "b").join(hubs, ["a", "piece"]).select("a", "b", "n_a", "n_b", "of_a", "of_b")
+
+
+def _common():
+    return F.size(F.array_intersect("of_a", "of_b"))
 
 
 def _plausible(pairs: DataFrame, posted: DataFrame, light: int) -> DataFrame:
@@ -246,14 +277,18 @@ def _plausible(pairs: DataFrame, posted: DataFrame, light: int) -> DataFrame:
     def beyond(n: str):
         return F.ceil(F.col(n) * 4 / 5) - 1
 
-    reach = (F.col("common") + F.greatest(beyond("n_a"), beyond("n_b"))) * 9 >= (F.col("n_a") + F.col("n_b")) * 4
-    return _both_sides(pairs, posted).where((F.greatest("n_a", "n_b") <= light) | reach).select("a", "b")
+    reach = (_common() + F.greatest(beyond("n_a"), beyond("n_b"))) * 9 >= (F.col("n_a") + F.col("n_b")) * 4
+    return _both_sides(pairs, posted, "items").where((F.greatest("n_a", "n_b") <= light) | reach).select("a", "b")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with ``linked``: exact Jaccard of the whole sets."""
-    linked = F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * 80
-    return _both_sides(pairs, sets).select("a", "b", linked.alias("linked"))
+    """``pairs`` (a, b) with ``linked``: exact Jaccard of the whole sets, after
+    their bit maps (an eighth of the size or so) have excluded most others."""
+    near = stored(_both_sides(pairs, sets, "bits").mapInArrow(_close_bits, "a long, b long"), "near-pairs")
+    common = _common()
+    exact = _both_sides(near, sets, "items").where(
+        common * 100 >= (F.col("n_a") + F.col("n_b") - common) * 80).select("a", "b", F.lit(True).alias("linked"))
+    return pairs.join(exact, ["a", "b"], "left").select("a", "b", F.coalesce("linked", F.lit(False)).alias("linked"))
 
 
 def linked_classes(lists: DataFrame, sets_of: Callable[[DataFrame], DataFrame], light: int) -> DataFrame:
@@ -284,7 +319,9 @@ def linked_classes(lists: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
         counts = long.groupBy("key", "label").agg(F.count("*").alias("c"))
         major = (counts.groupBy("key").agg(F.count("*").alias("labels"), F.max(F.struct("c", "label")).alias("top"))
                  .where("labels > 1").select("key", F.col("top.label").alias("major")))
-        minority = long.join(major, "key").where("label <> major").drop("major")
+        minority = stored(long.join(major, "key").where("label <> major").drop("major"), "minority")
+        if minority.isEmpty():
+            break  # no list holds two components any more
         partners = long.where(F.pmod(F.xxhash64("cid"), F.lit(share)) == 0)
         met = minority.alias("x").join(partners.alias("y"), (F.col("x.key") == F.col("y.key"))
                                        & (F.col("x.label") != F.col("y.label")))
@@ -333,7 +370,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             reps = F.broadcast(reps)
         texts = rows.join(reps, F.col("doc_id").eqNullSafe(F.col("_rep")), "left_semi").select("text")
         # An id that is repeated may bring a class twice: it verifies alike.
-        return stored(texts.mapInArrow(_class_sets, "cid long, n int, items array<long>"), "class-sets")
+        return stored(texts.mapInArrow(_class_sets, "cid long, n int, items array<long>, bits binary"), "class-sets")
 
     labels = linked_classes(lists, sets_of, light)
     comps = classes.join(labels, F.col("cid") == F.col("node"), "left").select(

@@ -7,11 +7,15 @@ Everything written goes to a fresh folder under the shared checkpoint folder
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.session import new_run_dir
 
+LINKS_PER_TASK = 1 << 20
 SALTS = 16  # pieces into which the rows of one join key are dealt
 
 
@@ -40,14 +44,41 @@ def salted_join(rows: DataFrame, groups: DataFrame, on: list[str], spread: list[
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of one task as stars: every node to the smallest it reaches
+    over them."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        top = x
+        while parent[top] != top:
+            top = parent[top]
+        while parent[x] != top:
+            parent[x], x = top, parent[x]
+        return top
+
+    for batch in batches:
+        for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            parent.setdefault(x, x)
+            parent.setdefault(y, y)
+            x, y = root(x), root(y)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+    nodes = [x for x in parent if parent[x] != x]
+    for i in range(0, len(nodes), 1 << 16):
+        part = nodes[i:i + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([root(x) for x in part], pa.int64())], ["a", "b"])
+
+
 def components(links: DataFrame, label: str = "components", max_rounds: int = 60) -> DataFrame:
     """Connected components of undirected ``links`` (a long, b long, a != b).
 
-    Returns (node, component): the smallest node reachable. Alternating
-    large-star and small-star rounds: each node's neighbours are re-attached to
-    the smallest one known, which ends after a number of rounds that grows
-    with the logarithm of a component's size. Only grouped minima and joins on
-    node keys; every round is written, none is collected.
+    Returns (node, component): the smallest node reachable. The links are first
+    contracted task by task, ``LINKS_PER_TASK`` at most in each; while more
+    than one task is needed, large-star and small-star rounds re-attach each
+    node's neighbours to the smallest one known, which ends after a number of
+    rounds that grows with the logarithm of a component's size. Only grouped
+    minima and joins on node keys; every round is written, none is collected.
     """
     def both(edges: DataFrame) -> DataFrame:
         return edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -56,12 +87,11 @@ def components(links: DataFrame, label: str = "components", max_rounds: int = 60
         row = edges.agg(F.count("*").alias("n"), F.sum((F.xxhash64("a", "b") % 1_000_003)).alias("h")).first()
         return row["n"], row["h"]
 
-    edges = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                   .where("a <> b").distinct(), label)
-    seen = state(edges)
-    for _ in range(max_rounds):
-        if not seen[0]:
-            break
+    edges = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b"), label)
+    tasks = max(1, -(-edges.count() // LINKS_PER_TASK))
+    edges = stored(edges.coalesce(tasks).mapInArrow(_contracted, "a long, b long"), label)
+    seen = None
+    for _ in range(max_rounds if tasks > 1 else 0):
         every = both(edges)
         least = every.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = (every.where("b > a").join(least, "a").where("b <> m")
@@ -76,10 +106,11 @@ def components(links: DataFrame, label: str = "components", max_rounds: int = 60
             break
         seen = now
     else:
-        raise RuntimeError("components did not settle")
+        if tasks > 1:
+            raise RuntimeError("components did not settle")
     # Settled: every edge leads from a node straight to its component's least.
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return nodes.unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
+    return nodes.unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
