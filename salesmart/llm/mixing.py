@@ -15,8 +15,8 @@ exactly because a rate depends on source and size alone. The state has one row
 per source and is written after every iteration.
 
 Rates become whole copies cell by cell, from large sizes to small, carrying
-the words still owed, so a source misses its target by about the size of its
-smallest documents. Which documents of a cell get the extra copy goes by the
+the words still owed, and single copies are then exchanged while that brings
+the source nearer to its target. Which documents of a cell get the extra copy goes by the
 hash of their id; ranks within a cell are counted in 64 buckets, so a cell
 with a third of all rows is never sorted in one task. Reruns agree.
 
@@ -46,6 +46,7 @@ CAP = 2.0
 TOLERANCE = 1e-6
 MAX_ITERATIONS = 60
 BUCKETS = 64
+SETTLE_STEPS = 50
 
 
 def word_counts(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
@@ -116,6 +117,32 @@ def solve(cells: DataFrame, targets: DataFrame) -> DataFrame:
     return state.select("key", "lam", "mean")
 
 
+def _settle(n: np.ndarray, size: np.ndarray, copies: np.ndarray, owed: float) -> None:
+    """Moves the cells' ``copies`` (0 to CAP for each of n documents) nearer to
+    the words still ``owed``: one copy more, one less, or one more against one
+    less, as long as that helps."""
+    order = np.argsort(size, kind="stable")
+    order = order[size[order] > 0]
+    for _ in range(SETTLE_STEPS):
+        more = order[copies[order] < CAP * n[order]]
+        less = order[copies[order] > 0]
+        up, down = np.append(size[more], 0), np.insert(size[less], 0, 0)  # 0: no such move
+        best = (abs(owed) - 1e-9, -1, -1)
+        at = np.searchsorted(down, up - owed)
+        for j in (np.clip(at - 1, 0, len(down) - 1), np.clip(at, 0, len(down) - 1)):
+            miss = np.abs(owed - (up - down[j]))
+            i = int(miss.argmin())
+            best = min(best, (float(miss[i]), i, int(j[i])))
+        _, i, j = best
+        if i < 0:
+            return
+        owed -= float(up[i] - down[j])
+        if i < len(more):
+            copies[more[i]] += 1
+        if j:
+            copies[less[j - 1]] -= 1
+
+
 def _round_source(cells: pd.DataFrame) -> pd.DataFrame:
     """Copies of each cell: ``base`` for all its documents and one more for
     ``extra`` of them, sizes from large to small, words owed carried on."""
@@ -130,12 +157,9 @@ def _round_source(cells: pd.DataFrame) -> pd.DataFrame:
         want = n[k] * (rate[k] - base[k])
         extra[k] = min(n[k], max(0, round(want + owed / size[k])))
         owed += (want - extra[k]) * size[k]
-    for k in range(len(cells)):  # what is still owed, where a copy more or less comes nearer
-        if size[k] and base[k] < CAP:
-            more = min(n[k] - extra[k], max(-extra[k], round(owed / size[k])))
-            extra[k] += more
-            owed -= more * size[k]
-    return pd.DataFrame({"key": cells["key"], "size": size, "base": base, "extra": extra})
+    copies = base * n + extra
+    _settle(n, size, copies, owed)
+    return pd.DataFrame({"key": cells["key"], "size": size, "base": copies // n, "extra": copies % n})
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
