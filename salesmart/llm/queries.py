@@ -120,6 +120,23 @@ ORACLE: dict[str, str] = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
                CAST(sum(14 + {_ESCAPED.format('role', ':')} + {_ESCAPED.format('text', '')}) AS BIGINT) AS formatted_chars
         FROM turns GROUP BY conv_id""",
+    "op8_ngram_jaccard": """
+        WITH RECURSIVE lowered AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        sets AS (
+            SELECT doc_id, CASE WHEN len(words) > 0 THEN list_distinct(list_transform(
+                range(1, greatest(len(words) - 4, 1) + 1), lambda i: array_to_string(words[i:i + 4], ' '))) ELSE [] END AS shingles
+            FROM lowered),
+        flat AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+        links AS (
+            SELECT x.doc_id AS a, y.doc_id AS b FROM flat x JOIN flat y USING (shingle) WHERE x.doc_id <> y.doc_id
+            GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+        reach AS (
+            SELECT doc_id, doc_id AS seen FROM sets
+            UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.seen)
+        SELECT doc_id, CAST(any_value(len(shingles)) AS BIGINT) AS n_shingles, min(seen) AS component_id
+        FROM sets JOIN reach USING (doc_id) GROUP BY doc_id""",
     "op10_exact_dedup": f"""
         WITH norm AS (
             SELECT doc_id, coalesce(text, '') AS t,
