@@ -9,8 +9,8 @@ bytes themselves; no digest takes part in it.
 Each round counts the groups with a map-side combined aggregate, drops the
 documents that are alone, and joins the rest to their group through a salted
 key, so a group with a third of all rows is dealt over many tasks and is never
-gathered. A round carries only the bytes not yet read of documents that still
-share all bytes so far.
+gathered. The first round counts on the first bytes alone, and a round carries
+only the bytes not yet read of documents that still share all others.
 
 Defined cases: a null text counts as empty; empty texts are equal to each
 other; ties on length go to the smallest id, a null id last; rows repeated
@@ -36,41 +36,51 @@ def normalised(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), WHITE, "")
 
 
-def _split(rows: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
-    """One radix step: (rows that are alone, rows of larger groups with their
-    new group, the bytes left, and whether their text has ended)."""
-    cut = rows.select("gid", "doc_id", "cp", "sha", F.substring("rest", 1, width).alias("chunk"),
-                      F.expr(f"substring(rest, {width + 1})").alias("rest"))
-    groups = (cut.groupBy("gid", "chunk")
-              .agg(F.count("*").alias("n"),
-                   F.min(F.concat_ws(":", F.col("doc_id").cast("string"), "sha")).alias("next_gid"))
-              .where("n > 1").drop("n"))
-    spread = ["doc_id", "cp", "sha"]
-    alone = salted_join(cut.drop("rest"), groups, ["gid", "chunk"], spread, "left_anti")
-    shared = salted_join(cut, groups, ["gid", "chunk"], spread)
-    return (alone.select("doc_id", "cp", "sha"),
-            shared.select(F.col("next_gid").alias("gid"), "doc_id", "cp", "sha",
-                          (F.length("chunk") < width).alias("ended"), "rest"))
+def _with_group(rows: DataFrame, groups: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` joined to their group by gid and chunk."""
+    return salted_join(rows, groups, ["gid", "chunk"], ["doc_id", "cp"], how)
+
+
+def _shared_groups(rows: DataFrame, width: int) -> DataFrame:
+    """Groups of two rows or more after ``width`` further bytes; the new group
+    is named by a member, which no other group has."""
+    return stored(rows.groupBy("gid", "chunk")
+                  .agg(F.count("*").alias("n"),
+                       F.min(F.concat_ws(":", F.col("doc_id").cast("string"), "sha")).alias("next_gid"))
+                  .where("n > 1").drop("n"), f"radix-groups-{width}")
+
+
+def _regrouped(joined: DataFrame, width: int) -> DataFrame:
+    return joined.select(F.col("next_gid").alias("gid"), "doc_id", "cp", "sha",
+                         (F.length("chunk") < width).alias("ended"), "rest")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, keep_id (most code points, then smallest
     id, of the equal texts), group_size, kept, text_sha256 (of the normalised
     text, for the record only) and repeats (rows with this id in this group)."""
-    norm = normalised(F.col(text_col))
-    rows = docs.select(F.lit("").alias("gid"), F.col(id_col).alias("doc_id"),
-                       F.length(F.coalesce(F.col(text_col), F.lit(""))).alias("cp"),
-                       F.sha2(norm, 256).alias("sha"), norm.cast("binary").alias("rest"))
-    alone, ended, width = [], [], FIRST_WIDTH
+    norm, width = normalised(F.col(text_col)), FIRST_WIDTH
+    own = [F.lit("").alias("gid"), F.col(id_col).alias("doc_id"), F.length(F.coalesce(F.col(text_col), F.lit(""))).alias("cp")]
+    heads = stored(docs.select(*own, F.sha2(norm, 256).alias("sha"),
+                               F.substring(norm.cast("binary"), 1, width).alias("chunk")), "radix-heads")
+    groups = _shared_groups(heads, width)
+    alone = [_with_group(heads, groups, "left_anti").select("doc_id", "cp", "sha")]
+    whole = docs.select(*own, norm.cast("binary").alias("bytes")).withColumn("chunk", F.substring("bytes", 1, width))
+    joined = _with_group(whole, groups).withColumn("sha", F.sha2("bytes", 256)).withColumn(
+        "rest", F.expr(f"substring(bytes, {width + 1})"))
+    ended = []
     while True:
-        single, shared = _split(rows, width)
-        shared = stored(shared, f"radix-{width}")
-        alone.append(single if width == FIRST_WIDTH else stored(single, f"radix-alone-{width}"))
+        shared = stored(_regrouped(joined, width), f"radix-{width}")
         ended.append(shared.where("ended").select("gid", "doc_id", "cp", "sha"))
-        rows = shared.where("not ended").drop("ended")
+        rows = shared.where("not ended")
         if rows.isEmpty():
             break
         width *= GROWTH
+        cut = rows.select("gid", "doc_id", "cp", "sha", F.substring("rest", 1, width).alias("chunk"),
+                          F.expr(f"substring(rest, {width + 1})").alias("rest"))
+        groups = _shared_groups(cut, width)
+        alone.append(stored(_with_group(cut.drop("rest"), groups, "left_anti").select("doc_id", "cp", "sha"), f"radix-alone-{width}"))
+        joined = _with_group(cut, groups)
 
     def union(parts: list[DataFrame]) -> DataFrame:
         out = parts[0]
@@ -98,9 +108,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that ``exact_groups`` does not keep."""
     kept = stored(exact_groups(docs, id_col, text_col).where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), "repeats"), "exact-kept")
-    match = F.col(id_col).eqNullSafe(F.col("_id")) & (F.sha2(normalised(F.col(text_col)), 256) == F.col("_sha"))
-    out = docs.join(kept.drop("repeats"), match, "left_semi")
-    if not kept.where("repeats > 1").isEmpty():  # rows repeated whole, ids included
+        F.col("doc_id").alias("__kept_id"), F.col("text_sha256").alias("__kept_sha"), F.col("repeats").alias("__repeats")),
+        "exact-kept")
+    match = F.col(id_col).eqNullSafe(F.col("__kept_id")) & (F.sha2(normalised(F.col(text_col)), 256) == F.col("__kept_sha"))
+    out = docs.join(kept, match, "left_semi")
+    if not kept.where("__repeats > 1").isEmpty():  # rows repeated whole, ids included
         out = out.dropDuplicates([id_col, text_col])
     return out
