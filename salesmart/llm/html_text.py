@@ -6,10 +6,12 @@ an occurrence vector (how often it occurs on each page); tokens with the same
 vector form an equivalence class. Vectors are never built: a class is known by
 the xor of a hash of (page, count), which partial aggregates combine, so a host
 with a third of all pages is spread over its tokens. A class is valid when
-most of the host's pages have it and it holds at least two tokens; valid
-classes nest into the host's template (menus, notices and frames that repeat).
-On each page the template's tokens are taken out, and the slots between them
-are data.
+most of the host's pages have it and it holds at least two tokens. On a page
+the tokens of a class must stand in the order they have on the host's pages,
+and the other classes must nest: all their occurrences in one gap between
+tokens of the root class, the largest one. What is out of order or not nested
+is no template there. The template's tokens (menus, notices and frames that
+repeat) are taken out, and the slots between them are data.
 
 Of the slots the article is kept: those inside the page's ``article`` or
 ``main`` element where it has one (all their text), else all slots that are
@@ -28,7 +30,7 @@ from __future__ import annotations
 
 import html as htmllib
 import re
-from collections import Counter
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -67,6 +69,44 @@ BOILER = frozenset("ad ads advert adverts advertisement advertising adsense spon
 COMMENTS = frozenset("comment comments reply replies respond discussion disqus".split())
 
 
+# token -> (number of its class, the root being 0; its place in the class)
+Template = dict[int, tuple[int, int]]
+
+
+def as_template(tokens: list[tuple[int, int, float]]) -> Template:
+    """The template of a host from (token, vector, mean first position):
+    classes by size, tokens by position."""
+    classes: dict[int, list[tuple[float, int]]] = {}
+    for token, vector, position in tokens:
+        classes.setdefault(vector, []).append((position, token))
+    ordered = sorted((sorted(members) for members in classes.values()), key=lambda m: (-len(m), m))
+    return {token: (number, place) for number, members in enumerate(ordered) for place, (_, token) in enumerate(members)}
+
+
+def _in_order(seen: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The occurrences of a class less those out of order: a longest run of
+    first occurrences with growing places, and their repetitions."""
+    first: dict[int, int] = {}
+    for position, place in seen:
+        first.setdefault(place, position)
+    ends: list[int] = []
+    chains: list[tuple[int, int | None]] = []  # place, chain it continues
+    tops: list[int] = []
+    for place in first:  # by position
+        k = bisect_left(ends, place)
+        chains.append((place, tops[k - 1] if k else None))
+        if k == len(ends):
+            ends.append(place)
+            tops.append(len(chains) - 1)
+        else:
+            ends[k], tops[k] = place, len(chains) - 1
+    kept, at = set(), tops[-1] if tops else None
+    while at is not None:
+        kept.add(chains[at][0])
+        at = chains[at][1]
+    return [(position, place) for position, place in seen if place in kept]
+
+
 class _Element:
     __slots__ = ("name", "parts", "role", "hidden", "start", "end", "parent", "closed", "main")
 
@@ -212,9 +252,24 @@ class Page:
             name = self.elements[element].name if element >= 0 else ""
             yield position, xxhash.xxh3_64_intdigest(f"{paths[element]}>{name}|{kind}|{label}")
 
-    def text(self, template: set[int]) -> str:
+    def nested(self, template: Template) -> set[int]:
+        """Positions of the tokens that this page has as the template does:
+        each class in order, all others nested in one gap of the root."""
+        found: dict[int, list[tuple[int, int]]] = {}
+        for position, h in self.template_tokens():
+            if h in template:
+                number, place = template[h]
+                found.setdefault(number, []).append((position, place))
+        root = [position for position, place in _in_order(found.get(0, []))]
+        fixed = set(root)
+        for number, seen in found.items():
+            if number and len({bisect_left(root, position) for position, _ in seen}) == 1:
+                fixed.update(position for position, _ in _in_order(seen))
+        return fixed
+
+    def text(self, template: Template) -> str:
         """The article: the slots left when template and boilerplate go."""
-        fixed = {position for position, h in self.template_tokens() if h in template} if template and not self.has_main else ()
+        fixed = self.nested(template) if template and not self.has_main else ()
         parts = []
         for position, (kind, _, piece) in enumerate(self.tokens):
             if kind == "break":
@@ -236,16 +291,18 @@ def _host(url: str | None) -> str:
 
 
 def _host_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per (host, token): the xor over pages of hash(page, count), and the
-    pages that have it; token 0 counts the host's pages."""
+    """Per (host, token): the xor over pages of hash(page, count), the pages
+    that have it and the sum of its first positions; token 0 counts the
+    host's pages."""
     held: dict[tuple[str, int], list[int]] = {}
 
     def flush():
         if held:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in held]), pa.array([_signed(k[1]) for k in held], pa.int64()),
-                 pa.array([_signed(v[0]) for v in held.values()], pa.int64()), pa.array([v[1] for v in held.values()], pa.int64())],
-                ["host", "token", "vector", "pages"])
+                 pa.array([_signed(v[0]) for v in held.values()], pa.int64()), pa.array([v[1] for v in held.values()], pa.int64()),
+                 pa.array([v[2] for v in held.values()], pa.int64())],
+                ["host", "token", "vector", "pages", "positions"])
             held.clear()
 
     for batch in batches:
@@ -253,33 +310,37 @@ def _host_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for page_id, url, source in zip(*(c.to_pylist() for c in batch.slice(i, 64).columns)):
                 host, source = _host(url), source or ""
                 page = xxhash.xxh3_64_intdigest(f"{page_id}|{url}|{xxhash.xxh3_64_hexdigest(source)}")
-                counts = Counter(h for _, h in Page(source).template_tokens())
-                counts[0] = 1
+                counts, first = {0: 1}, {0: 0}
+                for position, h in Page(source).template_tokens():
+                    counts[h] = counts.get(h, 0) + 1
+                    first.setdefault(h, position)
                 for token, n in counts.items():
-                    seen = held.setdefault((host, token), [0, 0])
+                    seen = held.setdefault((host, token), [0, 0, 0])
                     seen[0] ^= xxhash.xxh3_64_intdigest(page.to_bytes(8, "big") + n.to_bytes(8, "big"))
                     seen[1] += 1
+                    seen[2] += first[token]
             if len(held) >= 100_000:
                 yield from flush()
     yield from flush()
 
 
 def host_templates(pages: DataFrame) -> DataFrame:
-    """(host, token) of every valid equivalence class, from columns page_id,
-    url, html."""
-    tokens = stored(pages.mapInArrow(_host_tokens, "host string, token long, vector long, pages long")
-                    .groupBy("host", "token").agg(F.bit_xor("vector").alias("vector"), F.sum("pages").alias("pages"))
+    """(host, token, vector, position) of every valid equivalence class, from
+    columns page_id, url, html; position is the mean first one."""
+    tokens = stored(pages.mapInArrow(_host_tokens, "host string, token long, vector long, pages long, positions long")
+                    .groupBy("host", "token").agg(F.bit_xor("vector").alias("vector"), F.sum("pages").alias("pages"),
+                                                  (F.sum("positions") / F.sum("pages")).alias("position"))
                     .where(f"token = 0 or pages >= {MIN_PAGES} * {MOST_PAGES}"), "html-tokens")
     hosts = tokens.where(f"token = 0 and pages >= {MIN_PAGES}").select("host", F.col("pages").alias("all_pages"))
     common = tokens.where("token <> 0").join(hosts, "host").where(F.col("pages") >= F.col("all_pages") * MOST_PAGES)
     classes = common.groupBy("host", "vector").agg(F.count("*").alias("n")).where(f"n >= {MIN_CLASS}").drop("n")
-    return common.join(classes, ["host", "vector"]).select("host", "token")
+    return common.join(classes, ["host", "vector"]).select("host", "token", "vector", "position")
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    templates = stored(host_templates(rows).groupBy("host").agg(F.collect_set("token").alias("tokens")), "html-templates")
+    templates = stored(host_templates(rows).groupBy("host").agg(F.collect_list(F.struct("token", "vector", "position")).alias("tokens")), "html-templates")
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
     with_host = rows.withColumn("host", host)
     size = templates.agg(F.sum(F.size("tokens"))).first()[0] or 0
@@ -289,17 +350,18 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
         joined = salted_join(with_host, templates, ["host"], ["page_id", "url"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets: dict[str, set[int]] = {}
+        known: dict[str, Template] = {}
         for batch in batches:
             for i in range(0, len(batch), 64):
                 part = batch.slice(i, 64)
                 out, tokens = [], part.column(4)
                 for k, (host, source) in enumerate(zip(part.column(3).to_pylist(), part.column(2).to_pylist())):
-                    if host not in sets:
-                        if len(sets) > 1000:
-                            sets.clear()
-                        sets[host] = {t & (1 << 64) - 1 for t in tokens[k].as_py() or ()}
-                    out.append(Page(source or "").text(sets[host]))
+                    if host not in known:
+                        if len(known) > 1000:
+                            known.clear()
+                        known[host] = as_template([(t["token"] & (1 << 64) - 1, t["vector"], t["position"])
+                                                   for t in tokens[k].as_py() or ()])
+                    out.append(Page(source or "").text(known[host]))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())],
                     ["page_id", "url", "text", "n_chars"])

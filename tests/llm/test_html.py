@@ -1,6 +1,6 @@
 import pytest
 
-from salesmart.llm.html_text import Page, extract_text, host_templates
+from salesmart.llm.html_text import Page, as_template, extract_text, host_templates
 
 CASES = [
     ("", ""), ("plain < text &lt;b", "plain < text <b"), ("<p>a<script>var x='<p>no</p>'</script>b</p>", "a b"),
@@ -23,7 +23,27 @@ CASES = [
 
 @pytest.mark.parametrize("source,text", CASES)
 def test_main_text(source, text):
-    assert Page(source).text(set()) == text
+    assert Page(source).text({}) == text
+
+
+def test_classes_keep_order_and_nest():
+    page = "<div id=a>A</div><ul><li>x<li>y</ul><div id=b>B</div>"
+    tokens = list(dict.fromkeys(h for _, h in Page(page).template_tokens()))
+    at = {h: [p for p, x in Page(page).template_tokens() if x == h] for h in tokens}
+    data = {p for p, (kind, _, text) in enumerate(Page(page).tokens) if kind == "text" and text in "xy"}
+    root = [h for h in tokens if len(at[h]) == 1 and at[h][0] not in data]
+    twice = [h for h in tokens if len(at[h]) == 2]
+    template = as_template([(h, 1, at[h][0]) for h in root] + [(h, 2, at[h][0]) for h in twice])
+    assert all(template[h][0] == 0 for h in root) and all(template[h][0] == 1 for h in twice)
+    assert Page(page).nested(template) == {p for ps in at.values() for p in ps} - data
+    # The list items leave their gap: their class does not nest there.
+    moved = "<div id=a>A</div><ul><li>x</ul><div id=b>B</div><ul><li>y</ul>"
+    inside = Page(moved).nested(template)
+    assert not any(p in inside for p, h in Page(moved).template_tokens() if h in twice)
+    # Blocks that changed places: a longest ordered run stays.
+    swapped = Page("<div id=b>B</div><div id=a>A</div>")
+    places = [template[h][1] for p, h in swapped.template_tokens() if p in swapped.nested(template)]
+    assert places == sorted(places) and 0 < len(places) < len(root)
 
 
 def _pages():
