@@ -218,10 +218,10 @@ def window_scores(column: pa.Array, gain: np.ndarray, bias: float) -> np.ndarray
 
 
 def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
-    if table is None or not len(table):
+    held = list(batches)  # the bounded sample
+    if not sum(map(len, held)):
         return
-    table = table.sort_by("doc_id")  # the same model whatever order the shuffle gave
+    table = pa.Table.from_batches(held).sort_by("doc_id")  # the same model whatever order the shuffle gave
     gain, bias = train(table["text"].to_pylist(), table["toxic"].to_numpy())
     yield pa.RecordBatch.from_arrays([pa.array([gain.tobytes()], pa.binary()), pa.array([bias])], ["gain", "bias"])
 
