@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.words import mix, row_slices, span_hashes, text_buffer, word_spans
+from salesmart.llm.words import SLICE_BYTES, mix, row_slices, span_hashes, text_buffer, word_spans
 
 WINDOW = 8
 BUCKETS = 1 << 17
@@ -73,6 +73,19 @@ def _lowered(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def subwords(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the n-grams of each word, word by word, and how many each
     has (one at least: ``<x>`` has three characters)."""
+    done, parts, counts, i = np.cumsum(lengths + 2), [], [], 0
+    while i < len(starts):  # in slices of words
+        j = max(i + 1, int(np.searchsorted(done, (done[i - 1] if i else 0) + SLICE_BYTES // 4)))
+        bucket, count = _word_grams(raw, starts[i:j], lengths[i:j])
+        parts.append(bucket)
+        counts.append(count)
+        i = j
+    if not parts:
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
+    return np.concatenate(parts), np.concatenate(counts)
+
+
+def _word_grams(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     size = lengths + 2
     first = np.cumsum(size) - size
     marked = np.empty(int(size.sum()), np.uint64)
@@ -80,7 +93,7 @@ def subwords(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[
     marked[np.repeat(first + 1, lengths) + at] = raw[np.repeat(starts, lengths) + at]
     marked[first] = 1
     marked[first + size - 1] = 2
-    word = np.repeat(np.arange(len(size)), size)
+    word = np.repeat(np.arange(len(size), dtype=np.int32), size)
     room = np.repeat(first + size, size) - np.arange(len(marked))  # bytes up to the word's end
     buckets, owner = [], []
     for n in NGRAMS:
@@ -88,22 +101,16 @@ def subwords(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[
         total = np.full(len(ok), np.uint64(n))
         for k in range(n):
             total += marked[ok + k] * _NGRAM_WEIGHT[k]
-        buckets.append((mix(total) >> np.uint64(40)).astype(np.int64) & (BUCKETS - 1))
+        buckets.append(((mix(total) >> np.uint64(40)) & np.uint64(BUCKETS - 1)).astype(np.int32))
         owner.append(word[ok])
     buckets, owner = np.concatenate(buckets), np.concatenate(owner)
     order = np.argsort(owner, kind="stable")
-    return buckets[order].astype(np.int32), np.bincount(owner, minlength=len(size))
+    return buckets[order], np.bincount(owner, minlength=len(size)).astype(np.int32)
 
 
 def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Sum of consecutive runs of ``values`` (1-D), ``counts`` long each."""
-    total = np.concatenate([[0.0], np.cumsum(values, dtype=np.float64)])
-    end = np.cumsum(counts)
-    return total[end] - total[end - counts]
-
-
-def _row_sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Row sums of consecutive runs of a matrix; every run has a row."""
+    """Sums of consecutive runs of ``values`` (rows of a matrix too), each
+    ``counts`` long, one at least."""
     return np.add.reduceat(values, np.cumsum(counts) - counts, axis=0)
 
 
@@ -118,28 +125,30 @@ def _windows(words_per_doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 class _Adagrad:
     def __init__(self, *shapes):
-        self.seen = [np.full(s, 1e-6) for s in shapes]
+        self.seen = [np.full(s, 1e-6, np.float32) for s in shapes]
 
     def step(self, i: int, value: np.ndarray, grad: np.ndarray, rows=slice(None)) -> None:
         self.seen[i][rows] += grad * grad
         value[rows] -= RATE * grad / np.sqrt(self.seen[i][rows])
 
 
-def train(texts: list[str | None], toxic: np.ndarray) -> tuple[np.ndarray, float]:
+def train(texts: pa.Array | list[str | None], toxic: np.ndarray) -> tuple[np.ndarray, float]:
     """Fit embeddings and softmax; returns what each bucket adds to the log
     odds of toxic (before averaging) and the bias."""
-    raw, offsets = _lowered(pa.array(texts, pa.large_string()))
+    raw, offsets = _lowered(texts if isinstance(texts, (pa.Array, pa.ChunkedArray)) else pa.array(texts, pa.large_string()))
     starts, lengths, bounds = word_spans(raw, offsets, _GAP)
     if not len(starts):
         return np.zeros(BUCKETS, np.float32), -20.0
     _, first, word = np.unique(span_hashes(raw, starts, lengths, lower=False), return_index=True, return_inverse=True)
+    word = word.astype(np.int32)
     bucket, grams = subwords(raw, starts[first], lengths[first])
-    at = np.cumsum(grams) - grams
+    at = np.cumsum(grams, dtype=np.int64) - grams
     words_per_doc = np.diff(bounds)
+    del raw, starts, lengths, first
 
     rng = np.random.default_rng(SEED)
-    emb = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM))
-    soft, bias = rng.uniform(-1, 1, (DIM, 2)), np.zeros(2)
+    emb = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
+    soft, bias = rng.uniform(-1, 1, (DIM, 2)).astype(np.float32), np.zeros(2, np.float32)
     opt = _Adagrad(emb.shape, soft.shape, bias.shape)
 
     def fit(spans: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray, weight: np.ndarray) -> None:
@@ -151,9 +160,9 @@ def train(texts: list[str | None], toxic: np.ndarray) -> tuple[np.ndarray, float
         idx = bucket[np.repeat(at[w] - (np.cumsum(g) - g), g) + np.arange(int(g.sum()))]
         per = np.zeros(len(begin))
         some = count > 0
-        per[some] = _row_sums(g.astype(float), count[some])
-        x = np.zeros((len(begin), DIM))
-        x[some] = _row_sums(emb[idx], per[some].astype(int)) / per[some, None]
+        per[some] = _sums(g.astype(float), count[some])
+        x = np.zeros((len(begin), DIM), np.float32)
+        x[some] = _sums(emb[idx], per[some].astype(int)) / per[some, None]
         z = x @ soft + bias
         z -= z.max(1, keepdims=True)
         p = np.exp(z)
@@ -182,9 +191,10 @@ def train(texts: list[str | None], toxic: np.ndarray) -> tuple[np.ndarray, float
     docs = np.flatnonzero(per_doc > 0)
     first_window = (np.cumsum(per_doc) - per_doc)[docs]
     doc_of = np.repeat(np.arange(len(docs)), per_doc[docs])
-    for epoch in range(WINDOW_EPOCHS):
+    weight_of = _sums(grams[word].astype(np.float32), size)
+    for _ in range(WINDOW_EPOCHS):
         gain = _sums((emb @ (soft[:, 1] - soft[:, 0]))[bucket], grams)[word]
-        score = _sums(gain, size) / np.maximum(1, _sums(grams[word].astype(float), size))
+        score = _sums(gain, size) / weight_of
         order = np.lexsort((score, doc_of))
         best = order[np.append(first_window[1:], len(order)) - 1]
         clean = docs[label[docs] == 0]
@@ -222,7 +232,7 @@ def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if not sum(map(len, held)):
         return
     table = pa.Table.from_batches(held).sort_by("doc_id")  # the same model whatever order the shuffle gave
-    gain, bias = train(table["text"].to_pylist(), table["toxic"].to_numpy())
+    gain, bias = train(table["text"], table["toxic"].to_numpy())
     yield pa.RecordBatch.from_arrays([pa.array([gain.tobytes()], pa.binary()), pa.array([bias])], ["gain", "bias"])
 
 

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 SHINGLE_WORDS = 5
-SLICE_BYTES = 1 << 20  # text bytes handled by one set of numpy temporaries
+SLICE_BYTES = 1 << 19  # text bytes handled by one set of numpy temporaries
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
