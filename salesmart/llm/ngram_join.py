@@ -12,7 +12,7 @@ shingles within their first n - o + c ones:
 
 The boundary minimises keys to enumerate plus lists to scan over the measured
 histogram of set sizes. The order only steers cost, so it may come from
-partial counts: each task counts the shingles it sees three times or more, the
+partial counts: each task counts the shingles it sees twice or more, the
 counts are summed over the corpus and the ``HEAVY_TABLE`` most frequent ones
 rank last (a table of fixed size); results do not depend on it.
 
@@ -46,7 +46,7 @@ from salesmart.llm.words import mix, texts_shingles
 HEAVY_TABLE = 1 << 17   # most frequent shingles with a rank of their own
 COUNT_FLUSH = 1 << 21   # shingles a task counts together
 SHORT_LIST = 8          # lists up to this long are paired at once
-PARTNER_SHARES = (16, 4, 1)  # later rounds: one partner in 16, in 4, then all
+PARTNER_SHARES = (32, 8, 1)  # later rounds: one partner in 32, in 8, then all
 LARGEST_LIGHT = 256     # sizes tried as the boundary
 SIZE_BINS = 4096
 BROADCAST_IDS = 1 << 20  # ids sent to every executor at most
@@ -67,7 +67,7 @@ def _class_of(shingles: np.ndarray) -> int:
 
 
 def _document_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per document its set's size and class (kind 0); shingles seen in three
+    """Per document its set's size and class (kind 0); shingles seen in two
     sets or more of this task, each class counted once (kind 1)."""
     held: list[np.ndarray] = []
     size, classes = 0, set()
@@ -76,7 +76,7 @@ def _document_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         if not held:
             return
         shingle, seen = np.unique(np.concatenate(held), return_counts=True)
-        often = seen >= 3
+        often = seen >= 2
         shingle, seen = shingle[often], seen[often]
         none = pa.nulls(len(shingle), pa.int64())
         yield pa.RecordBatch.from_arrays(
@@ -301,7 +301,7 @@ def linked_classes(lists: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
         F.when(F.col("key") % 2 != 0, F.col("key"))).alias("items")), "posted")
 
     def tested_pairs(pairs: DataFrame) -> DataFrame:
-        pairs = stored(_plausible(pairs, posted, light), "pairs")
+        pairs = stored(_plausible(stored(pairs, "candidates"), posted, light), "pairs")
         sets = sets_of(pairs.select(F.col("a").alias("cid")).unionAll(pairs.select("b")).distinct())
         return stored(_verified(pairs, sets), "tested")
 
@@ -309,8 +309,8 @@ def linked_classes(lists: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
     short = x.where("m <= %d" % SHORT_LIST).join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.cid") < F.col("y.cid")))
     star = lists.where("m > %d" % SHORT_LIST).select(
         F.struct("key", "cid", "n", "ub").alias("x"), F.struct(F.col("key"), "leader.*").alias("y"))
-    tested = [tested_pairs(_pairs(short, light).unionAll(_pairs(star, light)).distinct())]
-    labels = components(tested[0].where("linked"))
+    tested = tested_pairs(_pairs(short, light).unionAll(_pairs(star, light)).distinct())
+    labels = components(tested.where("linked"))
 
     for share in PARTNER_SHARES:
         long = lists.where("m > %d" % SHORT_LIST).select("key", "cid", "n", "ub").join(
@@ -325,16 +325,10 @@ def linked_classes(lists: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
         partners = long.where(F.pmod(F.xxhash64("cid"), F.lit(share)) == 0)
         met = minority.alias("x").join(partners.alias("y"), (F.col("x.key") == F.col("y.key"))
                                        & (F.col("x.label") != F.col("y.label")))
-        pairs = _pairs(met, light)
-        for done in tested:
-            pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
-        result = tested_pairs(pairs)
-        tested.append(result)
+        result = tested_pairs(_pairs(met, light).join(tested.select("a", "b"), ["a", "b"], "left_anti"))
+        tested = tested.unionAll(result)
         if not result.where("linked").isEmpty():
-            links = tested[0].where("linked")
-            for done in tested[1:]:
-                links = links.unionAll(done.where("linked"))
-            labels = components(links)
+            labels = components(tested.where("linked"))
     return labels
 
 

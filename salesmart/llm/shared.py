@@ -41,7 +41,8 @@ def salted_join(rows: DataFrame, groups: DataFrame, on: list[str], spread: list[
         raise ValueError(how)
     left = rows.withColumn("_salt", salt(*[F.col(c) for c in spread], salts=salts))
     right = groups.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    # Merged, not broadcast: size estimates do not see the repetition.
+    return left.join(right.hint("merge"), [*on, "_salt"], how).drop("_salt")
 
 
 def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
