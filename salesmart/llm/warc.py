@@ -103,7 +103,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
         _record(F.lit("metadata"), _record_id("metadata", own),
                 [target, _header("WARC-Concurrent-To", response_id), F.lit("Content-Type: application/warc-fields")],
                 F.concat(F.lit("page_id: "), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(END))))
-    (marked.select(F.explode(records).alias("value")).write.option("compression", "gzip")
+    (marked.select(F.explode(records).alias("value")).write.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
      .option("lineSep", END + END).option("maxRecordsPerFile", 3 * PAGES_PER_FILE).text(path))
 
 
