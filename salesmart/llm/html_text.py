@@ -14,10 +14,10 @@ is no template there. The template's tokens (menus, notices and frames that
 repeat) are taken out, and the slots between them are data.
 
 Of the slots the article is kept: those inside the page's ``article`` or
-``main`` element where it has one (all their text), else all slots that are
-neither template nor boilerplate; never menus, headers, footers, side bars,
-notices, adverts, forms, scripts, styles or reader comments, told by element,
-role, class and id. Inline tags join their text, other tags separate blocks.
+``main`` element where it has one, else all slots that are not boilerplate. An
+article of which the template would leave nothing (copies of one page) keeps
+its text. Never kept are menus, headers, footers, side bars, notices, adverts,
+forms, scripts, styles or reader comments, told by element, role, class and id. Inline tags join their text, other tags separate blocks.
 
 Hosts are joined to their template by broadcast while the template table is
 small, else by a salted join. Defined cases: null html is empty; a null url is
@@ -241,10 +241,10 @@ class Page:
 
     def template_tokens(self) -> Iterator[tuple[int, int]]:
         """(position, hash) of the tokens that could belong to a template:
-        tags, and text that is not inside the article."""
+        tags and text."""
         paths: dict[int, str] = {}
         for position, (kind, element, piece) in enumerate(self.tokens):
-            if kind == "break" or (kind == "text" and (self.inside[position] or not piece.strip())):
+            if kind == "break" or (kind == "text" and not piece.strip()):
                 continue
             if element not in paths:
                 paths[element] = self._path(element)
@@ -267,9 +267,16 @@ class Page:
                 fixed.update(position for position, _ in _in_order(seen))
         return fixed
 
+    def _kept(self, fixed: set[int]) -> bool:
+        """Whether the article has text besides the template's."""
+        return any(kind == "text" and self.inside[position] and not self.out[position] and position not in fixed
+                   and piece.strip() for position, (kind, _, piece) in enumerate(self.tokens))
+
     def text(self, template: Template) -> str:
         """The article: the slots left when template and boilerplate go."""
-        fixed = self.nested(template) if template and not self.has_main else ()
+        fixed = self.nested(template) if template else set()
+        if self.has_main and not self._kept(fixed):
+            fixed = set()
         parts = []
         for position, (kind, _, piece) in enumerate(self.tokens):
             if kind == "break":

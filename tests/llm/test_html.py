@@ -75,6 +75,15 @@ def test_salted_join_gives_the_same(spark, monkeypatch):
     assert sorted(map(tuple, extract_text(frame).collect()), key=str) == once
 
 
+def test_template_inside_the_article_is_taken_out(spark):
+    rows = [(k, f"http://h.org/{k}", f"<body><p>Frame</p><article><div>Read H daily</div><p>Story {k} is told here.</p>"
+             "<p>Tell a friend of H</p></article></body>") for k in range(12)]
+    rows += [(100 + k, f"http://copies.org/{k}", "<body><article><p>One story</p></article></body>") for k in range(9)]
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[k] == f"Story {k} is told here." for k in range(12))
+    assert all(got[100 + k] == "One story" for k in range(9))
+
+
 def test_pages_of_the_test_data(spark):
     import html
     import re
