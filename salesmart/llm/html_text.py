@@ -6,17 +6,22 @@ an occurrence vector (how often it occurs on each page); tokens with the same
 vector form an equivalence class. Vectors are never built: a class is known by
 the xor of a hash of (page, count), which partial aggregates combine, so a host
 with a third of all pages is spread over its tokens. A class is valid when
-most of the host's pages have it and it holds at least two tokens. On a page
-the tokens of a class must stand in the order they have on the host's pages,
-and the other classes must nest: all their occurrences in one gap between
-tokens of the root class, the largest one. What is out of order or not nested
-is no template there. The template's tokens (menus, notices and frames that
-repeat) are taken out, and the slots between them are data.
+``MIN_PAGES`` of the host's pages have it, however many others there are
+(another layout, another site), and it holds at least two tokens; a text of
+several words that most pages have is valid alone. On a page the tokens of a
+class must stand in the order they have on the host's pages, and the other
+classes must nest: all occurrences of a token in one gap between tokens of the
+page's root class, the one on most of the host's pages. What is out of order or
+not nested is no template there. The template's tokens (menus, notices and
+frames that repeat) are taken out, and the slots between them are data.
+
+Copies of an article repeat as well. Inside an article only texts that most of
+the host's pages with an article have are template; of a page that the template
+would empty, texts that only fewer pages have stay.
 
 Of the slots the article is kept: those inside the page's ``article`` or
 ``main`` element where it has one, else all slots that are not boilerplate. An
-article of which the template would leave nothing (copies of one page) keeps
-its text. Never kept are menus, headers, footers, side bars, notices, adverts,
+article of which the template would leave nothing keeps its text. Never kept are menus, headers, footers, side bars, notices, adverts,
 forms, scripts, styles or reader comments, told by element, role, class and id. Inline tags join their text, other tags separate blocks.
 
 Hosts are joined to their template by broadcast while the template table is
@@ -41,7 +46,7 @@ from pyspark.sql import functions as F
 from salesmart.llm.shared import salted_join, stored
 
 MIN_PAGES = 5            # pages a host needs for a template
-MOST_PAGES = 0.9         # share of them that has every token of a valid class
+MOST_PAGES = 0.5         # share of them that is most of them
 MIN_CLASS = 2            # tokens in a valid class
 BROADCAST_TOKENS = 200_000
 FLUSH_CHARS = 1 << 21
@@ -69,18 +74,22 @@ BOILER = frozenset("ad ads advert adverts advertisement advertising adsense spon
 COMMENTS = frozenset("comment comments reply replies respond discussion disqus".split())
 
 
-# token -> (number of its class, the root being 0; its place in the class)
-Template = dict[int, tuple[int, int]]
+# token -> (number of its class, that on most pages being 0; its place in the
+# class; whether most pages have it)
+Template = dict[int, tuple[int, int, bool]]
 
 
-def as_template(tokens: list[tuple[int, int, float]]) -> Template:
-    """The template of a host from (token, vector, mean first position):
-    classes by size, tokens by position."""
-    classes: dict[int, list[tuple[float, int]]] = {}
-    for token, vector, position in tokens:
-        classes.setdefault(vector, []).append((position, token))
-    ordered = sorted((sorted(members) for members in classes.values()), key=lambda m: (-len(m), m))
-    return {token: (number, place) for number, members in enumerate(ordered) for place, (_, token) in enumerate(members)}
+def as_template(tokens: list[tuple]) -> Template:
+    """The template of a host from (token, vector, mean first position, pages,
+    whether these are most): classes by pages and size, tokens by position."""
+    classes: dict[tuple[int, int], list[tuple[float, int]]] = {}
+    common: dict[int, bool] = {}
+    for token, vector, position, *support in tokens:
+        pages, common[token] = support or (0, True)
+        classes.setdefault((pages, vector), []).append((position, token))
+    ordered = sorted((-pages, -len(members), sorted(members)) for (pages, _), members in classes.items())
+    return {token: (number, place, common[token]) for number, (_, _, members) in enumerate(ordered)
+            for place, (_, token) in enumerate(members)}
 
 
 def _in_order(seen: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -241,7 +250,7 @@ class Page:
 
     def template_tokens(self) -> Iterator[tuple[int, int]]:
         """(position, hash) of the tokens that could belong to a template:
-        tags and text."""
+        tags and text; text inside an article is another token."""
         paths: dict[int, str] = {}
         for position, (kind, element, piece) in enumerate(self.tokens):
             if kind == "break" or (kind == "text" and not piece.strip()):
@@ -250,33 +259,46 @@ class Page:
                 paths[element] = self._path(element)
             label = " ".join(piece.split()) if kind == "text" else kind
             name = self.elements[element].name if element >= 0 else ""
+            kind = "article" if kind == "text" and self.inside[position] else kind
             yield position, xxhash.xxh3_64_intdigest(f"{paths[element]}>{name}|{kind}|{label}")
 
     def nested(self, template: Template) -> set[int]:
         """Positions of the tokens that this page has as the template does:
-        each class in order, all others nested in one gap of the root."""
+        each class in order, tokens of all others nested in one gap of the
+        root."""
         found: dict[int, list[tuple[int, int]]] = {}
         for position, h in self.template_tokens():
             if h in template:
-                number, place = template[h]
+                number, place, _ = template[h]
                 found.setdefault(number, []).append((position, place))
-        root = [position for position, place in _in_order(found.get(0, []))]
+        top = min(found, default=0)
+        root = [position for position, place in _in_order(found.get(top, []))]
         fixed = set(root)
         for number, seen in found.items():
-            if number and len({bisect_left(root, position) for position, _ in seen}) == 1:
-                fixed.update(position for position, _ in _in_order(seen))
+            if number != top:
+                gaps: dict[int, set[int]] = {}
+                for position, place in seen:
+                    gaps.setdefault(place, set()).add(bisect_left(root, position))
+                fixed.update(position for position, _ in _in_order([x for x in seen if len(gaps[x[1]]) == 1]))
         return fixed
 
     def _kept(self, fixed: set[int]) -> bool:
-        """Whether the article has text besides the template's."""
-        return any(kind == "text" and self.inside[position] and not self.out[position] and position not in fixed
-                   and piece.strip() for position, (kind, _, piece) in enumerate(self.tokens))
+        """Whether a slot that may be the article's has text."""
+        return any(kind == "text" and (self.inside[position] or not self.has_main) and not self.out[position]
+                   and position not in fixed and piece.strip() for position, (kind, _, piece) in enumerate(self.tokens))
+
+    def _fixed(self, template: Template) -> set[int]:
+        """Positions of the template, less what may be copied text."""
+        fixed = self.nested(template)
+        rare = {position for position, h in self.template_tokens() if h in template and not template[h][2]}
+        fixed -= {position for position in rare if self.inside[position]}
+        if not self._kept(fixed):
+            fixed = set() if self.has_main else fixed - rare
+        return fixed
 
     def text(self, template: Template) -> str:
         """The article: the slots left when template and boilerplate go."""
-        fixed = self.nested(template) if template else set()
-        if self.has_main and not self._kept(fixed):
-            fixed = set()
+        fixed = self._fixed(template) if template else set()
         parts = []
         for position, (kind, _, piece) in enumerate(self.tokens):
             if kind == "break":
@@ -299,55 +321,68 @@ def _host(url: str | None) -> str:
 
 def _host_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per (host, token): the xor over pages of hash(page, count), the pages
-    that have it and the sum of its first positions; token 0 counts the
-    host's pages."""
+    that have it, the sum of its first positions, whether it is text inside an
+    article and the words it counts for; tokens 0 and 1 count the host's pages
+    and those with an article."""
     held: dict[tuple[str, int], list[int]] = {}
 
     def flush():
         if held:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in held]), pa.array([_signed(k[1]) for k in held], pa.int64()),
-                 pa.array([_signed(v[0]) for v in held.values()], pa.int64()), pa.array([v[1] for v in held.values()], pa.int64()),
-                 pa.array([v[2] for v in held.values()], pa.int64())],
-                ["host", "token", "vector", "pages", "positions"])
+                 pa.array([_signed(v[0]) for v in held.values()], pa.int64()),
+                 *(pa.array([v[n] for v in held.values()], pa.int64()) for n in range(1, 5))],
+                ["host", "token", "vector", "pages", "positions", "inside", "words"])
             held.clear()
 
     for batch in batches:
         for i in range(0, len(batch), 64):
             for page_id, url, source in zip(*(c.to_pylist() for c in batch.slice(i, 64).columns)):
                 host, source = _host(url), source or ""
-                page = xxhash.xxh3_64_intdigest(f"{page_id}|{url}|{xxhash.xxh3_64_hexdigest(source)}")
-                counts, first = {0: 1}, {0: 0}
-                for position, h in Page(source).template_tokens():
+                digest = xxhash.xxh3_64_intdigest(f"{page_id}|{url}|{xxhash.xxh3_64_hexdigest(source)}")
+                page = Page(source)
+                counts, first = {0: 1, 1: 1} if page.has_main else {0: 1}, {0: (0, 0, 1), 1: (0, 0, 1)}
+                for position, h in page.template_tokens():
                     counts[h] = counts.get(h, 0) + 1
-                    first.setdefault(h, position)
+                    if h not in first:
+                        kind, _, piece = page.tokens[position]
+                        text = kind == "text"
+                        first[h] = position, int(text and page.inside[position]), len(piece.split()) if text else 1
                 for token, n in counts.items():
-                    seen = held.setdefault((host, token), [0, 0, 0])
-                    seen[0] ^= xxhash.xxh3_64_intdigest(page.to_bytes(8, "big") + n.to_bytes(8, "big"))
+                    position, inside, words = first[token]
+                    seen = held.setdefault((host, token), [0, 0, 0, inside, words])
+                    seen[0] ^= xxhash.xxh3_64_intdigest(digest.to_bytes(8, "big") + n.to_bytes(8, "big"))
                     seen[1] += 1
-                    seen[2] += first[token]
+                    seen[2] += position
             if len(held) >= 100_000:
                 yield from flush()
     yield from flush()
 
 
 def host_templates(pages: DataFrame) -> DataFrame:
-    """(host, token, vector, position) of every valid equivalence class, from
-    columns page_id, url, html; position is the mean first one."""
-    tokens = stored(pages.mapInArrow(_host_tokens, "host string, token long, vector long, pages long, positions long")
+    """(host, token, vector, position, pages, common) of every valid
+    equivalence class, from columns page_id, url, html; position is the mean
+    first one, common says that most pages have the token (of text inside
+    articles: most pages with one)."""
+    tokens = stored(pages.mapInArrow(_host_tokens, "host string, token long, vector long, pages long, positions long, inside long, words long")
                     .groupBy("host", "token").agg(F.bit_xor("vector").alias("vector"), F.sum("pages").alias("pages"),
-                                                  (F.sum("positions") / F.sum("pages")).alias("position"))
-                    .where(f"token = 0 or pages >= {MIN_PAGES} * {MOST_PAGES}"), "html-tokens")
-    hosts = tokens.where(f"token = 0 and pages >= {MIN_PAGES}").select("host", F.col("pages").alias("all_pages"))
-    common = tokens.where("token <> 0").join(hosts, "host").where(F.col("pages") >= F.col("all_pages") * MOST_PAGES)
-    classes = common.groupBy("host", "vector").agg(F.count("*").alias("n")).where(f"n >= {MIN_CLASS}").drop("n")
-    return common.join(classes, ["host", "vector"]).select("host", "token", "vector", "position")
+                                                  (F.sum("positions") / F.sum("pages")).alias("position"),
+                                                  F.max("inside").alias("inside"), F.max("words").alias("words"))
+                    .where(f"token in (0, 1) or pages >= {MIN_PAGES}"), "html-tokens")
+    hosts = (tokens.where("token in (0, 1)").groupBy("host")
+             .agg(F.max(F.expr("case when token = 0 then pages end")).alias("all_pages"),
+                  F.max(F.expr("case when token = 1 then pages end")).alias("main_pages")).where(f"all_pages >= {MIN_PAGES}"))
+    rows = tokens.where("token not in (0, 1)").join(hosts, "host").withColumn(
+        "common", F.expr(f"pages >= {MOST_PAGES} * case when inside = 1 then main_pages else all_pages end"))
+    classes = (rows.groupBy("host", "vector").agg(F.count("*").alias("n"), F.max(F.when(F.col("common"), F.col("words"))).alias("words"))
+               .where(f"n >= {MIN_CLASS} or words >= {MIN_CLASS}").select("host", "vector"))
+    return rows.join(classes, ["host", "vector"]).select("host", "token", "vector", "position", "pages", "common")
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    templates = stored(host_templates(rows).groupBy("host").agg(F.collect_list(F.struct("token", "vector", "position")).alias("tokens")), "html-templates")
+    templates = stored(host_templates(rows).groupBy("host").agg(F.collect_list(F.struct("token", "vector", "position", "pages", "common")).alias("tokens")), "html-templates")
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
     with_host = rows.withColumn("host", host)
     size = templates.agg(F.sum(F.size("tokens"))).first()[0] or 0
@@ -366,7 +401,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
                     if host not in known:
                         if len(known) > 1000:
                             known.clear()
-                        known[host] = as_template([(t["token"] & (1 << 64) - 1, t["vector"], t["position"])
+                        known[host] = as_template([(t["token"] & (1 << 64) - 1, t["vector"], t["position"], t["pages"], t["common"])
                                                    for t in tokens[k].as_py() or ()])
                     out.append(Page(source or "").text(known[host]))
                 yield pa.RecordBatch.from_arrays(

@@ -78,12 +78,40 @@ def test_salted_join_gives_the_same(spark, monkeypatch):
 def test_template_inside_the_article_is_taken_out(spark):
     rows = [(k, f"http://h.org/{k}", f"<body><p>Frame</p><article><div>Read H daily</div><p>Story {k} is told here.</p>"
              "<p>Tell a friend of H</p></article></body>") for k in range(12)]
-    rows += [(100 + k, f"http://copies.org/{k}", "<body><article><p>One story</p></article></body>") for k in range(9)]
+    rows += [(100 + k, f"http://copies.org/{k}", f"<body><nav>{k}</nav><article><p>One story</p></article></body>") for k in range(9)]
     got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(got[k] == f"Story {k} is told here." for k in range(12))
     assert all(got[100 + k] == "One story" for k in range(9))
 
 
+def test_layouts_of_a_host_have_their_own_templates(spark):
+    def page(k):
+        if k % 5 == 4:  # a second layout on a fifth of the pages
+            return f"<body><ul id=shop><li>Offers<li>Basket</ul><p>Item {k} costs {k}</p><div id=end>Shop of H<br>Ltd</div></body>"
+        return f"<body><ul id=top><li>Home<li>About</ul><div><p>Story {k} is told here.</p></div><div>All about H</div></body>"
+
+    def other(k):  # sites without a host
+        return f"<body><table><tr><td>Site {k % 4}<td>Map {k % 4}</table><p>Page {k}</p></body>"
+
+    rows = [(k, f"http://h.org/{k}", page(k)) for k in range(60)] + [(100 + k, None, other(k)) for k in range(40)]
+    copy = "<body><nav>%d</nav><div>Frame of C</div><div>Text of a copy</div><p>Its end</p></body>"
+    rows += [(200 + k, f"http://c.org/{k}", copy % k if k < 6 else f"<body><div>Frame of C</div><p>Own {k}</p></body>") for k in range(20)]
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(60):
+        assert got[k] == (f"Item {k} costs {k}" if k % 5 == 4 else f"Story {k} is told here.")
+    assert all(got[100 + k] == f"Page {k}" for k in range(40))
+    assert all(got[200 + k] == ("Text of a copy Its end" if k < 6 else f"Own {k}") for k in range(20))
+
+
+def test_copied_articles_stay(spark):
+    rows = [(k, f"http://h.org/{k}", "<body><article><h1>Head</h1><p>One story</p><p>Its end</p><p>Note %d</p></article></body>" % k)
+            for k in range(8)]
+    rows += [(20 + k, f"http://h.org/x{k}", f"<body><article><h1>Head {k}</h1><p>Story {k}</p></article></body>") for k in range(20)]
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[k] == f"Head One story Its end Note {k}" for k in range(8))
+    assert all(got[20 + k] == f"Head {k} Story {k}" for k in range(20))
+
+
 def test_pages_of_the_test_data(spark):
     import html
     import re
