@@ -4,8 +4,8 @@ A page is a sequence of tokens: tags (name, class, id) and text blocks, each
 told apart by the elements around it. Over all pages of a host every token has
 an occurrence vector (how often it occurs on each page); tokens with the same
 vector form an equivalence class. Vectors are never built: a class is known by
-the xor of a hash of (page, count), which partial aggregates combine, so a host
-with a third of all pages is spread over its tokens. A class is valid when
+the xor of a hash of (page, count) over distinct pages, which partial aggregates
+combine, so a host with a third of all pages is spread over its tokens. A class is valid when
 ``MIN_PAGES`` of the host's pages have it, however many others there are
 (another layout, another site), and it holds at least two tokens; a text of
 several words that most pages have is valid alone. On a page the tokens of a
@@ -320,27 +320,17 @@ def _host(url: str | None) -> str:
 
 
 def _host_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per (host, token): the xor over pages of hash(page, count), the pages
-    that have it, the sum of its first positions, whether it is text inside an
-    article and the words it counts for; tokens 0 and 1 count the host's pages
-    and those with an article."""
-    held: dict[tuple[str, int], list[int]] = {}
-
-    def flush():
-        if held:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in held]), pa.array([_signed(k[1]) for k in held], pa.int64()),
-                 pa.array([_signed(v[0]) for v in held.values()], pa.int64()),
-                 *(pa.array([v[n] for v in held.values()], pa.int64()) for n in range(1, 5))],
-                ["host", "token", "vector", "pages", "positions", "inside", "words"])
-            held.clear()
-
+    """Per (host, token, page): how often the page has it, its first position,
+    whether it is text inside an article and the words it counts for; tokens 0
+    and 1 count the host's pages and those with an article. Pages of a host
+    with the same html are one page."""
+    names = ["host", "token", "page", "n", "position", "inside", "words"]
     for batch in batches:
         for i in range(0, len(batch), 64):
-            for page_id, url, source in zip(*(c.to_pylist() for c in batch.slice(i, 64).columns)):
+            rows: list[tuple] = []
+            for url, source in zip(*(c.to_pylist() for c in batch.slice(i, 64).columns)):
                 host, source = _host(url), source or ""
-                digest = xxhash.xxh3_64_intdigest(f"{page_id}|{url}|{xxhash.xxh3_64_hexdigest(source)}")
-                page = Page(source)
+                digest, page = _signed(xxhash.xxh3_64_intdigest(source)), Page(source)
                 counts, first = {0: 1, 1: 1} if page.has_main else {0: 1}, {0: (0, 0, 1), 1: (0, 0, 1)}
                 for position, h in page.template_tokens():
                     counts[h] = counts.get(h, 0) + 1
@@ -348,27 +338,24 @@ def _host_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         kind, _, piece = page.tokens[position]
                         text = kind == "text"
                         first[h] = position, int(text and page.inside[position]), len(piece.split()) if text else 1
-                for token, n in counts.items():
-                    position, inside, words = first[token]
-                    seen = held.setdefault((host, token), [0, 0, 0, inside, words])
-                    seen[0] ^= xxhash.xxh3_64_intdigest(digest.to_bytes(8, "big") + n.to_bytes(8, "big"))
-                    seen[1] += 1
-                    seen[2] += position
-            if len(held) >= 100_000:
-                yield from flush()
-    yield from flush()
+                rows += [(host, _signed(token), digest, n, *first[token]) for token, n in counts.items()]
+            if rows:
+                host, *numbers = zip(*rows)
+                yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), *(pa.array(c, pa.int64()) for c in numbers)], names)
 
 
 def host_templates(pages: DataFrame) -> DataFrame:
     """(host, token, vector, position, pages, common) of every valid
-    equivalence class, from columns page_id, url, html; position is the mean
+    equivalence class, from columns url, html; position is the mean
     first one, common says that most pages have the token (of text inside
     articles: most pages with one)."""
-    tokens = stored(pages.mapInArrow(_host_tokens, "host string, token long, vector long, pages long, positions long, inside long, words long")
-                    .groupBy("host", "token").agg(F.bit_xor("vector").alias("vector"), F.sum("pages").alias("pages"),
-                                                  (F.sum("positions") / F.sum("pages")).alias("position"),
-                                                  F.max("inside").alias("inside"), F.max("words").alias("words"))
-                    .where(f"token in (0, 1) or pages >= {MIN_PAGES}"), "html-tokens")
+    once = (pages.select("url", "html")
+            .mapInArrow(_host_tokens, "host string, token long, page long, n long, position long, inside long, words long")
+            .groupBy("host", "token", "page").agg(*(F.max(c).alias(c) for c in ("n", "position", "inside", "words"))))
+    tokens = stored(once.groupBy("host", "token").agg(
+        F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.count("*").alias("pages"), F.avg("position").alias("position"),
+        F.max("inside").alias("inside"), F.max("words").alias("words"))
+        .where(f"token in (0, 1) or pages >= {MIN_PAGES}"), "html-tokens")
     hosts = (tokens.where("token in (0, 1)").groupBy("host")
              .agg(F.max(F.expr("case when token = 0 then pages end")).alias("all_pages"),
                   F.max(F.expr("case when token = 1 then pages end")).alias("main_pages")).where(f"all_pages >= {MIN_PAGES}"))

@@ -112,6 +112,15 @@ def test_copied_articles_stay(spark):
     assert all(got[20 + k] == f"Head {k} Story {k}" for k in range(20))
 
 
+def test_a_table_given_twice_gives_each_result_twice(spark):
+    rows = _pages() + [(300 + k, f"http://three.org/{k}", f"<body><div>Three</div><p>words {k}</p></body>") for k in range(3)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    once = sorted(map(tuple, extract_text(frame).collect()), key=str)
+    assert sorted(map(tuple, extract_text(frame.unionAll(frame)).collect()), key=str) == sorted(once * 2, key=str)
+    twice = host_templates(frame.unionAll(frame)).collect()
+    assert twice and sorted(map(tuple, twice)) == sorted(map(tuple, host_templates(frame).collect()))
+
+
 def test_pages_of_the_test_data(spark):
     import html
     import re
