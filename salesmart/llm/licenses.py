@@ -2,8 +2,11 @@
 
 Every line, every paragraph (lines up to an empty one) and the whole of each
 file is compared with each licence template by the cosine of sparse TF-IDF
-vectors; document frequencies are counted over all files. The best template
-with a cosine of ``SIMILAR`` or more is the file's own licence. A bound on the
+vectors; document frequencies are counted over all files. Templates are short
+notices, file headers and the full texts in ``license_texts``. The best
+template with a cosine of ``SIMILAR`` or more is the file's own licence; a full
+text goes before a notice, and a notice of one licence before one that others
+hold as well. A bound on the
 cosine (the weight of words that occur in no template) discards nearly all
 segments before their vectors are built; it never discards a match.
 
@@ -22,6 +25,7 @@ other columns are not read. Words are runs of letters and digits, lower-cased.
 
 from __future__ import annotations
 
+import pkgutil
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,11 +38,12 @@ from salesmart.llm.shared import salted_join, stored
 from salesmart.llm.words import row_slices, span_hashes, text_buffer, word_spans
 
 SIMILAR = 0.75
+TEXT_WORDS = 110  # words from which a template is a full text
 LICENSE_NAME = r"(?i)^(licen[cs]e|copying|copyright|unlicense|notice)([-_.].*)?$"
 
 # Usual notices and file headers of licences, as their texts or their common
 # one-line forms give them (fixed values).
-TEMPLATES: tuple[tuple[str, str], ...] = (
+NOTICES: tuple[tuple[str, str], ...] = (
     ("AGPL-3.0", "This program is licensed under the GNU Affero General Public License, version 3."),
     ("All-Rights-Reserved", "All rights reserved."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -64,8 +69,43 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
             "documentation files (the \"Software\"), to deal in the Software without restriction"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+                 "General Public License as published by the Free Software Foundation, either version 3 of the License, "
+                 "or (at your option) any later version."),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
+                     "provided that the following conditions are met: 1. Redistributions of source code must retain the "
+                     "above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in "
+                     "binary form must reproduce the above copyright notice, this list of conditions and the following "
+                     "disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
+                     "provided that the following conditions are met: 1. Redistributions of source code must retain the "
+                     "above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in "
+                     "binary form must reproduce the above copyright notice, this list of conditions and the following "
+                     "disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the "
+                     "name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+                     "products derived from this software without specific prior written permission."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                "General Public License as published by the Free Software Foundation; either version 2 of the License, "
+                "or (at your option) any later version."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                 "General Public License as published by the Free Software Foundation; either version 2.1 of the License, "
+                 "or (at your option) any later version."),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                 "General Public License as published by the Free Software Foundation, either version 3 of the License, "
+                 "or (at your option) any later version."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+            "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
+            "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+            "Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
 )
 
+FULL_TEXTS = ("AGPL-3.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1",
+              "LGPL-3.0", "MIT", "MPL-2.0", "Unlicense")
+TEMPLATES: tuple[tuple[str, str], ...] = NOTICES + tuple(
+    (name, pkgutil.get_data("salesmart.llm", f"license_texts/{name}.txt").decode()) for name in FULL_TEXTS)
+
 _GAP = np.ones(256, bool)
 _GAP[128:] = False
 for _a, _b in ((48, 58), (65, 91), (97, 123)):
@@ -108,6 +148,10 @@ class Templates:
                 words[i + r] = hashes[row == r]
         self.vocabulary = np.unique(np.concatenate(words))
         self.counts = np.stack([np.bincount(np.searchsorted(self.vocabulary, w), minlength=len(self.vocabulary)) for w in words])
+        self.sizes = [len(w) for w in words]
+        # A notice that another licence's template holds too says less.
+        self.own = [not any(name != self.ids[k] and w.tobytes() in words[k].tobytes() for k in range(len(words)))
+                    for name, w in zip(self.ids, words)]
 
     def weigh(self, files: int, seen: np.ndarray) -> None:
         """Inverse document frequencies: ``seen`` files hold each word."""
@@ -137,7 +181,7 @@ def _scan_rows(column: pa.Array, known: Templates) -> Iterator[tuple[str | None,
         number = known.number(hashes)
         weight = np.where(number >= 0, known.idf[number], 0.0)
         total = np.bincount(row, minlength=j - i)
-        best: list[tuple[float, int, int]] = [(0.0, 0, 0)] * (j - i)
+        best: list[tuple[float, int, int, tuple]] = [(0.0, 0, 0, ())] * (j - i)
         for segment in (line, paragraph, row):
             if not len(segment):
                 continue
@@ -149,9 +193,12 @@ def _scan_rows(column: pa.Array, known: Templates) -> Iterator[tuple[str | None,
             for k in np.flatnonzero(mine >= SIMILAR ** 2 * (mine + others)):
                 score, which = known.best(number[start[k]:end[k]], hashes[start[k]:end[k]])
                 r = int(row[start[k]])
-                if score >= SIMILAR and (score, end[k] - start[k]) > (best[r][0], best[r][2]):
-                    best[r] = (score, which, int(end[k] - start[k]))
-        for r, (score, which, words) in enumerate(best):
+                words, size = int(end[k] - start[k]), known.sizes[which]
+                full = size >= TEXT_WORDS and words >= SIMILAR * size  # not its disclaimer alone
+                rank = full, known.own[which], score, words
+                if score >= SIMILAR and rank > best[r][3]:
+                    best[r] = (score, which, words, rank)
+        for r, (score, which, words, _) in enumerate(best):
             yield (known.ids[which] if words else None), score, words / max(1, int(total[r]))
 
 

@@ -2,7 +2,7 @@ import math
 import re
 from collections import Counter
 
-from salesmart.llm.licenses import SIMILAR, TEMPLATES, scan_licenses
+from salesmart.llm.licenses import FULL_TEXTS, SIMILAR, TEMPLATES, scan_licenses
 
 MIT = "Released under the MIT License."
 APACHE = [t for name, t in TEMPLATES if name == "Apache-2.0"][1]
@@ -61,6 +61,21 @@ def test_inheritance_from_the_nearest_directory(spark):
     assert got[14].license == "MIT" and got[15].origin == "own" and got[16].origin == "none"
 
 
+def test_full_texts_and_headers_have_their_own_id(spark):
+    wanted = [(name, text) for name, text in TEMPLATES if len(text) > 150]
+    assert {name for name, text in wanted if len(text.split()) > 100} == set(FULL_TEXTS)
+    code = "\n\nint main(void) { return puts(name); }\n" * 4
+    files, names = [], []
+    for name, text in wanted:
+        for form in ("Copyright (c) 2020 A. Person\n\n" + text, text + code) if len(text.split()) > 100 else (text, text + "\n" + code):
+            names.append(name)
+            files.append((len(files), f"{len(files)}/LICENSE", form))
+    files += [(1000 + k, f"src/{k}.py", f"word{k} the of and to in this a line of text") for k in range(40)]
+    got = {r.id: r.own_license for r in scan_licenses(spark.createDataFrame(files, "id long, path string, text string")).collect()}
+    assert [got[k] for k in range(len(names))] == names
+    assert not any(got[1000 + k] for k in range(40))
+
+
 def test_root_directory_and_empty_table(spark):
     frame = spark.createDataFrame([(1, "LICENSE", MIT), (2, "a/b/c.py", "x"), (3, "d.py", "y")], "id long, path string, text string")
     got = {r.id: r for r in scan_licenses(frame).collect()}
