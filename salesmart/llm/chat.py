@@ -9,11 +9,14 @@ segment the text's span is found by rendering the same prefix with a one-
 character probe in the text's place. Spans of assistant texts are the loss
 mask.
 
-Conversations stream through a task in turn order with a bounded context: up
-to ``CONTEXT`` turns the whole prefix is rendered; beyond, the first turn and
-the latest ones, after checking that the shortened context renders to the
-segments already seen. A conversation with a third of all rows is therefore
-never held in memory (its digest is sequential by nature). Segments, one row
+Conversations go through a task in turn order. Every prefix is rendered whole,
+so numbered turns and rewriting however far back are seen as they are; this
+holds one conversation in memory and takes time with the square of its turns. A
+template whose author declares that it writes each turn on its own (attribute
+``independent``, as ``marked_turns`` has) streams with a bounded context
+instead: from ``CONTEXT`` turns on, the first turn and the latest ones, which
+give the same segments. A conversation with a third of all rows is then never
+held in memory (its digest is sequential by nature). Segments, one row
 per turn, are the output; joined in order they are the formatted conversation.
 
 Defined cases: null text or role is empty; turns are ordered by turn (null
@@ -55,6 +58,9 @@ def marked_turns(turns: Turns) -> str:
     return "".join(f"### {_escape(role, ':')}:\n{_escape(text)}</turn>\n" for role, text in turns)
 
 
+marked_turns.independent = True  # no turn's output depends on other turns
+
+
 _TURN = re.compile(r"### ([^\\:#<]*(?:\\.[^\\:#<]*)*):\n([^\\#<]*(?:\\.[^\\#<]*)*)</turn>\n", re.S)
 
 
@@ -97,7 +103,7 @@ class Renderer:
         self.segments.append(segment)
         self.before = after
         lead, self.lead = self.lead, ""
-        if len(self.context) >= CONTEXT:
+        if len(self.context) >= CONTEXT and getattr(self.template, "independent", False):
             self._shorten()
         return lead + segment, (span[0] + len(lead), span[1] + len(lead)) if span else None
 

@@ -48,6 +48,24 @@ def test_rewriting_templates_are_detected():
     assert segment == "<s><user>padded</user>" and segment[span[0]:span[1]] == "padded" and not renderer.rewrites
 
 
+def test_long_conversations_are_rendered_whole(spark):
+    n = 2 * CONTEXT + 10
+
+    def numbered(turns):
+        return "".join(f"[{k} {role}]{text}\n" for k, (role, text) in enumerate(turns))
+
+    def forgets(turns):  # from 100 turns on, the eleventh is rewritten
+        return "".join("..." if k == 10 and len(turns) > 100 else f"[{role}]{text}\n" for k, (role, text) in enumerate(turns))
+
+    rows = [(1, k, "assistant" if k % 2 else "user", f"text {k}") for k in range(n)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = sorted(format_conversations(frame, numbered).collect(), key=lambda r: r.part)
+    assert "".join(r.segment for r in got) == numbered([r[2:] for r in rows])
+    assert all(r.segment[r.text_start:r.text_end] == f"text {r.part}" and r.in_loss == (r.part % 2 == 1) for r in got)
+    got = sorted(format_conversations(frame, forgets).collect(), key=lambda r: r.part)
+    assert [r.rewrites_history for r in got] == [k >= 100 for k in range(n)]
+
+
 def _digests(turns):
     learned = [t or "" for r, t in turns if r == "assistant"]
     return (len(turns), hashlib.sha256("".join(f"{r or ''}\n{t or ''}\n" for r, t in turns).encode()).hexdigest(),
