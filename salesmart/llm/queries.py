@@ -18,6 +18,7 @@ from salesmart.llm.exact_dedup import exact_groups
 from salesmart.llm.html_text import extract_text
 from salesmart.llm.language_id import predict_languages
 from salesmart.llm.licenses import scan_licenses
+from salesmart.llm.merkle import verify_manifest
 from salesmart.llm.mixing import mixed
 from salesmart.llm.ngram_join import near_duplicates
 from salesmart.llm.shared import read_table, stored
@@ -83,6 +84,10 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verify_manifest(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_decontaminate": op2_decontaminate,
@@ -94,12 +99,65 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_html_text": op9_html_text,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 _ESCAPED = "length({0}) + length({0}) - length(translate({0}, '\\#<{1}', ''))"
 
+_CRC_STEP = "CASE WHEN i % 8 = 0 THEN xor(c, ascii(substr(s, i // 8 + 1, 1))) ELSE c END"
+
+
+def _merkle_sql(group_levels: int = 6, top_levels: int = 4) -> str:
+    """The manifest level by level; 16 to the power of the levels bounds the
+    rows of a group and the groups."""
+    def build(name: str, levels: int) -> str:
+        return ",".join(f"""
+        {name}r{k} AS (SELECT tree, idx // 16 AS run, any_value(size) AS size, string_agg(h, '' ORDER BY idx) AS txt
+                       FROM {name}{k} GROUP BY tree, idx // 16),
+        {name}{k + 1} AS (SELECT tree, run AS idx, (size + 15) // 16 AS size,
+                          CASE WHEN size = 1 THEN txt ELSE sha256(txt) END AS h FROM {name}r{k})""" for k in range(levels))
+
+    def climb(name: str, levels: int, first: str) -> str:
+        out, last = [], first
+        for k in range(levels):
+            mine = f"x.{name}_idx // {16 ** k}"
+            left, right = f"substr(r.txt, 1, 64 * (({mine}) % 16))", f"substr(r.txt, 64 * (({mine}) % 16) + 65)"
+            out.append(f"""
+        {name}p{k} AS (SELECT x.* REPLACE (
+                CASE WHEN r.size = 1 THEN x.proof ELSE x.proof || {left} || {right} END AS proof,
+                CASE WHEN r.size = 1 THEN x.acc ELSE sha256({left} || x.acc || {right}) END AS acc)
+            FROM {last} x JOIN {name}r{k} r ON r.tree = x.{name}_tree AND r.run = x.{name}_idx // {16 ** (k + 1)})""")
+            last = f"{name}p{k}"
+        return ",".join(out)
+
+    def part(column: str) -> str:
+        text = f"CAST({column} AS VARCHAR)"
+        return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+    def leaf(text: str) -> str:
+        return f"sha256({' || '.join(part(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+    return f"""
+        WITH crc AS (SELECT *, CAST(doc_id AS VARCHAR) AS s FROM documents),
+        leaves AS (SELECT doc_id, coalesce('=' || source, '') AS tree, {leaf('text')} AS leaf,
+                CASE WHEN xor(list_reduce(range(8 * strlen(s)), lambda c, i:
+                        xor(({_CRC_STEP}) >> 1, (({_CRC_STEP}) & 1) * 3988292384), 4294967295), 4294967295) % 5 = 0
+                     THEN {leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS other
+            FROM crc),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS g_idx,
+                          count(*) OVER (PARTITION BY tree) AS size FROM leaves),
+        g0 AS (SELECT tree, g_idx AS idx, size, leaf AS h FROM placed),{build('g', group_levels)},
+        t0 AS (SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS size, h
+               FROM g{group_levels}),{build('t', top_levels)},
+        start AS (SELECT doc_id, leaf, tree AS g_tree, g_idx, '' AS t_tree, dense_rank() OVER (ORDER BY tree) - 1 AS t_idx,
+                         '' AS proof, coalesce(other, leaf) AS acc FROM placed),{climb('g', group_levels, 'start')},
+        {climb('t', top_levels, f'gp{group_levels - 1}')}
+        SELECT doc_id, leaf, g.h AS subroot, t.h AS root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = t.h AS verified
+        FROM tp{top_levels - 1} x JOIN g{group_levels} g ON g.tree = x.g_tree, t{top_levels} t"""
+
+
 ORACLE: dict[str, str] = {
     "op1_warc": """
         WITH p AS (
@@ -137,6 +195,7 @@ ORACLE: dict[str, str] = {
             UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.seen)
         SELECT doc_id, CAST(any_value(len(shingles)) AS BIGINT) AS n_shingles, min(seen) AS component_id
         FROM sets JOIN reach USING (doc_id) GROUP BY doc_id""",
+    "op11_merkle_manifest": _merkle_sql(),
     "op10_exact_dedup": f"""
         WITH norm AS (
             SELECT doc_id, coalesce(text, '') AS t,
