@@ -29,9 +29,10 @@ table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesmart.llm.shared import stored
@@ -74,6 +75,20 @@ def with_positions(rows: DataFrame, tree: str, order: Sequence[str], label: str)
     return placed.join(offsets, [tree, "part"]).withColumn("idx", F.col("at") + F.col("shift")).drop("part", "at", "shift")
 
 
+@contextmanager
+def co_partitioned(spark: SparkSession) -> Iterator[None]:
+    """Plans made inside may join on more keys than their inputs are dealt by,
+    so rows dealt by (tree, run) are not shuffled again by slot. A run has
+    ``ARITY`` rows at most, so nothing is lost in evenness."""
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def sibling_slots(slot: Column, run: Column, size: Column, arity: int) -> Column:
     """Slots of the run in which siblings stand."""
     if arity == 2:
@@ -85,7 +100,8 @@ def sibling_slots(slot: Column, run: Column, size: Column, arity: int) -> Column
 
 def with_siblings(nodes: DataFrame, arity: int = ARITY) -> DataFrame:
     """``nodes`` (tree, idx, size, node and more) with ``run``, ``slot`` and
-    ``siblings``, the digests of the run's other nodes from left to right."""
+    ``siblings``, the digests of the run's other nodes from left to right.
+    Planned inside ``co_partitioned``, it shuffles the nodes once."""
     dealt = (nodes.withColumn("run", F.expr(f"idx div {arity}")).withColumn("slot", (F.col("idx") % arity).cast("int"))
              .repartition("tree", "run"))  # one exchange serves all three uses: siblings meet in a task
     asks = dealt.select("tree", "run", "slot",
@@ -116,8 +132,9 @@ def _levels(leaves: DataFrame, arity: int, label: str) -> tuple[list[DataFrame],
             return levels, roots
         up = F.when(F.col("slot") == 0, parent(F.col("node"), F.col("slot"), F.col("siblings")))
         step = F.struct("slot", F.unhex("siblings").alias("siblings"))  # bytes: half the size
-        level = stored(with_siblings(nodes.where("size > 1"), arity).withColumns({"up": up, "step": step})
-                       .drop("siblings"), f"{label}-{len(levels)}")
+        with co_partitioned(leaves.sparkSession):
+            level = stored(with_siblings(nodes.where("size > 1"), arity).withColumns({"up": up, "step": step})
+                           .drop("siblings"), f"{label}-{len(levels)}")
         levels.append(level)
         nodes = level.where("slot = 0").select("tree", F.col("run").alias("idx"), F.col("up").alias("node"),
                                                F.expr(f"(size + {arity - 1}) div {arity}").alias("size"))
