@@ -22,6 +22,7 @@ from salesmart.llm.merkle import verify_manifest
 from salesmart.llm.mixing import mixed
 from salesmart.llm.ngram_join import near_duplicates
 from salesmart.llm.shared import read_table, stored
+from salesmart.llm.token_files import read_documents, write_token_files
 from salesmart.llm.toxicity import fit_model, held_out, score_documents
 from salesmart.llm.warc import assemble, page_captures, read_records, write_archives
 from salesmart.session import new_run_dir
@@ -88,6 +89,13 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify_manifest(read_table(spark, sf_dir, "documents"))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path as tokenizer_path
+    path = new_run_dir(spark, "llm/token-files")
+    write_token_files(read_table(spark, sf_dir, "documents"), path, tokenizer_path("byte_bpe_50k.json"))
+    return read_documents(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_decontaminate": op2_decontaminate,
@@ -100,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_text": op9_html_text,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_token_files": op12_token_files,
 }
 
 _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
