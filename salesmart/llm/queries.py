@@ -25,6 +25,7 @@ from salesmart.llm.shared import read_table, stored
 from salesmart.llm.token_files import read_documents, write_token_files
 from salesmart.llm.toxicity import fit_model, held_out, score_documents
 from salesmart.llm.warc import assemble, page_captures, read_records, write_archives
+from salesmart.llm.whitening import whitened
 from salesmart.session import new_run_dir
 
 
@@ -96,6 +97,10 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, path)
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_decontaminate": op2_decontaminate,
@@ -109,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_token_files": op12_token_files,
+    "op13_whitening": op13_whitening,
 }
 
 _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
