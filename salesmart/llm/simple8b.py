@@ -65,7 +65,10 @@ def _selectors(width: np.ndarray, room: np.ndarray) -> np.ndarray:
 
     best = np.full(n, ESCAPE, np.uint8)
     for s in range(LAST, 0, -1):
-        best[over(int(COUNTS[s])) <= BITS[s]] = s
+        fits = over(int(COUNTS[s])) <= BITS[s].astype(np.uint8)
+        if not fits.any():  # nor would more values
+            break
+        np.copyto(best, np.uint8(s), where=fits)
     return best
 
 
@@ -75,12 +78,11 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = len(values)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    room = np.full(n, BLOCK, np.int64)
-    room -= np.arange(n) % BLOCK
+    room = np.resize(np.arange(BLOCK, 0, -1, dtype=np.int16), n)
     last = n - n % BLOCK
     room[last:] = np.arange(n - last, 0, -1)
     selector = _selectors(_widths(values), room)
-    step = np.minimum(COUNTS[selector], room)
+    step = np.minimum(COUNTS.astype(np.int16)[selector], room)
     # All blocks walk their words at once.
     at, end = np.arange(0, n, BLOCK), np.minimum(np.arange(0, n, BLOCK) + BLOCK, n)
     begins = np.zeros(n, bool)

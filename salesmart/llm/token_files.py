@@ -12,7 +12,9 @@ part, so nothing but those counts is ever brought together.
 A text is cut before every run of white space. No token of the byte-level BPE
 crosses such a place, so a batch encodes each distinct piece once and puts its
 ids wherever the piece stands; the result is that of encoding the whole text,
-which the tests compare. Texts with white space beyond ASCII are encoded whole.
+which the tests compare. A worker remembers the ids of up to ``KNOWN`` short
+pieces for its later batches; what is encoded anew or taken from there makes no
+difference to the result. Texts with white space beyond ASCII are encoded whole.
 
 Defined cases: a null text is empty and has the end id alone; a null id comes
 first, equal ids stand in order of a hash of their texts; rows repeated whole
@@ -33,13 +35,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from salesmart.llm.shared import stored
 from salesmart.llm.simple8b import GOES_ON_FROM, GOES_ON_IN, NULL_ID, Segment, SegmentView
 from salesmart.llm.words import SPACE, text_buffer
 
 END_ID = 2
 SEGMENT_IDS = 1 << 20
-SLICE = 16 << 20  # bytes of text tokenised at a time (one text at least)
+SLICE = 8 << 20  # bytes of text tokenised at a time (one text at least)
 PIECES = 1 << 13  # bytes of pieces in one call of the tokenizer
+KNOWN, KNOWN_BYTES = 1 << 19, 32  # pieces that a worker remembers, and their length
 # White space that the tokenizer's rules know beyond the six ASCII characters
 # (and some that other rules count as such).
 _OTHER_SPACE = "[\x1c-\x1f\u0085\u00a0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]"
@@ -56,6 +60,8 @@ class PieceEncoder:
         self.length = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes of each token
         for token, i in vocabulary.items():
             self.length[i] = len(token)
+        self.known = pa.array([], pa.large_string())
+        self.known_ids, self.known_counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -83,6 +89,26 @@ class PieceEncoder:
             counts[i:j] = np.diff(upto, prepend=0)
         return (np.concatenate(found) if found else np.zeros(0, np.int64)), counts
 
+    def _of_pieces(self, pieces: pa.LargeStringArray, joins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where those of each piece begin and how many they are."""
+        place = pc.index_in(pieces, value_set=self.known).fill_null(-1).to_numpy()
+        new = np.flatnonzero(place < 0)
+        place = np.where(place < 0, 0, place)
+        place[new] = len(self.known) + np.arange(len(new))
+        fresh = pieces.take(pa.array(new))
+        new_ids, new_counts = self._pieces(fresh, joins[new])
+        ids, counts = np.concatenate([self.known_ids, new_ids.astype(np.uint32)]), np.append(self.known_counts, new_counts)
+        first = np.cumsum(counts) - counts
+        short = pc.less_equal(pc.binary_length(fresh), KNOWN_BYTES).to_numpy(zero_copy_only=False).astype(bool)
+        add = np.flatnonzero(short)[:KNOWN - len(self.known)]
+        if len(add):
+            at, n = first[len(self.known):][add], new_counts[add]
+            ahead = np.cumsum(n) - n
+            self.known_ids = np.append(self.known_ids, ids[np.repeat(at - ahead, n) + np.arange(int(n.sum()))])
+            self.known_counts = np.append(self.known_counts, n)
+            self.known = pa.concat_arrays([self.known, fresh.take(pa.array(add))])
+        return ids, first[place], counts[place]
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts of a column, one after the other, and how many
         each text has."""
@@ -105,12 +131,11 @@ class PieceEncoder:
         opens = space[cut[:-1]] & ~space[cut[1:] - 1] if len(cut) > 1 else np.zeros(0, bool)
         opens &= ~odd[np.searchsorted(offsets, cut[:-1], "right") - 1]
         sole[index[~opens]] = True
-        ids, counts = self._pieces(coded.dictionary, ~sole)
-        first = np.cumsum(counts) - counts
+        ids, first, counts = self._of_pieces(coded.dictionary, ~sole)
         per = counts[index]
-        where = np.cumsum(per) - per
-        out = ids[np.repeat(first[index] - where, per) + np.arange(int(per.sum()))]
         ahead = np.append(0, np.cumsum(per))
+        small = np.int32 if len(ids) + ahead[-1] < 1 << 31 else np.int64  # positions
+        out = ids[np.repeat((first[index] - ahead[:-1]).astype(small), per) + np.arange(ahead[-1], dtype=small)]
         return out, np.diff(ahead[np.searchsorted(cut, offsets)])
 
 
@@ -164,7 +189,7 @@ def _writer(path: str, segment_ids: int):
             for some in _slices(batch.column(1)):
                 ids, counts = _ENCODERS[path].encode(batch.column(1)[some])
                 ends = np.cumsum(counts)
-                held_ids.append(np.insert(ids, ends, END_ID).astype(np.uint32))
+                held_ids.append(np.insert(ids, ends, END_ID))
                 held_counts.append(counts + 1)
                 held_docs.append(doc_ids[some].fill_null(0).to_numpy())
                 held_null.append(doc_ids[some].is_null().to_numpy(zero_copy_only=False).astype(np.uint8))
@@ -248,8 +273,8 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per document of the files under ``path``: doc_id, start,
     n_tokens and ids_crc32 (of its ids as little-endian 32-bit integers)."""
     segments = spark.read.schema("part int, seg int, n_ids long, segment binary").parquet(path)
-    pieces = segments.select("part", "seg", "segment").mapInArrow(
-        _documents, "part int, seg int, doc long, doc_id long, at long, n long, crc long, whole boolean")
+    pieces = stored(segments.select("part", "seg", "segment").mapInArrow(
+        _documents, "part int, seg int, doc long, doc_id long, at long, n long, crc long, whole boolean"), "token-pieces")
     columns = ["part", "doc_id", "at", "n", "crc"]
     # Documents cut by the end of a segment: as many pieces as segments.
     split = (pieces.where("not whole").groupBy("part", "doc")

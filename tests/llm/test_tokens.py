@@ -17,6 +17,8 @@ from salesmart.session import new_run_dir
 from tests.conftest import SF01
 
 FILE = tokenizer_path("byte_bpe_50k.json")
+PLAIN = Tokenizer.from_file(FILE)
+ENCODER = tf.PieceEncoder(FILE)  # remembers pieces from one example to the next
 
 
 def plain_words(values):
@@ -75,12 +77,20 @@ PIECES = st.sampled_from([" ", "  ", "\n", "\t\r\n", " ", "　", " ", "a", "i
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.lists(PIECES, max_size=30).map("".join), max_size=8))
 def test_pieces_give_the_ids_of_whole_texts(texts):
-    encoder = tf._ENCODERS.setdefault(FILE, tf.PieceEncoder(FILE) if FILE not in tf._ENCODERS else None)
-    ids, counts = encoder.encode(pa.array(texts, pa.string()))
-    want = [e.ids for e in Tokenizer.from_file(FILE).encode_batch(texts, add_special_tokens=False)]
+    ids, counts = ENCODER.encode(pa.array(texts, pa.string()))
+    want = [e.ids for e in PLAIN.encode_batch(texts, add_special_tokens=False)]
     assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
+def test_a_full_memory_changes_nothing(monkeypatch):
+    monkeypatch.setattr(tf, "KNOWN", 5)
+    encoder = tf.PieceEncoder(FILE)
+    for texts in (["a b c d e f g a b"], ["h a i b", "", "a" * 100], ["a b h i"]):
+        ids, _ = encoder.encode(pa.array(texts))
+        assert ids.tolist() == [i for t in texts for i in PLAIN.encode(t, add_special_tokens=False).ids]
+    assert len(encoder.known) == 5
+
+
 @given(st.binary(max_size=50), st.binary(max_size=50))
 def test_crc_of_a_concatenation(a, b):
     assert tf.crc_of_both(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
@@ -88,9 +98,9 @@ def test_crc_of_a_concatenation(a, b):
 
 def brute(rows):
     """(doc_id, n_tokens, ids_crc32, start) of (doc_id, text) rows in order."""
-    tokenizer, start, out = Tokenizer.from_file(FILE), 0, []
+    start, out = 0, []
     for i, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
-        ids = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [tf.END_ID], "<u4")
+        ids = np.array(PLAIN.encode(text or "", add_special_tokens=False).ids + [tf.END_ID], "<u4")
         out.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
         start += len(ids)
     return out
