@@ -45,9 +45,12 @@ def main(argv: list[str] | None = None) -> int:
     rb.add_argument("raw_dir")
     rb.add_argument("--format", default="csv", choices=["csv", "parquet"])
     rb.add_argument("--out", default=None, help="run folder (default: new folder under spark.checkpoint.dir)")
+    rb.add_argument("--root", default=None, help="folder of builds: a new one goes there and becomes the current one")
+    rb.add_argument("--keep", type=int, default=None, help="with --root: remove builds older than the last KEEP")
+    rb.add_argument("--preview", type=int, default=5, help="rows of each mart shown")
     rb.add_argument("--no-answers", action="store_true")
     an = sub.add_parser("answer", help="print the questions and chart tables of a written warehouse")
-    an.add_argument("run_dir")
+    an.add_argument("run_dir", help="folder of a build, or a folder of builds: its current one")
     an.add_argument("--rows", type=int, default=None, help="rows printed per answer (default: the whole answer)")
     for p in (rb, an):
         d = Params()
@@ -62,10 +65,10 @@ def main(argv: list[str] | None = None) -> int:
         from salesmart.plans.pipeline import rebuild
         from salesmart.sources import read_sources
         report = rebuild(spark, read_sources(spark, args.raw_dir, args.format), _params(args), args.out,
-                         answers=not args.no_answers)
+                         answers=not args.no_answers, root=args.root, keep=args.keep, preview_rows=args.preview)
         print(json.dumps({"out_dir": report.out_dir, "rows": report.rows, "seconds": report.seconds,
                           "profile": report.profile, "duplicates": report.duplicates, "accounting": report.accounting,
-                          "checks": report.checks}, indent=2, default=str))
+                          "checks": report.checks, "previews": report.previews}, indent=2, default=str))
         return 0
 
     from salesmart.plans.warehouse import Warehouse

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.operators.dedup import dedup
+from salesmart.operators.staging import PIECE
 from salesmart.sources.specs import SOURCES
 
 
@@ -81,6 +82,31 @@ def foreign_key_report(child: DataFrame, parent: DataFrame, child_key: str, pare
                           F.lit(child_key).alias("key_column"), "orphan_rows")
 
 
+def fact_integrity(fact: DataFrame, parents: Sequence[tuple[str, DataFrame, str]], fact_name: str) -> DataFrame:
+    """The fact's references (B8) and the star join's survivors (B10) from one
+    scan of its keys: (child_table, parent_table, key_column, orphan_rows,
+    null_rows, joined_rows), a row per parent of ``parents`` (key of the fact,
+    parent, key of the parent). ``joined_rows``, the same on each, counts fact
+    rows that find all their parents.
+
+    Parents are narrowed to one row per key, which a parent whose key is
+    unique already has, so the left joins keep the fact's rows one to one."""
+    keys = list(dict.fromkeys(key for key, _, _ in parents))
+    rows, found = fact.select(*keys), []
+    for i, (key, parent, parent_key) in enumerate(parents):
+        known = parent.select(F.col(parent_key).alias(key)).where(F.col(key).isNotNull()).distinct().withColumn(f"__in{i}", F.lit(True))
+        rows = rows.join(known, key, "left")
+        found.append(F.coalesce(F.col(f"__in{i}"), F.lit(False)))
+    counts = [F.count_if(reduce(lambda a, b: a & b, found)).alias("__joined")]
+    for i, (key, _, _) in enumerate(parents):
+        counts += [F.count_if(F.col(key).isNotNull() & ~found[i]).alias(f"__o{i}"), F.count_if(F.col(key).isNull()).alias(f"__n{i}")]
+    cells = [F.struct(F.lit(key).alias("key_column"), F.col(f"__o{i}").alias("orphan_rows"), F.col(f"__n{i}").alias("null_rows"),
+                      F.lit(i).alias("parent")) for i, (key, _, _) in enumerate(parents)]
+    return (rows.agg(*counts).select("__joined", F.explode(F.array(*cells)).alias("c"))
+            .select(F.lit(fact_name).alias("child_table"), "c.parent", "c.key_column", "c.orphan_rows", "c.null_rows",
+                    F.col("__joined").alias("joined_rows")))
+
+
 def star_join(fact: DataFrame, dim_customers: DataFrame, dim_products: DataFrame, dim_dates: DataFrame) -> DataFrame:
     """The fact joined to all three dimensions (B10); as many rows as the
     fact when every key resolves."""
@@ -98,19 +124,33 @@ def _steps(one_row: DataFrame, table_name: str, steps: list[tuple[str, str]]) ->
             .select(F.lit(table_name).alias("table_name"), "cell.step", "cell.rows"))
 
 
+def order_steps(first_orders: DataFrame, delivered_status: str) -> DataFrame:
+    """One row: deduplicated orders, and those the cleaning rules drop."""
+    status = F.lit(delivered_status)
+    return first_orders.agg(
+        F.count(F.lit(1)).alias("kept"),
+        F.count_if(F.coalesce(F.col("order_status") != status, F.lit(True))).alias("not_delivered"),
+        F.count_if((F.col("order_status") == status) & F.col("order_purchase_timestamp").isNull())
+         .alias("no_purchase_time"))
+
+
+def lines_without_customer(stg_items: DataFrame, stg_orders: DataFrame, stg_customers: DataFrame) -> DataFrame:
+    """One row: lines of delivered orders that have no customer row. Orders
+    meet customers first; lines are counted per order where they are stored."""
+    lost = stg_orders.select("order_id", "customer_id").join(stg_customers.select("customer_id"), "customer_id", "left_anti")
+    keys = [c for c in ("order_id", PIECE) if c in stg_items.columns]
+    lines = stg_items.groupBy(*keys).agg(F.count(F.lit(1)).alias("lines"))
+    return (lines.join(lost.select("order_id"), "order_id")
+            .agg(F.coalesce(F.sum("lines"), F.lit(0)).cast("bigint").alias("lines")))
+
+
 def row_accounting(sources: dict[str, DataFrame], stg: dict[str, DataFrame], delivered_status: str) -> DataFrame:
     """Where the rows went between the raw sources and the fact (B9):
     (table_name, step, rows). Items lost because their order was not
     delivered and items lost because the order has no customer row are
     reported separately."""
     o_src, i_src = sources["orders"], sources["order_items"]
-    status = F.lit(delivered_status)
-    o_first = dedup(o_src, SOURCES["orders"].pk)
-    o_stats = o_first.agg(
-        F.count(F.lit(1)).alias("kept"),
-        F.count_if(F.coalesce(F.col("order_status") != status, F.lit(True))).alias("not_delivered"),
-        F.count_if((F.col("order_status") == status) & F.col("order_purchase_timestamp").isNull())
-         .alias("no_purchase_time"))
+    o_stats = order_steps(dedup(o_src, SOURCES["orders"].pk), delivered_status)
     o_raw = o_src.agg(F.count(F.lit(1)).alias("raw"))
     i_raw = i_src.agg(F.count(F.lit(1)).alias("raw"))
     i_kept = stg["stg_order_items"].agg(F.count(F.lit(1)).alias("kept"))

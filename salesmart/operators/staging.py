@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.functions.time import elapsed_days, late_flag
-from salesmart.operators.dedup import dedup
+from salesmart.operators.dedup import clustered_first, dedup
 from salesmart.params import Params
 from salesmart.sources.specs import SOURCES
 
@@ -24,6 +24,20 @@ def dedup_source(name: str, df: DataFrame) -> DataFrame:
     return dedup(df, SOURCES[name].pk)
 
 
+# Lines of one order that stand together in the stored items. An order's lines
+# are dealt by (order, piece), so that an order with a third of all lines is
+# spread over as many pieces as it has, and all others stay whole.
+PIECE = "_piece"
+PIECE_LINES = 64
+
+
+def clustered_items(items: DataFrame, rows: int, partitions: int) -> DataFrame:
+    """Rule 1 for ``rows`` items, dealt by (order, piece) as they are stored."""
+    piece = F.call_function("div", F.col("order_item_id"), F.lit(PIECE_LINES))
+    pieces = items.withColumn(PIECE, F.coalesce(piece, F.lit(-1)).cast("long"))
+    return clustered_first(pieces, SOURCES["order_items"].pk, ("order_id", PIECE), rows, partitions)
+
+
 def _orders_rules(orders: DataFrame, status: str) -> DataFrame:
     o = orders.where(F.col("order_status") == F.lit(status)).dropna(subset=["order_purchase_timestamp"])
     return (o.withColumn("delivery_days", elapsed_days(F.col("order_purchase_timestamp"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from salesmart.operators.dedup import first_per_key
 from salesmart.operators.schemas import conform, star_schemas
+from salesmart.operators.staging import PIECE
 from salesmart.params import Params
 
 _DEFAULT = Params()
@@ -55,15 +56,21 @@ def dim_dates(stg_orders: DataFrame) -> DataFrame:
 def fact_order_items(stg_items: DataFrame, stg_orders: DataFrame, stg_customers: DataFrame) -> DataFrame:
     """One row per order line of a delivered order with a known customer.
 
-    Orders meet customers first (order-sized join), then the item-sized
-    side is shuffled once, by ``order_id``. Order-level measures repeat on
+    Orders meet customers first (order-sized join), then the items by
+    ``order_id``. Items stored by (order, piece) are read as they lie: what is
+    shuffled is one row per order and piece. Order-level measures repeat on
     every line of the order.
     """
     orders = (stg_orders.select("order_id", "customer_id", "order_purchase_timestamp",
                                 "delivery_days", "delivered_late")
               .join(stg_customers.select("customer_id", "customer_unique_id"), "customer_id"))
-    items = stg_items.select("order_id", "order_item_id", "product_id", "price", "freight_value", "item_total")
-    return (items.join(orders, "order_id")
+    items = stg_items.select("order_id", "order_item_id", "product_id", "price", "freight_value", "item_total",
+                             *[c for c in stg_items.columns if c == PIECE])
+    keys = ["order_id"]
+    if PIECE in items.columns:
+        keys.append(PIECE)
+        orders = items.select(*keys).distinct().join(orders, "order_id")
+    return (items.join(orders, keys)
             .select("order_id",
                     "order_item_id",
                     F.col("customer_unique_id").alias("customer_key"),

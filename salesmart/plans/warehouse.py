@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from salesmart.operators import eda, marts, questions, quality, staging, star
 from salesmart.operators.staging import STAGING_NAMES
 from salesmart.params import Params
+from salesmart.plans import builds
 from salesmart.sources.fixture import fixture_sources
+from salesmart.sources.sinks import Buckets, open_bucketed
 from salesmart.sources.specs import SOURCES
 
 QUESTION_NAMES = ("q1_top_categories", "q2_growth_extremes", "q3_top_customers", "q4_repeat_vs_one_time",
@@ -30,6 +32,9 @@ LAYERS = {
 }
 TABLE_NAMES = tuple(name for names in LAYERS.values() for name in names)
 BUILD_RECORD = "build_record"
+RECORD_SCHEMA = "build_id string, table_name string, rows long, buckets int"
+BUILD_TABLE = "salesmart_build_"  # catalog names of bucketed tables: this, build id, table
+BUCKET_COLUMNS = ("order_id", staging.PIECE)
 
 
 class Warehouse:
@@ -47,13 +52,14 @@ class Warehouse:
     @classmethod
     def from_written(cls, spark: SparkSession, run_dir: str, params: Params = Params(),
                      layers: tuple[str, ...] = tuple(LAYERS)) -> "Warehouse":
-        """Open the tables of a finished build (B6). A build writes its record
-        last, after every gate; a folder without one, or whose record lacks a
-        table asked for, raises ``FileNotFoundError``."""
-        path = f"{run_dir.rstrip('/')}"
+        """Open the tables of a finished build (B6), or of the current one of a
+        folder of builds. A build writes its record last, after every gate; a
+        folder without one, or whose record lacks a table asked for, raises
+        ``FileNotFoundError``."""
+        path = builds.current(spark, run_dir) or run_dir.rstrip("/")
         try:
-            record = spark.read.schema("build_id string, table_name string, rows long").parquet(f"{path}/{BUILD_RECORD}")
-            rows = {r["table_name"]: r["rows"] for r in record.collect()}  # one row per table
+            record = spark.read.schema(RECORD_SCHEMA).parquet(f"{path}/{BUILD_RECORD}").collect()  # one row per table
+            rows = {r["table_name"]: r["rows"] for r in record}
         except AnalysisException as err:
             if "PATH_NOT_FOUND" not in str(err):
                 raise
@@ -62,7 +68,13 @@ class Warehouse:
         missing = [name for name in wanted if name not in rows]
         if missing:
             raise FileNotFoundError(f"the build under {run_dir} did not write {missing}")
-        return cls({}, params, {name: spark.read.parquet(f"{path}/{name}") for name in wanted}, rows)
+        tables = {name: spark.read.parquet(f"{path}/{name}") for name in wanted}
+        for r in record:
+            if r["buckets"] and r["table_name"] in tables:
+                name = r["table_name"]
+                spec = Buckets(r["buckets"], BUCKET_COLUMNS, f"{BUILD_TABLE}{r['build_id']}_{name}")
+                tables[name] = open_bucketed(spark, f"{path}/{name}", spec, tables[name].schema)
+        return cls({}, params, tables, rows)
 
     # -- layers ---------------------------------------------------------
     def _layer(self, names, build) -> dict[str, DataFrame]:
@@ -118,7 +130,7 @@ class Warehouse:
         """A table as given (written), else its plan; only the layer it
         belongs to is built."""
         if name in self._given:
-            return self._given[name]
+            return self._given[name].drop(staging.PIECE)  # how it is stored is not part of the table
         if name in LAYERS["staging"]:
             return self.stg[name]
         if name in LAYERS["star"]:
@@ -169,20 +181,26 @@ class Warehouse:
             quality.primary_key_report(t("fact_order_items"), ["order_id", "order_item_id"], "fact_order_items"),
         ])
 
+    def integrity(self) -> DataFrame:
+        """The fact's references and the rows that the star join keeps, from
+        one scan of the fact."""
+        t = self.table
+        parents = [("customer_key", "dim_customers", "customer_key"), ("product_key", "dim_products", "product_key"),
+                   ("order_date_key", "dim_dates", "date_key")]
+        names = F.array(*[F.lit(name) for _, name, _ in parents])
+        return (quality.fact_integrity(t("fact_order_items"), [(key, t(name), pk) for key, name, pk in parents], "fact_order_items")
+                .withColumn("parent_table", F.element_at(names, F.col("parent") + 1)).drop("parent"))
+
     def foreign_keys(self, include_staging: bool = True) -> DataFrame:
         """The fact's three references, plus staging items -> staging orders
         when ``include_staging`` (non-empty: items of undelivered orders)."""
-        t, fact = self.table, self.table("fact_order_items")
-        staged = [quality.foreign_key_report(t("stg_order_items"), t("stg_orders"), "order_id", "order_id",
-                                             "stg_order_items", "stg_orders")] if include_staging else []
-        return quality.union_all([
-            quality.foreign_key_report(fact, t("dim_customers"), "customer_key", "customer_key",
-                                       "fact_order_items", "dim_customers"),
-            quality.foreign_key_report(fact, t("dim_products"), "product_key", "product_key",
-                                       "fact_order_items", "dim_products"),
-            quality.foreign_key_report(fact, t("dim_dates"), "order_date_key", "date_key",
-                                       "fact_order_items", "dim_dates"),
-        ] + staged)
+        columns = ["child_table", "parent_table", "key_column", "orphan_rows"]
+        fact = self.integrity().select(*columns)
+        if not include_staging:
+            return fact
+        t = self.table
+        return fact.unionByName(quality.foreign_key_report(t("stg_order_items"), t("stg_orders"), "order_id", "order_id",
+                                                           "stg_order_items", "stg_orders").select(*columns))
 
     def row_accounting(self) -> DataFrame:
         return quality.row_accounting(self.sources, self.stg, self.params.delivered_status)

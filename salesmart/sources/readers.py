@@ -4,6 +4,11 @@ CSV is read with a header and **no inference**: every field arrives as a
 string, null tokens are mapped to null, then the registry's columns are
 selected and cast *by name* (a reader schema would apply by position).
 ANSI casts make a malformed number or timestamp fail the job.
+
+With ``positions``, every row carries its place in the files (``POSITION``):
+file, start of its block, and a number that rises through the block. It tells
+which of two rows comes first in file order, whatever the splits, so "keep the
+first row" means the same as reading the file from its top.
 """
 
 from __future__ import annotations
@@ -24,6 +29,16 @@ NA_TOKENS = (
 )
 
 
+POSITION = "__file_position"
+
+
+def with_positions(raw: DataFrame) -> DataFrame:
+    """``raw``, just read from files, with the place of each row. Rows of a
+    block are read in order by one task, whose ids rise from row to row."""
+    return raw.select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                                    F.monotonically_increasing_id().alias("row")).alias(POSITION))
+
+
 def _null_tokens(name: str):
     c = F.col(f"`{name}`")
     return F.when(c.isin(*NA_TOKENS), F.lit(None)).otherwise(c)
@@ -35,11 +50,12 @@ def type_columns(raw: DataFrame, spec: SourceSpec, keep_extra: bool = True) -> D
     if missing:
         raise ValueError(f"source {spec.name!r} is missing columns {missing}; has {raw.columns}")
     typed = [_null_tokens(c).cast(t).alias(c) for c, t in spec.columns.items()]
-    extra = [_null_tokens(c).alias(c) for c in raw.columns if c not in spec.columns] if keep_extra else []
+    extra = [F.col(c) if c == POSITION else _null_tokens(c).alias(c) for c in raw.columns
+             if c not in spec.columns and (keep_extra or c == POSITION)]
     return raw.select(*typed, *extra)
 
 
-def read_source(spark: SparkSession, spec: SourceSpec, path: str, fmt: str = "csv") -> DataFrame:
+def read_source(spark: SparkSession, spec: SourceSpec, path: str, fmt: str = "csv", positions: bool = False) -> DataFrame:
     """Read one raw source. Lazy: no job runs here.
 
     CSV files are read splittable (``multiLine`` off), so one large file is
@@ -53,8 +69,9 @@ def read_source(spark: SparkSession, spec: SourceSpec, path: str, fmt: str = "cs
             # one's fails instead of being read by position.
             raw = (spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
                    .option("mode", "FAILFAST").option("escape", '"').csv(path))
-            return type_columns(raw, spec)
+            return type_columns(with_positions(raw) if positions else raw, spec)
         raw = spark.read.format(fmt).load(path)
+        raw = with_positions(raw) if positions else raw
         return raw.select(*[F.col(c).cast(t).alias(c) for c, t in spec.columns.items()],
                           *[c for c in raw.columns if c not in spec.columns])
     except AnalysisException as err:
@@ -65,6 +82,7 @@ def read_source(spark: SparkSession, spec: SourceSpec, path: str, fmt: str = "cs
 
 def read_sources(spark: SparkSession, raw_dir: str, fmt: str = "csv",
                  specs: dict[str, SourceSpec] = SOURCES) -> dict[str, DataFrame]:
-    """All registered sources from one folder, by their registry file names."""
-    return {name: read_source(spark, spec, f"{raw_dir.rstrip('/')}/{spec.file_name}", fmt)
+    """All registered sources from one folder, by their registry file names,
+    with the position of every row."""
+    return {name: read_source(spark, spec, f"{raw_dir.rstrip('/')}/{spec.file_name}", fmt, positions=True)
             for name, spec in specs.items()}
