@@ -50,36 +50,39 @@ def _shared_groups(rows: DataFrame, width: int) -> DataFrame:
                   .where("n > 1").drop("n"), f"radix-groups-{width}")
 
 
-def _regrouped(joined: DataFrame, width: int) -> DataFrame:
-    return joined.select(F.col("next_gid").alias("gid"), "doc_id", "cp", "sha",
-                         (F.length("chunk") < width).alias("ended"), "rest")
+def _regrouped(joined: DataFrame, member: list[str], width: int) -> DataFrame:
+    return joined.select(F.col("next_gid").alias("gid"), *member, (F.length("chunk") < width).alias("ended"), "rest")
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """One row per document: doc_id, keep_id (most code points, then smallest
     id, of the equal texts), group_size, kept, text_sha256 (of the normalised
-    text, for the record only) and repeats (rows with this id in this group)."""
+    text, for the record only) and, with ``row_col`` (a key that every row has
+    for itself), that key as ``row``."""
     norm, width = normalised(F.col(text_col)), FIRST_WIDTH
+    carried = ["row"] if row_col else []
+    member = ["doc_id", "cp", "sha", *carried]
     own = [F.lit("").alias("gid"), F.col(id_col).alias("doc_id"), F.length(F.coalesce(F.col(text_col), F.lit(""))).alias("cp")]
+    own += [F.col(row_col).alias("row")] if row_col else []
     heads = stored(docs.select(*own, F.sha2(norm, 256).alias("sha"),
                                F.substring(norm.cast("binary"), 1, width).alias("chunk")), "radix-heads")
     groups = _shared_groups(heads, width)
-    alone = [_with_group(heads, groups, "left_anti").select("doc_id", "cp", "sha")]
+    alone = [_with_group(heads, groups, "left_anti").select(*member)]
     whole = docs.select(*own, norm.cast("binary").alias("bytes")).withColumn("chunk", F.substring("bytes", 1, width))
     joined = _with_group(whole, groups).withColumn("sha", F.sha2("bytes", 256)).withColumn(
         "rest", F.expr(f"substring(bytes, {width + 1})"))
     ended = []
     while True:
-        shared = stored(_regrouped(joined, width), f"radix-{width}")
-        ended.append(shared.where("ended").select("gid", "doc_id", "cp", "sha"))
+        shared = stored(_regrouped(joined, member, width), f"radix-{width}")
+        ended.append(shared.where("ended").select("gid", *member))
         rows = shared.where("not ended")
         if rows.isEmpty():
             break
         width *= GROWTH
-        cut = rows.select("gid", "doc_id", "cp", "sha", F.substring("rest", 1, width).alias("chunk"),
+        cut = rows.select("gid", *member, F.substring("rest", 1, width).alias("chunk"),
                           F.expr(f"substring(rest, {width + 1})").alias("rest"))
         groups = _shared_groups(cut, width)
-        alone.append(stored(_with_group(cut.drop("rest"), groups, "left_anti").select("doc_id", "cp", "sha"), f"radix-alone-{width}"))
+        alone.append(stored(_with_group(cut.drop("rest"), groups, "left_anti").select(*member), f"radix-alone-{width}"))
         joined = _with_group(cut, groups)
 
     def union(parts: list[DataFrame]) -> DataFrame:
@@ -92,26 +95,25 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     best = F.min(F.struct((-F.col("cp")).alias("len"), F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id")))
     groups = members.groupBy("gid").agg(F.count("*").alias("group_size"), best.alias("best"))
     grouped = salted_join(members, groups, ["gid"], ["doc_id", "cp"]).select(
-        "gid", "doc_id", "sha", "cp", "group_size", F.col("best.id").alias("keep_id"),
+        "gid", *member, "group_size", F.col("best.id").alias("keep_id"),
         (F.col("doc_id").eqNullSafe(F.col("best.id")) & (F.col("cp") == -F.col("best.len"))).alias("first"))
     # Rows repeated with the same id: one of them stays.
-    same = Window.partitionBy("gid", "doc_id")
-    firsts = grouped.where("first").withColumn("repeats", F.count("*").over(same)).withColumn(
-        "kept", F.row_number().over(same.orderBy("cp")) == 1)
-    others = grouped.where("not first").withColumn("repeats", F.lit(1).cast("long")).withColumn("kept", F.lit(False))
-    columns = ["doc_id", "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256"), "repeats"]
+    same = Window.partitionBy("gid", "doc_id").orderBy("cp", *carried)
+    firsts = grouped.where("first").withColumn("kept", F.row_number().over(same) == 1)
+    others = grouped.where("not first").withColumn("kept", F.lit(False))
+    columns = ["doc_id", "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256"), *carried]
     lone = union(alone).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
-                               F.lit(True).alias("kept"), "sha", F.lit(1).cast("long").alias("repeats"))
+                               F.lit(True).alias("kept"), "sha", *carried)
     return firsts.select(*columns).unionByName(others.select(*columns)).unionByName(lone.select(*columns))
 
 
+_ROW = "__row"
+
+
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that ``exact_groups`` does not keep."""
-    kept = stored(exact_groups(docs, id_col, text_col).where("kept").select(
-        F.col("doc_id").alias("__kept_id"), F.col("text_sha256").alias("__kept_sha"), F.col("repeats").alias("__repeats")),
-        "exact-kept")
-    match = F.col(id_col).eqNullSafe(F.col("__kept_id")) & (F.sha2(normalised(F.col(text_col)), 256) == F.col("__kept_sha"))
-    out = docs.join(kept, match, "left_semi")
-    if not kept.where("__repeats > 1").isEmpty():  # rows repeated whole, ids included
-        out = out.dropDuplicates([id_col, text_col])
-    return out
+    """``docs`` without the rows that ``exact_groups`` does not keep. Every row
+    is numbered and written once, so what is dropped is that very row, whatever
+    ids and texts are repeated; no digest takes part."""
+    rows = stored(docs.withColumn(_ROW, F.monotonically_increasing_id()), "exact-rows")
+    dropped = exact_groups(rows, id_col, text_col, _ROW).where("not kept").select(F.col("row").alias(_ROW))
+    return rows.join(dropped, _ROW, "left_anti").select(*docs.columns)

@@ -106,3 +106,14 @@ def test_components_of_chains_stars_and_rings(spark, monkeypatch, per_task):
     got = components(spark.createDataFrame(edges, "a long, b long"))
     assert {r.node: r.component for r in got.collect()} == {x: root(x) for x in names}
     assert components(spark.createDataFrame([], "a long, b long")).isEmpty()
+
+
+def test_stage_drops_the_very_rows_that_are_not_kept(spark):
+    """One id with texts that differ in white space only, rows repeated whole,
+    null ids: of equal texts one row stays, whatever else is equal."""
+    from salesmart.llm.exact_dedup import drop_exact_copies
+    rows = [(1, "a b", 1), (1, "a  b", 2), (1, "ab", 3), (2, "c", 4), (2, "c", 4), (2, "c", 4), (None, None, 5), (None, "", 6),
+            (None, " ", 7), (3, "x" * 700, 8), (4, "x" * 700, 9), (4, "x" * 699 + "y", 10), (5, "ab", 11)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, n long").repartition(4)
+    kept = sorted((tuple(r) for r in drop_exact_copies(frame).collect()), key=str)
+    assert kept == sorted([(1, "a  b", 2), (2, "c", 4), (None, " ", 7), (3, "x" * 700, 8), (4, "x" * 699 + "y", 10)], key=str)
