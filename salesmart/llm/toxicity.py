@@ -20,7 +20,8 @@ broadcast, a fixed size.
 
 Defined cases: null or empty text scores as an empty window; a null id is not
 held out and not learned from; null labels are ignored, and of a document
-labelled more than once it is toxic if any label says so; without labelled
+labelled more than once it is toxic if any label says so; of texts that share a
+labelled id the one with the smallest hash is learned from; without labelled
 rows every score is 0; repeated rows score alike; an empty table gives an
 empty result; other columns of the input are not read.
 """
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.llm.words import SLICE_BYTES, mix, row_slices, span_hashes, text_buffer, word_spans
@@ -44,7 +45,7 @@ NGRAMS = (3, 4, 5, 6)
 SAMPLE_TOXIC = 4000
 SAMPLE_CLEAN = 6000
 HELD_OUT_MOD, HELD_OUT_REST = 5, 0
-SHORT_DOC_WORDS = 300
+STEP_WORDS = 1 << 16  # words of a step on whole documents
 DOC_EPOCHS = 6
 WINDOW_EPOCHS = 20
 RATE = 0.5
@@ -132,37 +133,71 @@ class _Adagrad:
         value[rows] -= RATE * grad / np.sqrt(self.seen[i][rows])
 
 
+class _Words:
+    """The words of a sample: one number per occurrence, and the n-gram buckets
+    of each distinct word once. Texts go by in slices and are not kept."""
+
+    def __init__(self):
+        self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # of distinct words, by hash
+        self.words, self.counts, self.buckets, self.grams = [], [], [], []
+
+    def add(self, column: pa.Array) -> None:
+        for _, _, raw, starts, lengths, bounds in _text_slices(column):
+            self.counts.append(np.diff(bounds))
+            if not len(starts):
+                continue
+            distinct, first, word = np.unique(span_hashes(raw, starts, lengths, lower=False), return_index=True, return_inverse=True)
+            place = np.searchsorted(self.hashes, distinct)
+            known = np.zeros(len(distinct), bool)
+            known[place < len(self.hashes)] = self.hashes[place[place < len(self.hashes)]] == distinct[place < len(self.hashes)]
+            number = np.empty(len(distinct), np.int32)
+            number[known] = self.numbers[place[known]]
+            number[~known] = len(self.hashes) + np.arange((~known).sum())
+            bucket, grams = subwords(raw, starts[first[~known]], lengths[first[~known]])
+            self.buckets.append(bucket)
+            self.grams.append(grams)
+            self.hashes = np.insert(self.hashes, place[~known], distinct[~known])
+            self.numbers = np.insert(self.numbers, place[~known], number[~known])
+            self.words.append(number[word])
+
+
+def _joined(parts: list[np.ndarray], kind) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.zeros(0, kind)
+
+
 def train(texts: pa.Array | list[str | None], toxic: np.ndarray) -> tuple[np.ndarray, float]:
     """Fit embeddings and softmax; returns what each bucket adds to the log
     odds of toxic (before averaging) and the bias."""
-    raw, offsets = _lowered(texts if isinstance(texts, (pa.Array, pa.ChunkedArray)) else pa.array(texts, pa.large_string()))
-    starts, lengths, bounds = word_spans(raw, offsets, _GAP)
-    if not len(starts):
+    words = _Words()
+    words.add(texts if isinstance(texts, (pa.Array, pa.ChunkedArray)) else pa.array(texts, pa.large_string()))
+    return _train(words, toxic)
+
+
+def _train(words: _Words, toxic: np.ndarray) -> tuple[np.ndarray, float]:
+    word, words_per_doc = _joined(words.words, np.int32), _joined(words.counts, np.int64)
+    if not len(word):
         return np.zeros(BUCKETS, np.float32), -20.0
-    _, first, word = np.unique(span_hashes(raw, starts, lengths, lower=False), return_index=True, return_inverse=True)
-    word = word.astype(np.int32)
-    bucket, grams = subwords(raw, starts[first], lengths[first])
+    bucket, grams = _joined(words.buckets, np.int32), _joined(words.grams, np.int32)
     at = np.cumsum(grams, dtype=np.int64) - grams
-    words_per_doc = np.diff(bounds)
-    del raw, starts, lengths, first
+    bounds = np.append(0, np.cumsum(words_per_doc))
 
     rng = np.random.default_rng(SEED)
     emb = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
     soft, bias = rng.uniform(-1, 1, (DIM, 2)).astype(np.float32), np.zeros(2, np.float32)
     opt = _Adagrad(emb.shape, soft.shape, bias.shape)
 
-    def fit(spans: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray, weight: np.ndarray) -> None:
-        """One joint step on averages over runs of words (first, count)."""
-        begin, count = spans
+    def fit(begin: np.ndarray, count: np.ndarray, label: np.ndarray, weight: np.ndarray) -> None:
+        """One joint step on averages over runs of words (first, count). Each
+        distinct word of the step is looked up once."""
         run = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-        w = word[run]
-        g = grams[w]
-        idx = bucket[np.repeat(at[w] - (np.cumsum(g) - g), g) + np.arange(int(g.sum()))]
-        per = np.zeros(len(begin))
+        distinct, back = np.unique(word[run], return_inverse=True)
+        g = grams[distinct]
+        idx = bucket[np.repeat(at[distinct] - (np.cumsum(g) - g), g) + np.arange(int(g.sum()))]
+        vector = _sums(emb[idx], g)
         some = count > 0
-        per[some] = _sums(g.astype(float), count[some])
+        per = _sums(g[back].astype(float), count[some])
         x = np.zeros((len(begin), DIM), np.float32)
-        x[some] = _sums(emb[idx], per[some].astype(int)) / per[some, None]
+        x[some] = _sums(vector[back], count[some]) / per[:, None]
         z = x @ soft + bias
         z -= z.max(1, keepdims=True)
         p = np.exp(z)
@@ -170,31 +205,34 @@ def train(texts: pa.Array | list[str | None], toxic: np.ndarray) -> tuple[np.nda
         p[np.arange(len(label)), label] -= 1
         p *= (weight / weight.sum())[:, None]
         dx = p @ soft.T
-        dx[some] /= per[some, None]
-        spread = np.repeat(np.flatnonzero(some), per[some].astype(int))
-        rows, back = np.unique(idx, return_inverse=True)
-        grad = np.stack([np.bincount(back, dx[spread, k], len(rows)) for k in range(DIM)], 1)
+        dx[some] /= per[:, None]
+        owner = np.repeat(np.arange(len(count)), count)
+        rows, of_row = np.unique(idx, return_inverse=True)
+        grad = np.empty((len(rows), DIM))
+        for k in range(DIM):
+            of_word = np.bincount(back, dx[owner, k], len(distinct))
+            grad[:, k] = np.bincount(of_row, np.repeat(of_word, g), len(rows))
         opt.step(0, emb, grad, rows)
         opt.step(1, soft, x.T @ p)
         opt.step(2, bias, p.sum(0))
 
     label = toxic.astype(np.int64)
     weight = np.where(label == 1, 1.0, CLEAN_WEIGHT * max(1, (label == 1).sum()) / max(1, (label == 0).sum()))
-    short = np.flatnonzero((words_per_doc > 0) & (words_per_doc <= SHORT_DOC_WORDS))
-    for _ in range(DOC_EPOCHS if len(short) else 0):
-        order = rng.permutation(short)
-        for part in np.array_split(order, max(1, len(order) // 512)):
-            fit((bounds[:-1][part], words_per_doc[part]), label[part], weight[part])
+    docs = np.flatnonzero(words_per_doc > 0)
+    for _ in range(DOC_EPOCHS):
+        order = rng.permutation(docs)
+        step = np.cumsum(words_per_doc[order]) // STEP_WORDS  # steps of some documents, one at least
+        for part in np.split(order, np.flatnonzero(np.diff(step)) + 1):
+            fit(bounds[:-1][part], words_per_doc[part], label[part], weight[part])
 
     size, per_doc = _windows(words_per_doc)
     begin = np.cumsum(size) - size
-    docs = np.flatnonzero(per_doc > 0)
     first_window = (np.cumsum(per_doc) - per_doc)[docs]
-    doc_of = np.repeat(np.arange(len(docs)), per_doc[docs])
+    doc_of = np.repeat(np.arange(len(docs), dtype=np.int32), per_doc[docs])
     weight_of = _sums(grams[word].astype(np.float32), size)
     for _ in range(WINDOW_EPOCHS):
-        gain = _sums((emb @ (soft[:, 1] - soft[:, 0]))[bucket], grams)[word]
-        score = _sums(gain, size) / weight_of
+        gain = _sums((emb @ (soft[:, 1] - soft[:, 0]))[bucket], grams)
+        score = _sums(gain[word], size) / weight_of
         order = np.lexsort((score, doc_of))
         best = order[np.append(first_window[1:], len(order)) - 1]
         clean = docs[label[docs] == 0]
@@ -205,17 +243,26 @@ def train(texts: pa.Array | list[str | None], toxic: np.ndarray) -> tuple[np.nda
         for part in np.array_split(rng.permutation(len(pick)), max(1, len(pick) // 1024)):
             part_begin = np.append(begin[pick[part]], 0)
             part_size = np.append(size[pick[part]], 0)  # and an empty window, clean
-            fit((part_begin, part_size), np.append(lab[part], 0), np.append(wei[part], 1.0))
+            fit(part_begin, part_size, np.append(lab[part], 0), np.append(wei[part], 1.0))
     return (emb @ (soft[:, 1] - soft[:, 0])).astype(np.float32), float(bias[1] - bias[0])
 
 
+def _text_slices(column: pa.Array) -> Iterator[tuple]:
+    """Rows of a column in slices of bounded size (one text at least): first
+    and end row, lower-cased bytes, and starts, lengths and row bounds of the words."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    _, offsets = text_buffer(column)
+    for i, j in row_slices(_, offsets):
+        raw, off = _lowered(column.slice(i, j - i))
+        starts, lengths, bounds = word_spans(raw, off, _GAP)
+        yield i, j, raw, starts, lengths, bounds
+
+
 def window_scores(column: pa.Array, gain: np.ndarray, bias: float) -> np.ndarray:
     """Highest window probability of each text of a column."""
-    raw_all, off_all = _lowered(column)
     out = np.full(len(column), bias)
-    for i, j in row_slices(raw_all, off_all):
-        raw = raw_all[off_all[i]:off_all[j]]
-        starts, lengths, bounds = word_spans(raw, off_all[i:j + 1] - off_all[i], _GAP)
+    for i, j, raw, starts, lengths, bounds in _text_slices(column):
         if not len(starts):
             continue
         _, first, word = np.unique(span_hashes(raw, starts, lengths, lower=False), return_index=True, return_inverse=True)
@@ -228,11 +275,13 @@ def window_scores(column: pa.Array, gain: np.ndarray, bias: float) -> np.ndarray
 
 
 def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held = list(batches)  # the bounded sample
-    if not sum(map(len, held)):
+    words, toxic = _Words(), []
+    for batch in batches:  # the bounded sample, in order of its ids; texts are let go
+        words.add(batch.column(1))
+        toxic.append(batch.column(2).to_numpy())
+    if not sum(map(len, toxic)):
         return
-    table = pa.Table.from_batches(held).sort_by("doc_id")  # the same model whatever order the shuffle gave
-    gain, bias = train(table["text"], table["toxic"].to_numpy())
+    gain, bias = _train(words, np.concatenate(toxic))
     yield pa.RecordBatch.from_arrays([pa.array([gain.tobytes()], pa.binary()), pa.array([bias])], ["gain", "bias"])
 
 
@@ -246,8 +295,11 @@ def fit_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
               .unionAll(known.where("toxic = 0").orderBy(*by_hash).limit(SAMPLE_CLEAN)))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     # At most SAMPLE_TOXIC + SAMPLE_CLEAN narrow rows: a proven bound.
-    rows = texts.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
-    found = rows.select("doc_id", "text", "toxic").coalesce(1).mapInArrow(_fit_task, "gain binary, bias double").collect()
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
+    rows = (texts.join(F.broadcast(sample), "doc_id").withColumn("rank", F.row_number().over(first)).where("rank = 1")
+            .select("doc_id", "text", "toxic"))
+    # One task, in one order: the same model whatever way the rows were dealt.
+    found = rows.repartition(1).sortWithinPartitions("doc_id").mapInArrow(_fit_task, "gain binary, bias double").collect()
     if not found:
         return None
     return np.frombuffer(found[0]["gain"], np.float32), found[0]["bias"]
