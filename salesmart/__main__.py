@@ -44,6 +44,8 @@ def main(argv: list[str] | None = None) -> int:
     rb = sub.add_parser("rebuild", help="clean, model, aggregate and answer from raw files")
     rb.add_argument("raw_dir")
     rb.add_argument("--format", default="csv", choices=["csv", "parquet"])
+    rb.add_argument("--line-breaks", nargs="*", default=[], metavar="SOURCE",
+                    help="CSV sources whose quoted fields may hold line breaks")
     rb.add_argument("--out", default=None, help="run folder (default: new folder under spark.checkpoint.dir)")
     rb.add_argument("--root", default=None, help="folder of builds: a new one goes there and becomes the current one")
     rb.add_argument("--keep", type=int, default=None, help="with --root: remove builds older than the last KEEP")
@@ -64,7 +66,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "rebuild":
         from salesmart.plans.pipeline import rebuild
         from salesmart.sources import read_sources
-        report = rebuild(spark, read_sources(spark, args.raw_dir, args.format), _params(args), args.out,
+        report = rebuild(spark, read_sources(spark, args.raw_dir, args.format, line_breaks=args.line_breaks), _params(args), args.out,
                          answers=not args.no_answers, root=args.root, keep=args.keep, preview_rows=args.preview)
         print(json.dumps({"out_dir": report.out_dir, "rows": report.rows, "seconds": report.seconds,
                           "profile": report.profile, "duplicates": report.duplicates, "accounting": report.accounting,

@@ -9,15 +9,22 @@ With ``positions``, every row carries its place in the files (``POSITION``):
 file, start of its block, and a number that rises through the block. It tells
 which of two rows comes first in file order, whatever the splits, so "keep the
 first row" means the same as reading the file from its top.
+
+A line break within a quoted field is read with ``line_breaks``
+(``quoted_lines``), which stores the lines first; without it such a record
+fails the job.
 """
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.session import require_ansi
+from salesmart.sources.quoted_lines import read_quoted_lines
 from salesmart.sources.specs import SOURCES, SourceSpec
 
 # The tokens the reference's CSV reader treats as missing
@@ -55,15 +62,20 @@ def type_columns(raw: DataFrame, spec: SourceSpec, keep_extra: bool = True) -> D
     return raw.select(*typed, *extra)
 
 
-def read_source(spark: SparkSession, spec: SourceSpec, path: str, fmt: str = "csv", positions: bool = False) -> DataFrame:
-    """Read one raw source. Lazy: no job runs here.
+def read_source(spark: SparkSession, spec: SourceSpec, path: str, fmt: str = "csv", positions: bool = False,
+                line_breaks: bool = False) -> DataFrame:
+    """Read one raw source. Lazy, but for ``line_breaks``: no job runs here.
 
     CSV files are read splittable (``multiLine`` off), so one large file is
-    spread over many tasks. Raises ``FileNotFoundError`` with the path when
+    spread over many tasks; with ``line_breaks`` too, and quoted fields may then
+    hold line breaks. Raises ``FileNotFoundError`` with the path when
     it does not exist, and refuses a session whose casts would hide bad values.
     """
     require_ansi(spark)
     try:
+        if fmt == "csv" and line_breaks:
+            raw = read_quoted_lines(spark, path)
+            return type_columns(raw.withColumnRenamed("place", POSITION) if positions else raw.drop("place"), spec)
         if fmt == "csv":
             # enforceSchema off: a file whose header differs from the first
             # one's fails instead of being read by position.
@@ -81,8 +93,13 @@ def read_source(spark: SparkSession, spec: SourceSpec, path: str, fmt: str = "cs
 
 
 def read_sources(spark: SparkSession, raw_dir: str, fmt: str = "csv",
-                 specs: dict[str, SourceSpec] = SOURCES) -> dict[str, DataFrame]:
+                 specs: dict[str, SourceSpec] = SOURCES, line_breaks: Collection[str] = ()) -> dict[str, DataFrame]:
     """All registered sources from one folder, by their registry file names,
-    with the position of every row."""
-    return {name: read_source(spark, spec, f"{raw_dir.rstrip('/')}/{spec.file_name}", fmt, positions=True)
+    with the position of every row; those named in ``line_breaks`` may hold
+    line breaks in quoted fields."""
+    unknown = set(line_breaks) - set(specs)
+    if unknown:
+        raise ValueError(f"no such source: {sorted(unknown)}")
+    return {name: read_source(spark, spec, f"{raw_dir.rstrip('/')}/{spec.file_name}", fmt, positions=True,
+                              line_breaks=name in line_breaks)
             for name, spec in specs.items()}
