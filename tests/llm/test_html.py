@@ -133,3 +133,81 @@ def test_pages_of_the_test_data(spark):
 
 def test_empty_table(spark):
     assert extract_text(spark.createDataFrame([], "page_id long, url string, html string")).isEmpty()
+
+
+def test_classes_are_those_of_explicit_vectors(spark):
+    """The classes by brute force: every token's counts on every page, compared."""
+    rows = _pages() + [(300 + k, f"http://two.org/{k}", "<div>Top of two</div>" + "<p>a b</p>" * (k % 3) + f"<ul><li>x<li>{k}</ul><i>End</i>")
+                       for k in range(30)]
+    vectors: dict[tuple, dict] = {}
+    for _, url, html in rows:
+        host = (url or "").removeprefix("http://").partition("/")[0]
+        for _, token in Page(html or "").template_tokens():
+            seen = vectors.setdefault((host, token), {})
+            seen[html] = seen.get(html, 0) + 1
+    classes: dict[tuple, set] = {}
+    for (host, token), seen in vectors.items():
+        if len(seen) >= 5:
+            classes.setdefault((host, frozenset(seen.items())), set()).add(token)
+    pages = {host: len({html or "" for _, url, html in rows if (url or "").startswith(f"http://{host}/")}) for host in ("h.org", "two.org")}
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got: dict[tuple, set] = {}
+    for r in host_templates(frame).collect():
+        got.setdefault((r.host, r.vector), set()).add(r.token & (1 << 64) - 1)
+        assert r.common == (r.pages >= pages[r.host] / 2)
+    alone = [next(iter(tokens)) for tokens in classes.values() if len(tokens) == 1]
+    several = {(host, frozenset(tokens)) for (host, _), tokens in classes.items() if len(tokens) > 1}
+    assert several == {(host, frozenset(tokens)) for (host, _), tokens in got.items() if len(tokens) > 1} and len(several) > 3
+    assert all(tokens <= set(alone) for tokens in got.values() if len(tokens) == 1)
+
+
+def _unmarked(source):
+    """The page with nothing that names its article or its other parts."""
+    import re
+    source = re.sub(r"(</?)(article|nav|footer|header|aside)\b", r"\1div", source or "")
+    return re.sub(r"\s(class|id|role)=(\"[^\"]*\"|'[^']*')", "", source)
+
+
+def test_unmarked_articles_are_found_by_the_template(spark):
+    import html
+    import re
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url", "html")
+    stripped = spark.createDataFrame([(r.page_id, r.url, _unmarked(r.html)) for r in pages.collect()], pages.schema)
+    got = {r.page_id: r.text for r in extract_text(stripped).collect()}
+    kept = same = 0
+    for r in pages.collect():
+        inner = re.sub(r"</?b>", "", re.search(r"<article>(.*?)</article>", r.html, re.S)[1])
+        text = " ".join(html.unescape(re.sub(r"<[^>]*>", " ", inner)).split())
+        kept, same = kept + (text in got[r.page_id]), same + (text == got[r.page_id])
+    print("unmarked", len(got), kept, same)
+    assert kept >= 0.95 * len(got) and same >= 0.8 * len(got)
+
+
+def test_a_layout_without_the_hosts_slot_keeps_its_text(spark):
+    rows = [(k, f"http://h.org/{k}", f"<body><div>Ad {k * 7}</div><div><h1>Head {k}</h1><p>{'long story of ' * 5}{k}</p></div></body>") for k in range(20)]
+    rows += [(100, "http://h.org/x", "<body><ul><li>Only a list</ul></body>"), (101, "http://h.org/y", "<body><div>Ad</div><div></div><p>Below</p></body>")]
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[k] == f"Head {k} " + "long story of " * 5 + str(k) for k in range(20))
+    assert got[100] == "Only a list" and got[101] == "Ad Below"
+
+
+BAD = ['<a href="', "<div>", "<article>", "<", "<a ", '<b ">"', "<p><div>", "<div class=ad>x", "<header>x", "<ul><li>",
+       "<div class=comment><article>", "<a '>' ' "]
+
+
+@pytest.mark.parametrize("piece", BAD)
+def test_broken_pages_take_time_by_their_length(piece):
+    import time
+    start = time.perf_counter()
+    page = Page(piece * (1_000_000 // len(piece)))
+    page.text({})
+    page.slots()
+    assert sum(1 for _ in page.template_tokens()) <= len(page.tokens)
+    assert time.perf_counter() - start < 20  # 1.8 s at most measured; by the square it were hours
+
+
+@pytest.mark.parametrize("source,text", [
+    ("a <b", "a <b"), ('<p title="x>y">a</p><p title="z>b</p>', 'a b'), ("<p>a<b c='>d</p>e", "ad e"), ("1 < 2 > 0 </ p>", "1 < 2 > 0 </ p>"),
+    ("a<!-- <p>b", "a"), ("<![CDATA[<p>]]>c", "<p>c"), ("<?php x ?>y<!x>z", "yz")])
+def test_tags_without_an_end(source, text):
+    assert Page(source).text({}) == text
