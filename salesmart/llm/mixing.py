@@ -45,6 +45,7 @@ BUDGET = 1.5
 CAP = 2.0
 TOLERANCE = 1e-6
 MAX_ITERATIONS = 60
+HALVINGS = 200
 BUCKETS = 64
 SETTLE_STEPS = 50
 
@@ -87,12 +88,14 @@ def _rate(size, lam, mean):
 
 
 def solve(cells: DataFrame, targets: DataFrame) -> DataFrame:
-    """The dual variable of each source below its cap: (key, lam, mean)."""
+    """The dual variable of each source below its cap: (key, lam, mean). After
+    ``MAX_ITERATIONS`` Newton steps the bracket is halved until a source is
+    settled or its bracket holds no other double; else it raises."""
     state = stored(targets.where(f"source_size > 0 and target < source_size * {CAP} * (1 - 1e-12)").select(
         "key", "target", (F.col("source_size") / F.col("documents")).alias("mean"), F.lit(0.0).alias("lam"),
         F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"),
         F.lit(None).cast("double").alias("miss")), "mix-state")
-    for _ in range(MAX_ITERATIONS):
+    for step in range(MAX_ITERATIONS + HALVINGS):
         rate = _rate(F.col("size"), F.col("lam"), F.col("mean"))
         words = F.col("n") * F.col("size")
         sums = (cells.join(state.select("key", "lam", "mean"), "key").groupBy("key")
@@ -104,7 +107,7 @@ def solve(cells: DataFrame, targets: DataFrame) -> DataFrame:
         newton = F.coalesce(F.greatest(-most, F.least(most, -gap / F.nullif(F.col("slope"), F.lit(0.0)))),
                             F.when(gap < 0, most).otherwise(-most)) + F.col("lam")
         outside = F.col("new_lo").isNotNull() & F.col("new_hi").isNotNull() & (
-            (F.col("newton") <= F.col("new_lo")) | (F.col("newton") >= F.col("new_hi")))
+            (F.col("newton") <= F.col("new_lo")) | (F.col("newton") >= F.col("new_hi")) | F.lit(step >= MAX_ITERATIONS))
         state = stored(
             state.join(sums, "key").withColumn("new_lo", lo).withColumn("new_hi", hi).withColumn("newton", newton)
             .withColumn("now", F.abs(gap) / F.greatest(F.col("target"), F.lit(1.0)))
@@ -112,9 +115,12 @@ def solve(cells: DataFrame, targets: DataFrame) -> DataFrame:
                     F.when(F.col("now") <= TOLERANCE, F.col("lam"))
                     .when(outside, (F.col("new_lo") + F.col("new_hi")) / 2).otherwise(F.col("newton")).alias("lam"),
                     F.col("new_lo").alias("lo"), F.col("new_hi").alias("hi"), F.col("now").alias("miss")), "mix-state")
-        if state.where(F.col("miss") > TOLERANCE).isEmpty():
-            break
-    return state.select("key", "lam", "mean")
+        unsettled = state.where(F.col("miss") > TOLERANCE).where(
+            "lo is null or hi is null or ((lo + hi) / 2 > lo and (lo + hi) / 2 < hi)")
+        if unsettled.isEmpty():
+            return state.select("key", "lam", "mean")
+    keys = [r["key"] for r in unsettled.select("key").orderBy("key").limit(10).collect()]
+    raise RuntimeError(f"no tilt found for the sources numbered {keys}")
 
 
 def _settle(n: np.ndarray, size: np.ndarray, copies: np.ndarray, owed: float) -> None:

@@ -1,5 +1,7 @@
 from collections import defaultdict
 
+import pytest
+
 from salesmart.llm.mixing import mix_documents, mixed
 from tests.llm import brute
 
@@ -57,3 +59,13 @@ def test_hot_cells_copies_and_clashing_names(spark, documents, no_documents):
     for r in mix.select("doc_id", "_copy").collect():
         found[r.doc_id].append(r._copy)
     assert {i: sorted(v) for i, v in found.items()} == {i: list(range(1, c + 1)) for i, c in copies.items() if c}
+
+
+def test_sources_that_newton_leaves_are_halved_or_raise(spark, documents, monkeypatch):
+    import salesmart.llm.mixing as module
+    expected = {r.doc_id: r.taken for r in mixed(documents[0]).collect()}
+    monkeypatch.setattr(module, "MAX_ITERATIONS", 0)
+    assert {r.doc_id: r.taken for r in mixed(documents[0]).collect()} == expected
+    monkeypatch.setattr(module, "HALVINGS", 2)
+    with pytest.raises(RuntimeError, match="no tilt"):
+        mixed(documents[0]).collect()
