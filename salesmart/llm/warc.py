@@ -9,9 +9,9 @@ end ``\\r\\n\\r\\n`` is the line separator.
 
 ``read_records`` parses archives (plain or gzip) by Content-Length, a record
 at a time, so a payload may hold anything. ``assemble`` joins the records of
-each transaction through their concurrent-to identifiers, in whichever
-direction they are given and over one intermediate record (metadata to request
-to response), and emits one nested row per capture.
+each transaction through all their concurrent-to identifiers, in whichever
+direction they are given and over any number of records in between (metadata to
+request to response), and emits one nested row per capture.
 
 Of payloads with equal bytes, ``REVISIT_BYTES`` at least, the smallest page_id
 keeps the response. The payloads are only shuffled when the table of repeated
@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm.shared import salted_join
+from salesmart.llm.shared import salted_join, stored
 
 REVISIT_BYTES = 100
 PAGES_PER_FILE = 1000
@@ -44,6 +44,7 @@ CRAWLED = "2024-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 END = "\r\n"
 FLUSH_BYTES = 1 << 22
+ANCHOR = "type in ('response', 'revisit', 'resource', 'conversion')"
 
 
 def _record_id(kind: str, capture: Column) -> Column:
@@ -181,22 +182,52 @@ def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataF
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, RECORD)
 
 
+def _spread(seeds: DataFrame, edges: DataFrame) -> DataFrame:
+    """(record_id, key) of all records that edges (record_id, to) lead to a
+    seed, over as few as possible: a round settles those one edge further on,
+    the smallest key counts."""
+    settled = reached = stored(seeds, "warc-keys")
+    while True:
+        step = salted_join(edges, reached.withColumnRenamed("record_id", "to"), ["to"], ["record_id"])
+        reached = stored(step.groupBy("record_id").agg(F.min("key").alias("key")).join(settled, "record_id", "left_anti"), "warc-keys")
+        if reached.isEmpty():
+            return settled
+        settled = settled.unionByName(reached)
+
+
+def capture_keys(records: DataFrame) -> DataFrame:
+    """(record_id, key): the capture of every record. From the responses on,
+    concurrent-to is followed in both directions until nothing new is reached;
+    then from ids that no record has and from records that name none. Records
+    that only name one another in a circle have no row."""
+    links = stored(records.where("record_id is not null").select(
+        "record_id", F.expr(f"coalesce({ANCHOR}, false)").alias("anchor"), "concurrent_to"), "warc-links")
+    named = links.select("record_id", F.explode("concurrent_to").alias("to")).where("record_id <> to")
+    edges = stored(named.unionByName(named.select(F.col("to").alias("record_id"), F.col("record_id").alias("to"))).distinct(), "warc-edges")
+    settled = _spread(links.where("anchor").select("record_id", F.col("record_id").alias("key")).distinct(), edges)
+    rest = links.join(settled, "record_id", "left_anti")
+    if rest.isEmpty():
+        return settled
+    rest = stored(rest, "warc-rest")
+    between = edges.join(rest.select("record_id").distinct(), "record_id", "left_semi")
+    gone = between.select(F.col("to").alias("record_id")).distinct().join(links, "record_id", "left_anti")
+    silent = rest.where(F.coalesce(F.size("concurrent_to"), F.lit(0)) <= 0).select("record_id")
+    seeds = gone.unionByName(silent).distinct().withColumn("key", F.col("record_id"))
+    return settled.unionByName(_spread(seeds, between))
+
+
 def assemble(records: DataFrame) -> DataFrame:
     """One row per capture: capture_id, target_uri, response (or revisit),
-    requests, metadata, copies (how often the response record was found)."""
-    anchor = F.col("type").isin("response", "revisit", "resource", "conversion")
-    named = F.get("concurrent_to", F.lit(0))
-    keyed = records.withColumn("anchor", F.coalesce(anchor, F.lit(False))).withColumn(
-        "key", F.when(F.col("anchor"), F.col("record_id")).otherwise(F.coalesce(named, "record_id")))
-    # Where a record leads that is not a response itself, or that a response names.
-    leads = (keyed.where("not anchor").select(F.col("record_id").alias("via"), F.col("key").alias("next"))
-             .unionAll(keyed.where("anchor").select(F.explode("concurrent_to").alias("via"), F.col("record_id").alias("next")))
-             .where("via <> next").groupBy("via").agg(F.min("next").alias("next")))
-    led = keyed.join(leads, keyed["key"] == leads["via"], "left").withColumn(
-        "key", F.when(F.col("anchor"), F.col("key")).otherwise(F.coalesce("next", "key")))
+    requests, metadata, copies (how often the response record was found). Of a
+    record without an id the first name counts. Read the records from a stored
+    table: they are read several times."""
+    anchors = records.where(ANCHOR).withColumn("anchor", F.lit(True)).withColumn("key", F.col("record_id"))
+    others = (records.where(f"not coalesce({ANCHOR}, false)").withColumn("anchor", F.lit(False))
+              .join(capture_keys(records), "record_id", "left")
+              .withColumn("key", F.coalesce("key", F.get("concurrent_to", F.lit(0)), "record_id")))
     whole = F.struct("record_id", "type", "refers_to", "payload_digest", "payload_bytes", "payload")
     other = F.struct("record_id", "target_uri", "fields")
-    return led.groupBy("key").agg(
+    return anchors.unionByName(others).groupBy("key").agg(
         F.max("target_uri").alias("target_uri"), F.max(F.when(F.col("anchor"), whole)).alias("response"),
         F.array_sort(F.collect_set(F.when(F.col("type") == "request", other))).alias("requests"),
         F.array_sort(F.collect_set(F.when(F.col("type") == "metadata", other))).alias("metadata"),

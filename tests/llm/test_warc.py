@@ -54,7 +54,14 @@ def test_assembly_in_every_direction(spark):
     rows = [("<a>", "response", "u", [], None), ("<a-req>", "request", "u", ["<a>"], None),
             ("<a-meta>", "metadata", "u", ["<a-req>"], None),              # over the request
             ("<b-req>", "request", "v", [], None), ("<b>", "response", "v", ["<b-req>"], None),  # named by the response
-            ("<lone>", "request", "w", ["<gone>"], None)]
+            ("<lone>", "request", "w", ["<gone>"], None),
+            ("<m1>", "metadata", "x", [], None), ("<q1>", "request", "x", ["<m1>", "<r1>"], None),  # the response comes second
+            ("<r1>", "response", "x", [], None),
+            ("<c4>", "metadata", "y", ["<c3>"], None), ("<c3>", "metadata", "y", ["<c2>"], None),    # over three records
+            ("<c2>", "request", "y", ["<c1>"], None), ("<c1>", "metadata", "y", ["<c0>"], None), ("<c0>", "revisit", "y", [], None),
+            ("<n1>", "metadata", "z", ["<n0>", "<n1>"], None), ("<n0>", "request", "z", None, None),  # no response at all
+            ("<o1>", "metadata", "z", ["<o2>"], None), ("<o2>", "request", "z", ["<o1>"], None),     # a circle
+            (None, "metadata", "x", ["<r1>"], None)]
     schema = ("record_id string, type string, target_uri string, concurrent_to array<string>, refers_to string")
     frame = spark.createDataFrame(rows, schema).selectExpr(
         "*", "'d' AS payload_digest", "3L AS payload_bytes", "CAST(NULL AS binary) AS payload",
@@ -63,7 +70,11 @@ def test_assembly_in_every_direction(spark):
     assert [x.record_id for x in got["<a>"].requests] == ["<a-req>"] and [x.record_id for x in got["<a>"].metadata] == ["<a-meta>"]
     assert [x.record_id for x in got["<b>"].requests] == ["<b-req>"] and got["<b>"].response.record_id == "<b>"
     assert got["<gone>"].response is None and [x.record_id for x in got["<gone>"].requests] == ["<lone>"]
-    assert len(got) == 3
+    assert [x.record_id for x in got["<r1>"].requests] == ["<q1>"] and [x.record_id for x in got["<r1>"].metadata] == [None, "<m1>"]
+    assert [x.record_id for x in got["<c0>"].requests] == ["<c2>"] and got["<c0>"].response.type == "revisit"
+    assert [x.record_id for x in got["<c0>"].metadata] == ["<c1>", "<c3>", "<c4>"]
+    assert got["<n0>"].response is None and got["<n0>"].requests and [x.record_id for x in got["<n0>"].metadata] == ["<n1>"]
+    assert {"<o1>", "<o2>"} <= set(got) and len(got) == 8
 
 
 def test_parser_reads_plain_and_member_gzip_and_rejects_cut_files():
