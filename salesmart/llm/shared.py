@@ -19,10 +19,10 @@ LINKS_PER_TASK = 1 << 20
 SALTS = 16  # pieces into which the rows of one join key are dealt
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back."""
     path = new_run_dir(df.sparkSession, f"llm/{label}")
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

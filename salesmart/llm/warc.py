@@ -30,6 +30,7 @@ import gzip
 import hashlib
 import io
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -183,37 +184,53 @@ def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataF
 
 
 def _spread(seeds: DataFrame, edges: DataFrame) -> DataFrame:
-    """(record_id, key) of all records that edges (record_id, to) lead to a
+    """(record_id, key) of the records that edges (record_id, to) lead from to a
     seed, over as few as possible: a round settles those one edge further on,
     the smallest key counts."""
-    settled = reached = stored(seeds, "warc-keys")
+    settled, reached = [], seeds
     while True:
-        step = salted_join(edges, reached.withColumnRenamed("record_id", "to"), ["to"], ["record_id"])
-        reached = stored(step.groupBy("record_id").agg(F.min("key").alias("key")).join(settled, "record_id", "left_anti"), "warc-keys")
+        step = (salted_join(edges, reached.withColumnRenamed("record_id", "to"), ["to"], ["record_id"])
+                .groupBy("record_id").agg(F.min("key").alias("key")))
+        for before in settled:
+            step = step.join(before, "record_id", "left_anti")
+        reached = stored(step, "warc-keys")
+        settled.append(reached)
         if reached.isEmpty():
-            return settled
-        settled = settled.unionByName(reached)
+            return reduce(DataFrame.unionByName, settled)
 
 
 def capture_keys(records: DataFrame) -> DataFrame:
-    """(record_id, key): the capture of every record. From the responses on,
-    concurrent-to is followed in both directions until nothing new is reached;
-    then from ids that no record has and from records that name none. Records
-    that only name one another in a circle have no row."""
+    """(record_id, key): the capture of every record but responses. A record
+    that names responses belongs to the first of them, else to one that names
+    it. From these on, concurrent-to is followed in both directions until
+    nothing new is reached; then from ids that no record has and from records
+    that name none. Records that only name one another in a circle have no row."""
     links = stored(records.where("record_id is not null").select(
         "record_id", F.expr(f"coalesce({ANCHOR}, false)").alias("anchor"), "concurrent_to"), "warc-links")
-    named = links.select("record_id", F.explode("concurrent_to").alias("to")).where("record_id <> to")
-    edges = stored(named.unionByName(named.select(F.col("to").alias("record_id"), F.col("record_id").alias("to"))).distinct(), "warc-edges")
-    settled = _spread(links.where("anchor").select("record_id", F.col("record_id").alias("key")).distinct(), edges)
-    rest = links.join(settled, "record_id", "left_anti")
+    named = links.select("record_id", "anchor", F.posexplode("concurrent_to").alias("place", "to")).where("record_id <> to")
+    back = named.select(F.col("to").alias("record_id"), F.col("record_id").alias("to"), "anchor")
+    others = links.where("not anchor").select("record_id")
+    # A name that very many records share is split by the skew join.
+    direct = (named.where("not anchor").select("record_id", "place", "to")
+              .join(links.where("anchor").select(F.col("record_id").alias("to")).distinct(), "to")
+              .unionByName(back.where("anchor").select("record_id", F.lit(1 << 30).alias("place"), "to")))
+    first = stored(direct.groupBy("record_id").agg(F.min(F.struct("place", "to")).alias("best"))
+                   .select("record_id", F.col("best.to").alias("key")), "warc-keys")
+    rest = stored(others.join(first, "record_id", "left_anti").distinct(), "warc-rest")
     if rest.isEmpty():
-        return settled
-    rest = stored(rest, "warc-rest")
-    between = edges.join(rest.select("record_id").distinct(), "record_id", "left_semi")
+        return first
+    edges = stored(named.select("record_id", "to").unionByName(back.select("record_id", "to"))
+                   .join(rest, "record_id", "left_semi").distinct(), "warc-edges")
+    near = _spread(first, edges)
+    left = stored(rest.join(near, "record_id", "left_anti"), "warc-rest")
+    if left.isEmpty():
+        return first.unionByName(near)
+    between = edges.join(left, "record_id", "left_semi")
     gone = between.select(F.col("to").alias("record_id")).distinct().join(links, "record_id", "left_anti")
-    silent = rest.where(F.coalesce(F.size("concurrent_to"), F.lit(0)) <= 0).select("record_id")
-    seeds = gone.unionByName(silent).distinct().withColumn("key", F.col("record_id"))
-    return settled.unionByName(_spread(seeds, between))
+    silent = left.join(named, "record_id", "left_anti")
+    seeds = stored(gone.unionByName(silent).select("record_id", F.col("record_id").alias("key")), "warc-keys")
+    far = _spread(seeds, between.join(silent, "record_id", "left_anti"))
+    return reduce(DataFrame.unionByName, [first, near, seeds, far])
 
 
 def assemble(records: DataFrame) -> DataFrame:
@@ -222,9 +239,12 @@ def assemble(records: DataFrame) -> DataFrame:
     record without an id the first name counts. Read the records from a stored
     table: they are read several times."""
     anchors = records.where(ANCHOR).withColumn("anchor", F.lit(True)).withColumn("key", F.col("record_id"))
-    others = (records.where(f"not coalesce({ANCHOR}, false)").withColumn("anchor", F.lit(False))
-              .join(capture_keys(records), "record_id", "left")
-              .withColumn("key", F.coalesce("key", F.get("concurrent_to", F.lit(0)), "record_id")))
+    others = records.where(f"not coalesce({ANCHOR}, false)").withColumn("anchor", F.lit(False))
+    name = F.coalesce(F.get("concurrent_to", F.lit(0)), "record_id")
+    # Most keys are the first name: only the other ones are joined.
+    firsts = others.select("record_id", name.alias("key")).where("record_id is not null")
+    moved = stored(capture_keys(records).join(firsts, ["record_id", "key"], "left_anti"), "warc-moved")
+    others = others.join(moved, "record_id", "left").withColumn("key", F.coalesce("key", name))
     whole = F.struct("record_id", "type", "refers_to", "payload_digest", "payload_bytes", "payload")
     other = F.struct("record_id", "target_uri", "fields")
     return anchors.unionByName(others).groupBy("key").agg(
