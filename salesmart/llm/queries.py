@@ -41,7 +41,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_run_dir(spark, "llm/warc")
     write_archives(read_table(spark, sf_dir, "pages"), path)
-    captures = stored(assemble(stored(read_records(spark, path), "warc-records", "zstd")), "warc-captures", "zstd")
+    captures = assemble(read_records(spark, path))
+    captures = stored(captures.withColumn("response", F.col("response").dropFields("payload")), "warc-captures")
     return page_captures(captures).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -199,14 +199,12 @@ def _spread(seeds: DataFrame, edges: DataFrame) -> DataFrame:
             return reduce(DataFrame.unionByName, settled)
 
 
-def capture_keys(records: DataFrame) -> DataFrame:
-    """(record_id, key): the capture of every record but responses. A record
+def capture_keys(links: DataFrame) -> DataFrame:
+    """From stored links (record_id, anchor, concurrent_to): (record_id, key), the capture of every record but responses. A record
     that names responses belongs to the first of them, else to one that names
     it. From these on, concurrent-to is followed in both directions until
     nothing new is reached; then from ids that no record has and from records
     that name none. Records that only name one another in a circle have no row."""
-    links = stored(records.where("record_id is not null").select(
-        "record_id", F.expr(f"coalesce({ANCHOR}, false)").alias("anchor"), "concurrent_to"), "warc-links")
     named = links.select("record_id", "anchor", F.posexplode("concurrent_to").alias("place", "to")).where("record_id <> to")
     back = named.select(F.col("to").alias("record_id"), F.col("record_id").alias("to"), "anchor")
     others = links.where("not anchor").select("record_id")
@@ -236,18 +234,19 @@ def capture_keys(records: DataFrame) -> DataFrame:
 def assemble(records: DataFrame) -> DataFrame:
     """One row per capture: capture_id, target_uri, response (or revisit),
     requests, metadata, copies (how often the response record was found). Of a
-    record without an id the first name counts. Read the records from a stored
-    table: they are read several times."""
-    anchors = records.where(ANCHOR).withColumn("anchor", F.lit(True)).withColumn("key", F.col("record_id"))
-    others = records.where(f"not coalesce({ANCHOR}, false)").withColumn("anchor", F.lit(False))
-    name = F.coalesce(F.get("concurrent_to", F.lit(0)), "record_id")
+    record without an id the first name counts."""
+    keyed = records.withColumn("anchor", F.expr(f"coalesce({ANCHOR}, false)")).withColumn("key", F.coalesce(
+        F.when(~F.col("anchor"), F.get("concurrent_to", F.lit(0))), "record_id"))
     # Most keys are the first name: only the other ones are joined.
-    firsts = others.select("record_id", name.alias("key")).where("record_id is not null")
-    moved = stored(capture_keys(records).join(firsts, ["record_id", "key"], "left_anti"), "warc-moved")
-    others = others.join(moved, "record_id", "left").withColumn("key", F.coalesce("key", name))
+    links = stored(keyed.where("record_id is not null").select("record_id", "anchor", "concurrent_to"), "warc-links")
+    firsts = links.where("not anchor").select("record_id", F.coalesce(F.get("concurrent_to", F.lit(0)), "record_id").alias("key"))
+    moved = stored(capture_keys(links).join(firsts, ["record_id", "key"], "left_anti")
+                   .select(F.col("record_id").alias("moved_id"), F.col("key").alias("moved_key")), "warc-moved")
+    led = keyed.join(moved, ~keyed["anchor"] & (keyed["record_id"] == moved["moved_id"]), "left").withColumn(
+        "key", F.coalesce("moved_key", "key"))
     whole = F.struct("record_id", "type", "refers_to", "payload_digest", "payload_bytes", "payload")
     other = F.struct("record_id", "target_uri", "fields")
-    return anchors.unionByName(others).groupBy("key").agg(
+    return led.groupBy("key").agg(
         F.max("target_uri").alias("target_uri"), F.max(F.when(F.col("anchor"), whole)).alias("response"),
         F.array_sort(F.collect_set(F.when(F.col("type") == "request", other))).alias("requests"),
         F.array_sort(F.collect_set(F.when(F.col("type") == "metadata", other))).alias("metadata"),
