@@ -106,13 +106,13 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return span_hashes(raw, starts, lengths), bounds
 
 
-def shingle_hashes(words: np.ndarray) -> np.ndarray:
-    """Hash of every five-word shingle of one text, in order, repeats kept;
-    fewer than five words give one shingle, no word none."""
+def shingle_hashes(words: np.ndarray, size: int = SHINGLE_WORDS) -> np.ndarray:
+    """Hash of every shingle of ``size`` words (five at most) of one text, in
+    order, repeats kept; fewer words give one shingle, no word none."""
     n = len(words)
     if not n:
         return words
-    k = min(n, SHINGLE_WORDS)
+    k = min(n, size)
     total = np.full(n - k + 1, np.uint64(k), np.uint64)
     for j in range(k):
         total += words[j : n - k + 1 + j] * _ORDER[j]
@@ -128,11 +128,17 @@ def row_slices(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]
         i = min(j, n)
 
 
-def texts_shingles(column: pa.Array) -> Iterator[np.ndarray]:
-    """Shingle hashes (in order, repeats kept) of each text of a column."""
+def texts_words(column: pa.Array) -> Iterator[np.ndarray]:
+    """Word hashes, in order, of each text of a column."""
     raw, offsets = text_buffer(column)
     for i, j in row_slices(raw, offsets):
         off = offsets[i : j + 1] - offsets[i]
         words, bounds = word_hashes(raw[offsets[i] : offsets[j]], off)
         for a, b in zip(bounds[:-1], bounds[1:]):
-            yield shingle_hashes(words[a:b])
+            yield words[a:b]
+
+
+def texts_shingles(column: pa.Array) -> Iterator[np.ndarray]:
+    """Shingle hashes (in order, repeats kept) of each text of a column."""
+    for words in texts_words(column):
+        yield shingle_hashes(words)

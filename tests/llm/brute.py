@@ -17,11 +17,11 @@ def lower(text: str) -> str:
     return re.sub("[A-Z]", lambda m: m[0].lower(), text)
 
 
-def shingles(text: str | None) -> list[tuple[str, ...]]:
+def shingles(text: str | None, size: int = 5) -> list[tuple[str, ...]]:
     w = [lower(x) for x in words(text)]
     if not w:
         return []
-    k = min(5, len(w))
+    k = min(size, len(w))
     return [tuple(w[i:i + k]) for i in range(len(w) - k + 1)]
 
 
@@ -55,11 +55,12 @@ def keepers(rows: list[tuple[int, str | None]]) -> dict[int, int]:
 
 def contained(docs: list[tuple[int, str | None]], items: list[tuple[int, str]]) -> set[tuple[int, int]]:
     """(doc_id, item_id) where some window of the item's size has weighted
-    Jaccard 0.8 or more with it."""
+    Jaccard 0.8 or more with it; an item of fewer than five words is one
+    shingle of its own words."""
     out = set()
     for i, text in docs:
-        s = shingles(text)
         for k, item in items:
+            s = shingles(text, min(5, len(words(item)) or 5))
             bag = Counter(shingles(item))
             n = min(sum(bag.values()), len(s))
             if not n or not bag or not set(s) & set(bag):

@@ -51,11 +51,11 @@ def test_blocks_of_items_find_the_same(spark, monkeypatch):
 def test_index_finds_every_fingerprint_within_the_radius():
     rng = np.random.default_rng(1)
     bags = [rng.integers(0, 1 << 63, 40, dtype=np.uint64) for _ in range(60)]
-    index = ItemIndex(list(range(60)), bags)
+    index = ItemIndex(list(range(60)), bags, [5] * 60)
     prints = []
     for k in range(60):  # fingerprints at known distances from an item
         bits = np.unpackbits(index.prints[k].view(np.uint8))
-        flip = rng.choice(128, k % 45, replace=False)
+        flip = rng.choice(128, k % 55, replace=False)
         bits[flip] ^= 1
         prints.append(np.packbits(bits).view(np.uint16))
     prints = np.stack(prints)
@@ -80,3 +80,52 @@ def test_empty_tables(spark, no_documents):
     assert contaminated(no_documents, some).isEmpty()
     assert sorted((r.doc_id, r.item_id) for r in contaminated(docs, some).collect() if r.doc_id) == [(1, 1)]
     assert drop_contaminated(docs, some).isEmpty()
+
+
+def test_items_of_one_to_four_words_are_found_inside_documents(spark):
+    rng = random.Random(9)
+    items = [(1, "quark"), (2, "Quark soup"), (3, "red quark soup"), (4, "a red quark soup"), (5, "a red quark soup now")]
+    docs = [(k, f"{prose(rng, 30)} {item} {prose(rng, 10)}") for k, item in items]
+    docs += [(10, "soup quark"), (11, "quark"), (12, "a red\nquark  soup"), (13, prose(rng, 50)), (14, None)]
+    got = {(r.doc_id, r.item_id): r for r in contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = set()
+    for i, text in docs:
+        have = (text or "").lower().split()
+        for j, item in items:
+            w = item.lower().split()
+            if any(have[k:k + len(w)] == w for k in range(len(have) - len(w) + 1)):
+                want.add((i, j))
+    assert set(got) == want and (12, 4) in want
+    assert got[3, 3].start_word == 30 and got[3, 3].similarity == 1
+
+
+def test_ten_thousand_items_take_one_pass(spark):
+    rng = random.Random(10)
+    items = [(k, prose(rng, 8 + k % 30, "b", 100_000)) for k in range(10_000)]
+    docs = [(k, f"{prose(rng, 20)} {items[k * 37][1]} {prose(rng, 20)}" if k % 2 else prose(rng, 60)) for k in range(200)]
+    hits = contaminated(spark.createDataFrame(docs, "doc_id long, text string").repartition(4),
+                        spark.createDataFrame(items, "item_id long, text string"))
+    assert hits._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {(r.doc_id, r.item_id) for r in hits.collect()} == {(k, k * 37) for k in range(1, 200, 2)}
+
+
+def test_windows_at_the_threshold_are_found():
+    """Edited items at the least similarity from 0.8 on that their size allows: none is lost."""
+    rng = np.random.default_rng(3)
+    items = [rng.integers(0, 1 << 63, int(n), dtype=np.uint64) for n in rng.integers(9, 60, 400)]
+    index = ItemIndex(list(range(400)), items, [5] * 400)
+    asked = 0
+    for k, item in enumerate(items):
+        for _ in range(5):
+            n = len(item)
+            edits = int(n - np.ceil(n * 8 / 9))  # changed shingles at which the Jaccard similarity is 0.8 or just above
+            changed = item.copy()
+            changed[rng.choice(n, edits, replace=False)] = rng.integers(0, 1 << 63, edits, dtype=np.uint64)
+            both, either = similarity(np.unique(changed, return_counts=True), index.bags[k])
+            assert both * 5 >= either * 4
+            _, found, _ = index.near(fingerprints(_bit_votes(changed), np.zeros(1, int), n))
+            assert k in found
+            asked += 1
+    assert asked == 2000
