@@ -3,10 +3,16 @@
 Every line, every paragraph (lines up to an empty one) and the whole of each
 file is compared with each licence template by the cosine of sparse TF-IDF
 vectors; document frequencies are counted over all files. Templates are short
-notices, file headers and the full texts in ``license_texts``. The best
-template with a cosine of ``SIMILAR`` or more is the file's own licence; a full
-text goes before a notice, and a notice of one licence before one that others
-hold as well. A bound on the
+notices, file headers, SPDX tags, the full texts in ``license_texts`` and their
+openings (the first 128, 256, 512, ... words, matched by segments of about that
+length). Templates with a cosine of ``SIMILAR`` or more are then held against
+the segment in word order: half of their pairs of neighbouring words must agree
+(all of them in an SPDX tag), and where templates of two licences agree equally
+well, the segment has no licence.
+The best template of the best segment is the file's own licence; a full text
+goes before a notice, and a notice of one licence before one that others
+hold as well; of such shared notices the longest says most. ``own_licenses`` lists the licences of all lines and paragraphs
+(of the whole file alone, where that is a full text). A bound on the
 cosine (the weight of words that occur in no template) discards nearly all
 segments before their vectors are built; it never discards a match.
 
@@ -35,10 +41,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.shared import salted_join, stored
-from salesmart.llm.words import row_slices, span_hashes, text_buffer, word_spans
+from salesmart.llm.words import mix, row_slices, span_hashes, text_buffer, word_spans
 
 SIMILAR = 0.75
 TEXT_WORDS = 110  # words from which a template is a full text
+OPENING_WORDS = 128  # shortest opening of a full text
+IN_ORDER = 0.5       # pairs of neighbouring words that agree
 LICENSE_NAME = r"(?i)^(licen[cs]e|copying|copyright|unlicense|notice)([-_.].*)?$"
 
 # Usual notices and file headers of licences, as their texts or their common
@@ -101,9 +109,20 @@ NOTICES: tuple[tuple[str, str], ...] = (
             "Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
 )
 
+# Identifiers of the SPDX list for the licences above, as tags name them (fixed values).
+SPDX: tuple[tuple[str, str], ...] = (
+    ("AGPL-3.0", "AGPL-3.0"), ("AGPL-3.0", "AGPL-3.0-only"), ("AGPL-3.0", "AGPL-3.0-or-later"), ("Apache-2.0", "Apache-2.0"),
+    ("BSD-2-Clause", "BSD-2-Clause"), ("BSD-3-Clause", "BSD-3-Clause"), ("CC-BY-4.0", "CC-BY-4.0"),
+    ("CC-BY-NC-4.0", "CC-BY-NC-4.0"), ("CC-BY-SA-4.0", "CC-BY-SA-4.0"), ("CC0-1.0", "CC0-1.0"), ("GPL-2.0", "GPL-2.0"),
+    ("GPL-2.0", "GPL-2.0-only"), ("GPL-2.0", "GPL-2.0-or-later"), ("GPL-3.0", "GPL-3.0"), ("GPL-3.0", "GPL-3.0-only"),
+    ("GPL-3.0", "GPL-3.0-or-later"), ("ISC", "ISC"), ("LGPL-2.1", "LGPL-2.1"), ("LGPL-2.1", "LGPL-2.1-only"),
+    ("LGPL-2.1", "LGPL-2.1-or-later"), ("LGPL-3.0", "LGPL-3.0"), ("LGPL-3.0", "LGPL-3.0-only"),
+    ("LGPL-3.0", "LGPL-3.0-or-later"), ("MIT", "MIT"), ("MPL-2.0", "MPL-2.0"), ("Unlicense", "Unlicense"))
+SPDX_TAG = "SPDX-License-Identifier: "
+
 FULL_TEXTS = ("AGPL-3.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1",
               "LGPL-3.0", "MIT", "MPL-2.0", "Unlicense")
-TEMPLATES: tuple[tuple[str, str], ...] = NOTICES + tuple(
+TEMPLATES: tuple[tuple[str, str], ...] = NOTICES + tuple((name, SPDX_TAG + tag) for name, tag in SPDX) + tuple(
     (name, pkgutil.get_data("salesmart.llm", f"license_texts/{name}.txt").decode()) for name in FULL_TEXTS)
 
 _GAP = np.ones(256, bool)
@@ -137,18 +156,40 @@ def _blank_lines(raw: np.ndarray, breaks: np.ndarray) -> np.ndarray:
     return breaks[1:][words[breaks[1:]] == words[breaks[:-1]]]
 
 
+def _pairs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of neighbouring words and how often each occurs."""
+    return np.unique(mix(words[:-1]) + words[1:], return_counts=True)
+
+
 class Templates:
     """The template vectors over their vocabulary, given document counts."""
 
     def __init__(self, templates: tuple[tuple[str, str], ...] = TEMPLATES):
-        self.ids = [name for name, _ in templates]
-        words = [np.zeros(0, np.uint64)] * len(templates)
-        for i, j, hashes, row, _, _ in _words(pa.array([t for _, t in templates])):
+        self.ids, texts = [name for name, _ in templates], [text for _, text in templates]
+        words = [np.zeros(0, np.uint64)] * len(texts)
+        for i, j, hashes, row, _, _ in _words(pa.array(texts)):
             for r in range(j - i):
                 words[i + r] = hashes[row == r]
+        self.exact = [text.startswith(SPDX_TAG) for text in texts]
+        # A full text is matched by segments of its length, not by its
+        # disclaimer alone, and its openings by segments of theirs.
+        self.least = [SIMILAR * len(w) if len(w) >= TEXT_WORDS else 0 for w in words]
+        self.most = [float("inf")] * len(words)
+        for name, w in list(zip(self.ids, words)):
+            size = OPENING_WORDS
+            while size < len(w):
+                self.ids.append(name)
+                words.append(w[:size])
+                self.exact.append(False)
+                self.least.append(SIMILAR * size)
+                self.most.append(2 * SIMILAR * size)
+                size *= 2
+        self.least, self.most = np.array(self.least), np.array(self.most)
         self.vocabulary = np.unique(np.concatenate(words))
         self.counts = np.stack([np.bincount(np.searchsorted(self.vocabulary, w), minlength=len(self.vocabulary)) for w in words])
         self.sizes = [len(w) for w in words]
+        self.full = [size >= TEXT_WORDS and most == float("inf") for size, most in zip(self.sizes, self.most)]
+        self.pairs = [_pairs(w) for w in words]
         # A notice that another licence's template holds too says less.
         self.own = [not any(name != self.ids[k] and w.tobytes() in words[k].tobytes() for k in range(len(words)))
                     for name, w in zip(self.ids, words)]
@@ -166,22 +207,46 @@ class Templates:
         return np.where(self.vocabulary[at] == hashes, at, -1)
 
     def best(self, number: np.ndarray, hashes: np.ndarray) -> tuple[float, int]:
-        """Highest cosine of one segment and its template, first of equals."""
-        vector = np.bincount(number[number >= 0], minlength=len(self.vocabulary)) * self.idf
+        """Cosine and template of one segment: of those similar enough, the
+        one that agrees best in word order, then in cosine, first of equals;
+        0 where none does or those of two licences agree equally."""
+        known, times = np.unique(number[number >= 0], return_counts=True)
+        mine = times * self.idf[known]
         rest = np.unique(hashes[number < 0], return_counts=True)[1]
-        norm = np.sqrt((vector ** 2).sum() + (rest.astype(float) ** 2).sum() * self.other ** 2)
-        cosine = np.round(self.vectors @ vector / max(norm, 1e-12), 9)
-        k = int(cosine.argmax())
+        norm = np.sqrt((mine ** 2).sum() + (rest.astype(float) ** 2).sum() * self.other ** 2)
+        cosine = np.round(self.vectors[:, known] @ mine / max(norm, 1e-12), 9)
+        similar = np.flatnonzero((cosine >= SIMILAR) & (len(hashes) >= self.least) & (len(hashes) <= self.most))
+        if not len(similar):
+            return 0.0, 0
+        found = _pairs(hashes)
+        order = {int(k): self.in_order(found, int(k)) for k in similar}
+        fit = [k for k, share in order.items() if share >= (1 if self.exact[k] else IN_ORDER)]
+        if not fit:
+            return 0.0, 0
+        k = max(fit, key=lambda k: (order[k], cosine[k], -k))
+        if any(order[j] == order[k] and self.ids[j] != self.ids[k] for j in fit):
+            return 0.0, 0
         return float(cosine[k]), k
 
+    def in_order(self, found: tuple[np.ndarray, np.ndarray], k: int) -> float:
+        """Share of neighbouring pairs that a segment and a template have in
+        common; of two single words 1 (their cosine tells)."""
+        size = int(found[1].sum() + self.pairs[k][1].sum())
+        if not size:
+            return 1.0
+        _, a, b = np.intersect1d(found[0], self.pairs[k][0], assume_unique=True, return_indices=True)
+        return 2 * int(np.minimum(found[1][a], self.pairs[k][1][b]).sum()) / size
+
 
-def _scan_rows(column: pa.Array, known: Templates) -> Iterator[tuple[str | None, float, float]]:
-    """(licence, score, share of the words in the matching segment) by row."""
+def _scan_rows(column: pa.Array, known: Templates) -> Iterator[tuple[str | None, float, float, list[str]]]:
+    """(licence, score, share of the words in the matching segment, licences
+    of all segments) by row."""
     for i, j, hashes, row, line, paragraph in _words(column):
         number = known.number(hashes)
         weight = np.where(number >= 0, known.idf[number], 0.0)
         total = np.bincount(row, minlength=j - i)
         best: list[tuple[float, int, int, tuple]] = [(0.0, 0, 0, ())] * (j - i)
+        every: list[set[str]] = [set() for _ in range(j - i)]
         for segment in (line, paragraph, row):
             if not len(segment):
                 continue
@@ -193,17 +258,24 @@ def _scan_rows(column: pa.Array, known: Templates) -> Iterator[tuple[str | None,
             for k in np.flatnonzero(mine >= SIMILAR ** 2 * (mine + others)):
                 score, which = known.best(number[start[k]:end[k]], hashes[start[k]:end[k]])
                 r = int(row[start[k]])
-                words, size = int(end[k] - start[k]), known.sizes[which]
-                full = size >= TEXT_WORDS and words >= SIMILAR * size  # not its disclaimer alone
-                rank = full, known.own[which], score, words
-                if score >= SIMILAR and rank > best[r][3]:
+                words = int(end[k] - start[k])
+                own = known.own[which]
+                rank = known.full[which], own, score if own else words, words if own else score
+                if score < SIMILAR:
+                    continue
+                if segment is row and known.full[which]:
+                    every[r] = {known.ids[which]}
+                elif segment is not row or not every[r]:
+                    every[r].add(known.ids[which])
+                if rank > best[r][3]:
                     best[r] = (score, which, words, rank)
         for r, (score, which, words, _) in enumerate(best):
-            yield (known.ids[which] if words else None), score, words / max(1, int(total[r]))
+            yield (known.ids[which] if words else None), score, words / max(1, int(total[r])), sorted(every[r])
 
 
 def own_licenses(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES) -> DataFrame:
-    """path, ... of files(id, path, text) with own_license, score, share."""
+    """id and path of files(id, path, text) with own_license, score, share and
+    own_licenses."""
     known = Templates(templates)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,18 +296,19 @@ def own_licenses(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMP
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            name, score, share = zip(*_scan_rows(batch.column(2), shared.value)) if len(batch) else ((), (), ())
+            name, score, share, every = zip(*_scan_rows(batch.column(2), shared.value)) if len(batch) else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(name, pa.string()), pa.array(score, pa.float64()),
-                 pa.array(share, pa.float64())], ["id", "path", "own_license", "score", "share"])
+                 pa.array(share, pa.float64()), pa.array(every, pa.list_(pa.string()))],
+                ["id", "path", "own_license", "score", "share", "own_licenses"])
 
     return files.select("id", "path", "text").mapInArrow(
-        scan, "id long, path string, own_license string, score double, share double")
+        scan, "id long, path string, own_license string, score double, share double, own_licenses array<string>")
 
 
 def scan_licenses(files: DataFrame, id_col: str = "id", path_col: str = "path", text_col: str = "text",
                   templates: tuple[tuple[str, str], ...] = TEMPLATES) -> DataFrame:
-    """One row per file: id, path, own_license, score, license (its own, else
+    """One row per file: id, path, own_license, score, own_licenses, license (its own, else
     that of the nearest ancestor directory), origin (own, inherited, none) and
     inherited_from (that directory)."""
     rows = files.select(F.col(id_col).cast("long").alias("id"), F.col(path_col).alias("path"), F.col(text_col).alias("text"))
@@ -259,7 +332,7 @@ def scan_licenses(files: DataFrame, id_col: str = "id", path_col: str = "path",
                .agg(F.max(F.struct("depth", "dir", "dir_license")).alias("near"))
                .select("of", F.col("near.dir").alias("inherited_from"), F.col("near.dir_license").alias("dir_license")))
     inherited = salted_join(alone.withColumn("of", directory), nearest, ["of"], ["id", "path"], "left")
-    columns = ["id", "path", "own_license", "score"]
+    columns = ["id", "path", "own_license", "score", "own_licenses"]
     own = found.where(F.col("own_license").isNotNull() | F.col("path").isNull()).select(
         *columns, F.col("own_license").alias("license"),
         F.when(F.col("own_license").isNotNull(), "own").otherwise("none").alias("origin"),

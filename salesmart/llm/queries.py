@@ -56,7 +56,8 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     group = F.floor(F.col("doc_id") / 4096).cast("string"), F.floor(F.col("doc_id") / 512).cast("string")
     path = F.concat_ws("/", F.coalesce("source", F.lit("none")), *group, F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
     files = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), path.alias("path"), "text")
-    return scan_licenses(files).withColumnRenamed("id", "doc_id")
+    found = scan_licenses(files).withColumnRenamed("id", "doc_id")
+    return found.withColumn("own_licenses", F.array_join("own_licenses", ","))
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -81,3 +81,40 @@ def test_root_directory_and_empty_table(spark):
     got = {r.id: r for r in scan_licenses(frame).collect()}
     assert got[2].license == got[3].license == "MIT" and got[2].inherited_from == ""
     assert scan_licenses(frame.limit(0)).isEmpty()
+
+
+def _own(spark, texts):
+    rows = [(k, f"{k}/LICENSE", t) for k, t in enumerate(texts)]
+    rows += [(1000 + k, f"src/{k}.py", f"word{k} the of and to in this a line of text") for k in range(40)]
+    got = {r.id: r for r in scan_licenses(spark.createDataFrame(rows, "id long, path string, text string")).collect()}
+    return [got[k] for k in range(len(texts))]
+
+
+def test_openings_of_full_texts_have_their_id_or_none(spark):
+    full = [(name, text) for name, text in TEMPLATES if len(text.split()) > 100]
+    asked = [(name, text[:n]) for name, text in full for n in (1000, 3000, 10000) if n < len(text)]
+    got = [r.own_license for r in _own(spark, [t for _, t in asked])]
+    assert not [(n, g, len(t)) for (n, t), g in zip(asked, got) if g not in (n, None)]
+    assert sum(g == n for (n, _), g in zip(asked, got)) >= 0.8 * len(asked)
+
+
+def test_spdx_tags(spark):
+    tags = {"# SPDX-License-Identifier: MIT": "MIT", "// SPDX-License-Identifier: Apache-2.0": "Apache-2.0",
+            "/* SPDX-License-Identifier: GPL-2.0-or-later */": "GPL-2.0", "<!-- SPDX-License-Identifier: LGPL-2.1-only -->": "LGPL-2.1",
+            "# SPDX-License-Identifier: LGPL-2.0": None, "# SPDX-License-Identifier: Foo": None,
+            "# SPDX-License-Identifier: MIT OR Apache-2.0": None}
+    code = "\n\nint main(void) { return puts(name); }\n" * 4
+    assert [r.own_license for r in _own(spark, [t + code for t in tags])] == list(tags.values())
+
+
+def test_words_out_of_order_are_no_licence(spark):
+    got = _own(spark, ["all rights reserved by the rights holder of all reserved rights", "All rights reserved.",
+                       " ".join(sorted(APACHE.split()))])
+    assert [r.own_license for r in got] == [None, "All-Rights-Reserved", None]
+
+
+def test_all_licences_of_a_file(spark):
+    mit = next(t for name, t in TEMPLATES if name == "MIT" and len(t.split()) > 100)
+    code = "\n\nint main(void) { return puts(name); }\n\n"
+    got = _own(spark, [APACHE + code + MIT + code, mit, "nothing here", None])
+    assert [r.own_licenses for r in got] == [["Apache-2.0", "MIT"], ["MIT"], [], []]
