@@ -40,11 +40,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.shared import components, salted_join, stored
+from salesmart.llm.shared import arrow_batches, components, salted_join, stored
 from salesmart.llm.words import mix, texts_shingles
 
 HEAVY_TABLE = 1 << 17   # most frequent shingles with a rank of their own
 COUNT_FLUSH = 1 << 21   # shingles a task counts together
+TEXT_BATCH = "4m"       # bytes of texts handed to a Python task at a time
 SHORT_LIST = 8          # lists up to this long are paired at once
 PARTNER_SHARES = (32, 8, 1)  # later rounds: one partner in 32, in 8, then all
 LARGEST_LIGHT = 256     # sizes tried as the boundary
@@ -66,20 +67,25 @@ def _class_of(shingles: np.ndarray) -> int:
     return int(mix(np.array([mix(folded).sum(dtype=np.uint64)], np.uint64)).view(np.int64)[0])
 
 
+def _seen_often(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that stand twice or more in an array, which is sorted in place,
+    and how often; beside it only those take memory."""
+    shingles.sort()
+    same = np.append(shingles[1:] == shingles[:-1], False)  # as the next one
+    first = np.flatnonzero(same & ~np.append(False, same[:-1]))
+    last = np.flatnonzero(~same & np.append(False, same[:-1]))
+    return shingles[first], last - first + 1
+
+
 def _document_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document its set's size and class (kind 0); shingles seen in two
     sets or more of this task, each class counted once (kind 1)."""
-    held: list[np.ndarray] = []
-    size, classes = 0, set()
-
-    def flush():
-        if not held:
-            return
-        shingle, seen = np.unique(np.concatenate(held), return_counts=True)
-        often = seen >= 2
-        shingle, seen = shingle[often], seen[often]
+    held, size, classes = np.empty(COUNT_FLUSH, np.uint64), 0, set()
+
+    def counted(shingles: np.ndarray) -> pa.RecordBatch:
+        shingle, seen = _seen_often(shingles)
         none = pa.nulls(len(shingle), pa.int64())
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [pa.array(np.ones(len(shingle), np.int32)), none, pa.nulls(len(shingle), pa.int32()), none,
              pa.array(shingle.view(np.int64)), pa.array(seen.astype(np.int64))], _NAMES)
 
@@ -91,19 +97,22 @@ def _document_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             if not len(shingles):
                 continue
             cid[i] = _class_of(shingles)
-            if cid[i] not in classes:
-                classes.add(cid[i])
-                held.append(shingles)
-                size += len(shingles)
-                if size >= COUNT_FLUSH:
-                    yield from flush()
-                    held.clear()
+            if cid[i] in classes:
+                continue
+            classes.add(cid[i])
+            while len(shingles):
+                some = shingles[:COUNT_FLUSH - size]
+                held[size:size + len(some)] = some
+                shingles, size = shingles[len(some):], size + len(some)
+                if size == COUNT_FLUSH:
+                    yield counted(held)
                     size = 0
         none = pa.nulls(len(batch), pa.int64())
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.zeros(len(batch), np.int32)), batch.column(0).cast(pa.int64()), pa.array(n),
              pa.array(cid), none, none], _NAMES)
-    yield from flush()
+    if size:
+        yield counted(held[:size])
 
 
 _NAMES = ["kind", "doc_id", "n", "cid", "shingle", "seen"]
@@ -335,6 +344,11 @@ def linked_classes(lists: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest
     id reachable by links of Jaccard 0.8 or more, itself included)."""
+    with arrow_batches(docs.sparkSession, TEXT_BATCH):  # all Python tasks run in here
+        return _near_duplicates(docs, id_col, text_col)
+
+
+def _near_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     found = stored(rows.mapInArrow(_document_sets, _SETS_SCHEMA), "sets")
     members = found.where("kind = 0").select("doc_id", "n", "cid")

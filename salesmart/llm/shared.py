@@ -8,6 +8,7 @@ Everything written goes to a fresh folder under the shared checkpoint folder
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +27,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, size: str) -> Iterator[None]:
+    """Jobs run inside hand Python tasks at most ``size`` bytes of rows at a
+    time (one row at least) instead of 64 MB. A batch is held several times over
+    (Spark's vectors, their stream, the worker's copy) by every running task."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def salt(*by: Column, salts: int = SALTS) -> Column:
     """The piece of its key that a row belongs to; depends on the row alone."""
     return F.pmod(F.xxhash64(*by), F.lit(salts)).cast("int")

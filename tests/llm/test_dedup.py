@@ -2,10 +2,17 @@
 
 import hashlib
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from salesmart.llm import shared
+from salesmart.llm import ngram_join, shared
 from salesmart.llm.exact_dedup import drop_exact_copies, exact_groups
 from salesmart.llm.ngram_join import boundary, near_duplicates, needed
 from salesmart.llm.shared import components
@@ -117,3 +124,44 @@ def test_stage_drops_the_very_rows_that_are_not_kept(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string, n long").repartition(4)
     kept = sorted((tuple(r) for r in drop_exact_copies(frame).collect()), key=str)
     assert kept == sorted([(1, "a  b", 2), (2, "c", 4), (None, " ", 7), (3, "x" * 700, 8), (4, "x" * 699 + "y", 10)], key=str)
+
+
+def test_counting_shingles_takes_little_beside_their_window():
+    """A window of distinct shingles is sorted where it stands; what a task
+    holds beside it does not grow with the window."""
+    window = ngram_join.COUNT_FLUSH
+    texts = [" ".join(f"w{i}" for i in range(k, k + 100_000)) for k in range(0, window + 200_000, 100_000)]
+    texts.append(texts[-1] + " more")  # shares its shingles with the set before
+    texts += texts[3:5]  # equal sets are counted once
+    batches = [pa.RecordBatch.from_arrays([pa.array([i]), pa.array([t])], ["doc_id", "text"]) for i, t in enumerate(texts)]
+    tracemalloc.start()
+    found = list(ngram_join._document_sets(iter(batches)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3 * 8 * window, peak
+    rows = pa.Table.from_batches(found)
+    assert rows.filter(pc.equal(rows["kind"], 0))["n"].to_pylist() == [99_996] * (len(texts) - 3) + [99_997] + [99_996] * 2
+    again = rows.filter(pc.equal(rows["kind"], 1))["seen"].to_pylist()
+    assert set(again) == {2} and len(again) == 99_996
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.integers(0, 9), max_size=40))
+def test_shingles_seen_often(values):
+    want, counts = np.unique(np.array(values, np.uint64), return_counts=True)
+    shingle, seen = ngram_join._seen_often(np.array(values, np.uint64))
+    assert (shingle.tolist(), seen.tolist()) == (want[counts > 1].tolist(), counts[counts > 1].tolist())
+
+
+def test_texts_reach_tasks_in_small_batches(spark):
+    frame = spark.range(400).select("id", F.repeat(F.lit("x"), 10_000).alias("text")).coalesce(1)
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["bytes"])
+
+    with shared.arrow_batches(spark, "256k"):
+        got = [r.bytes for r in frame.mapInArrow(sizes, "bytes long").collect()]
+    assert max(got) < 300_000 and sum(got) > 4_000_000
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
