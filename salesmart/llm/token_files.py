@@ -9,11 +9,13 @@ the format of :mod:`salesmart.llm.simple8b`; Spark's commit protocol makes a
 retried task harmless. The number of ids before a part comes from one row per
 part, so nothing but those counts is ever brought together.
 
-A text is cut before every run of white space. No token of the byte-level BPE
-crosses such a place, so a batch encodes each distinct piece once and puts its
+A text is cut before every run of white space, and where an ASCII letter is
+followed by an ASCII punctuation mark. No token of the byte-level BPE crosses
+such a place, so a slice of texts encodes each distinct piece once and puts its
 ids wherever the piece stands; the result is that of encoding the whole text,
-which the tests compare. A worker remembers the ids of up to ``KNOWN`` short
-pieces for its later batches; what is encoded anew or taken from there makes no
+which the tests compare. (Texts that hold one of the tokenizer's added tokens,
+which may contain punctuation, are cut at white space only.) A worker remembers the ids of up to ``KNOWN`` short
+pieces for its later slices; what is encoded anew or taken from there makes no
 difference to the result. Texts with white space beyond ASCII are encoded whole.
 
 Defined cases: a null text is empty and has the end id alone; a null id comes
@@ -35,18 +37,24 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.shared import stored
+from salesmart.llm.shared import arrow_batches, stored
 from salesmart.llm.simple8b import GOES_ON_FROM, GOES_ON_IN, NULL_ID, Segment, SegmentView
-from salesmart.llm.words import SPACE, text_buffer
+from salesmart.llm.words import text_buffer
 
 END_ID = 2
 SEGMENT_IDS = 1 << 20
-SLICE = 8 << 20  # bytes of text tokenised at a time (one text at least)
+SLICE = 8 << 20  # bytes of rows tokenised together, the batch that reaches it included
+TEXT_BATCH = "2m"  # bytes of rows handed to a task at a time (one text at least)
 PIECES = 1 << 13  # bytes of pieces in one call of the tokenizer
 KNOWN, KNOWN_BYTES = 1 << 19, 32  # pieces that a worker remembers, and their length
 # White space that the tokenizer's rules know beyond the six ASCII characters
 # (and some that other rules count as such).
 _OTHER_SPACE = "[\x1c-\x1f\u0085\u00a0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]"
+_KIND = np.zeros(256, np.uint8)
+_SPACE, _LETTER, _MARK = 1, 2, 3
+_KIND[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = _SPACE
+_KIND[[i for i in range(128) if chr(i).isalpha()]] = _LETTER
+_KIND[[i for i in range(0x21, 0x7F) if not chr(i).isalnum()]] = _MARK
 
 
 class PieceEncoder:
@@ -60,6 +68,7 @@ class PieceEncoder:
         self.length = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes of each token
         for token, i in vocabulary.items():
             self.length[i] = len(token)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known = pa.array([], pa.large_string())
         self.known_ids, self.known_counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
@@ -115,9 +124,14 @@ class PieceEncoder:
         column = column.cast(pa.large_string()).fill_null("")
         odd = pc.match_substring_regex(column, _OTHER_SPACE).to_numpy(zero_copy_only=False).astype(bool)
         raw, offsets = text_buffer(column)
-        space = SPACE[raw]
-        begins = np.zeros(len(raw) + 1, bool)
-        begins[1:-1] = space[1:] & ~space[:-1]
+        kind = _KIND[raw]
+        space, begins = kind == _SPACE, np.zeros(len(raw) + 1, bool)
+        begins[1:-1] = (kind[1:] == _MARK) & (kind[:-1] == _LETTER)
+        for token in self.added:  # found before a text is split
+            holds = pc.match_substring(column, token).to_numpy(zero_copy_only=False).astype(bool)
+            for i in np.flatnonzero(holds):
+                begins[offsets[i]:offsets[i + 1]] = False
+        begins[1:-1] |= space[1:] & ~space[:-1]
         for i in np.flatnonzero(odd):
             begins[offsets[i]:offsets[i + 1]] = False
         begins[offsets] = True
@@ -126,10 +140,12 @@ class PieceEncoder:
         coded = all_pieces.dictionary_encode()
         index = coded.indices.to_numpy()
         # Pieces " word" may stand beside each other in a call; others (the
-        # first of a text, trailing white space, whole odd texts) stand alone.
+        # first of a text, punctuation, trailing white space, whole odd texts)
+        # stand alone.
         sole = np.zeros(len(coded.dictionary), bool)
         opens = space[cut[:-1]] & ~space[cut[1:] - 1] if len(cut) > 1 else np.zeros(0, bool)
-        opens &= ~odd[np.searchsorted(offsets, cut[:-1], "right") - 1]
+        if odd.any():
+            opens &= ~odd[np.searchsorted(offsets, cut[:-1], "right") - 1]
         sole[index[~opens]] = True
         ids, first, counts = self._of_pieces(coded.dictionary, ~sole)
         per = counts[index]
@@ -142,13 +158,17 @@ class PieceEncoder:
 _ENCODERS: dict[str, PieceEncoder] = {}  # one per Python worker
 
 
-def _slices(column: pa.Array) -> Iterator[slice]:
-    size = pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    done, i = np.cumsum(size), 0
-    while i < len(size):
-        j = max(i + 1, int(np.searchsorted(done, (done[i - 1] if i else 0) + SLICE)))
-        yield slice(i, j)
-        i = j
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches joined up to about ``SLICE`` bytes."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= SLICE:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
 
 
 def _writer(path: str, segment_ids: int):
@@ -184,18 +204,17 @@ def _writer(path: str, segment_ids: int):
             seg, first_id, first_doc, open_before = seg + 1, first_id + n, first_doc + drop, goes_on
             return out
 
-        for batch in batches:
-            doc_ids = batch.column(0)
-            for some in _slices(batch.column(1)):
-                ids, counts = _ENCODERS[path].encode(batch.column(1)[some])
-                ends = np.cumsum(counts)
-                held_ids.append(np.insert(ids, ends, END_ID))
-                held_counts.append(counts + 1)
-                held_docs.append(doc_ids[some].fill_null(0).to_numpy())
-                held_null.append(doc_ids[some].is_null().to_numpy(zero_copy_only=False).astype(np.uint8))
-                held += len(held_ids[-1])
-                while held >= segment_ids:
-                    yield cut(segment_ids)
+        for some in _slices(batches):
+            doc_ids = some.column(0)
+            ids, counts = _ENCODERS[path].encode(some.column(1))
+            ends = np.cumsum(counts)
+            held_ids.append(np.insert(ids, ends, END_ID))
+            held_counts.append(counts + 1)
+            held_docs.append(doc_ids.fill_null(0).to_numpy())
+            held_null.append(doc_ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8))
+            held += len(held_ids[-1])
+            while held >= segment_ids:
+                yield cut(segment_ids)
         if held:
             yield cut(held)
 
@@ -211,9 +230,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, id_col: str =
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("by_text"),
                        F.monotonically_increasing_id().alias("row"))
     keys = ["doc_id", "by_text", "row"]  # with the row, copies of one row can be dealt over many tasks
-    (rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "text")
-     .mapInArrow(_writer(tokenizer, segment_ids), "part int, seg int, n_ids long, segment binary")
-     .write.option("compression", "none").parquet(path))  # words are packed already
+    with arrow_batches(docs.sparkSession, TEXT_BATCH):
+        (rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "text")
+         .mapInArrow(_writer(tokenizer, segment_ids), "part int, seg int, n_ids long, segment binary")
+         .write.option("compression", "none").parquet(path))  # words are packed already
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -138,3 +138,33 @@ def test_repeated_rows_and_null_ids(spark):
     ids = [r.doc_id for r in got]
     assert ids == [None, None, 1, 2] + [3] * 51
     assert [r.start for r in got] == np.append(0, np.cumsum([r.n_tokens for r in got]))[:-1].tolist()
+
+
+MARKS = st.sampled_from(["a", "don", "'t", "'", "'re", "'S", ".", ",", "...", "!", "-", "_", "(", ")", "1", "é", "×", " ", "\n", " (", "<|endoftext|>",
+                         "<|endoftext", "|>", "<|", "\x7f", "https://a.b/c?d=e", "　", "\U0001F600"])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(MARKS, max_size=25).map("".join), max_size=8))
+def test_punctuation_behind_words_gives_the_ids_of_whole_texts(texts):
+    ids, counts = ENCODER.encode(pa.array(texts, pa.string()))
+    want = [e.ids for e in PLAIN.encode_batch(texts, add_special_tokens=False)]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
+def test_a_word_is_encoded_once_whatever_mark_follows(monkeypatch):
+    encoder, seen = tf.PieceEncoder(FILE), []
+    plain = encoder._encode
+    monkeypatch.setattr(encoder, "_encode", lambda texts: (seen.extend(texts), plain(texts))[1])
+    texts = [f"Some word{a} another word{b} the end{c}" for a in ".,;:!?)" for b in ".,;:!?)" for c in ".,;:!?)"]
+    ids, _ = encoder.encode(pa.array(texts))
+    assert ids.tolist() == [i for t in texts for i in PLAIN.encode(t, add_special_tokens=False).ids]
+    assert sum(text.count("word") for text in seen) == 1
+
+
+def test_slices_join_small_batches():
+    batches = [pa.RecordBatch.from_arrays([pa.array([i]), pa.array(["x" * n])], ["doc_id", "text"])
+               for i, n in enumerate([1 << 20] * 20 + [20 << 20, 5])]
+    got = list(tf._slices(iter(batches)))
+    assert pa.Table.from_batches(got).equals(pa.Table.from_batches(batches).combine_chunks())
+    assert [len(b) for b in got] == [8, 8, 5, 1] and not list(tf._slices(iter([])))
