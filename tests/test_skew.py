@@ -77,3 +77,27 @@ def test_hot_keys_whole_and_exact(spark, skew_conf):
     assert total == cat == Decimal("11") * N_ORDERS + Decimal("2.50") * HOT_LINES + Decimal("100.00")
     q5 = [r for r in w.question("q5_top_products").collect() if r.category_en == "category"]
     assert q5[0].product_key == "p0" and q5[0].rank_in_category == 1
+
+
+def test_lines_without_an_order_do_not_meet_under_a_null_customer(spark, skew_conf):
+    """Most lines belong to orders that were not delivered: they must be counted
+    by their order and never be dealt by the customer they lack."""
+    src = _sources(spark)
+    # Two thirds not delivered, one order in 100 without a customer, one in 50 with an unknown one.
+    n = F.substring("order_id", 2, 9).cast("int")
+    customer = F.when(n % 100 == 0, None).when(n % 50 == 3, "nobody").otherwise(F.col("customer_id"))
+    src["orders"] = src["orders"].withColumn("order_status", F.when(n % 3 == 0, "delivered").otherwise("lost")).withColumn("customer_id", customer)
+    lost = [(None, 1, "p1", Decimal("1.00"), Decimal("0.00")), (None, 2, "p1", Decimal("1.00"), Decimal("0.00")), ("gone", 1, "p1", None, None)]
+    src["order_items"] = src["order_items"].unionByName(spark.createDataFrame(lost, ITEMS))
+    w = Warehouse(src)
+    got = {r.step: r.rows for r in w.row_accounting().collect() if r.table_name == "order_items"}
+    lines = {i: 1 + (HOT_LINES if i == 7 else 0) + (1 if i == 8 else 0) for i in range(N_ORDERS)}
+    found = [i for i in range(N_ORDERS) if i % 3 == 0 and i % 100 != 0]
+    no_customer = sum(lines[i] for i in found if i % 50 == 3)
+    in_fact = sum(lines[i] for i in found) - no_customer
+    assert got == {"raw": sum(lines.values()) + COPIES - 1 + 3, "after_dedup": sum(lines.values()) + 3, "order_without_customer": no_customer,
+                   "in_fact": in_fact, "order_not_delivered_or_missing": sum(lines.values()) + 3 - no_customer - in_fact}
+    plan = w.row_accounting()._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.split("\n") if "Join LeftOuter" in line and "order_items" not in line]
+    depth = {("customer" if "c_id" in line else "order"): line.index("Join") for line in joins if "order_id" in line or "c_id" in line}
+    assert depth["customer"] > depth["order"], plan  # orders meet customers below the lines
